@@ -27,8 +27,9 @@ def exists(spark: SparkSession, uri: str) -> bool:
 
 
 def is_filled(spark: SparkSession, uri: str) -> bool:
+    """True when a folder holds anything a scan of it would read."""
     fs, path = _fs(spark, uri)
-    return fs.exists(path) and len(fs.listStatus(path)) > 0
+    return fs.exists(path) and any(s.getPath().getName()[0] not in "_." for s in fs.listStatus(path))
 
 
 def qualify(path: Column, base: str) -> Column:

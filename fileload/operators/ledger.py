@@ -13,19 +13,28 @@ IDENTITY = ("path", "length", "modificationTime")
 SCHEMA = "path string, length bigint, modificationTime timestamp, status string, wave int, job_id string"
 
 
-def ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
-    """The ledger table, empty when nothing was committed yet."""
+def ledger(spark: SparkSession, ledger_path: str) -> DataFrame | None:
+    """The ledger table, or None when nothing was committed yet."""
     if not is_filled(spark, ledger_path):
-        return spark.createDataFrame([], SCHEMA)
+        return None
     return spark.read.schema(SCHEMA).parquet(ledger_path)
 
 
-def pending(files_df: DataFrame, ledger_df: DataFrame) -> DataFrame:
-    """The files the ledger does not know.  Spark broadcasts the ledger while it
-    is small and joins on a shuffle of these few columns once it is not."""
+def _by_identity(files_df: DataFrame, ledger_df: DataFrame, how: str) -> DataFrame:
     done = ledger_df.select(*[F.col(name).alias(f"__{name}") for name in IDENTITY])
     same = [F.col(name).eqNullSafe(F.col(f"__{name}")) for name in IDENTITY]
-    return files_df.join(done, on=same, how="left_anti")
+    return files_df.join(done, on=same, how=how)
+
+
+def pending(files_df: DataFrame, ledger_df: DataFrame | None) -> DataFrame:
+    """The files the ledger does not know.  Spark broadcasts the ledger while it
+    is small and joins on a shuffle of these few columns once it is not."""
+    return files_df if ledger_df is None else _by_identity(files_df, ledger_df, "left_anti")
+
+
+def handled(files_df: DataFrame, ledger_df: DataFrame) -> DataFrame:
+    """The files the ledger knows."""
+    return _by_identity(files_df, ledger_df, "left_semi")
 
 
 def commit(ledger_path: str, status_df: DataFrame, job_id: str, wave: int = 0) -> None:

@@ -10,7 +10,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fileload.config import LoadConfig
 from fileload.functions.paths import working_uri
@@ -18,7 +17,7 @@ from fileload.operators.audit import load_audit
 from fileload.operators.keyed import keyed_load, latest
 from fileload.operators.ledger import commit, ledger, pending
 from fileload.operators.manifest import manifest_parse
-from fileload.operators.records import BAD, RecordSpec, record_parse, register_record
+from fileload.operators.records import BAD, RecordSpec, fields, record_parse, register_record
 from fileload.operators.routing import lineage_stamp, size_route
 from fileload.operators.unz import z_files, z_ingest, z_lines, z_reject
 from fileload.operators.zpack import z_export
@@ -31,13 +30,12 @@ from fileload.sources.files import codec_text_scan, file_fetch, list_files
 from fileload.sources.manifest import manifest_scan
 from fileload.streaming.ingest import stream_detail, stream_ingest
 
-EVENTS = T.StructType.fromDDL(
-    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+EVENTS = fields(
+    event_id="long", ts="timestamp_ntz", user_id="long", event_type="string", value="double", props="string"
 )
-EVENT_TYPES = ("signup", "purchase", "view", "click", "error")
 
 register_record("events", RecordSpec(EVENTS))
-register_record("doc_facts", RecordSpec(T.StructType.fromDDL("doc_id bigint, lang string, n_chars bigint")))
+register_record("doc_facts", RecordSpec(fields(doc_id="long", lang="string", n_chars="long")))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,10 +48,8 @@ def event_lines(spark: SparkSession, sf_dir: str, break_some: bool = False) -> D
     value = F.col("value").cast("string")
     if break_some:
         value = F.when(F.col("event_id") % 97 == 0, F.concat(F.lit("?"), value)).otherwise(value)
-    fields = [value if name == "value" else F.col(name).cast("string") for name in EVENTS.names]
-    # The CSV reader's form of a timestamp has a T between date and time.
-    fields[1] = F.replace(fields[1], F.lit(" "), F.lit("T"))
-    return table(spark, sf_dir, "events").select(F.concat_ws("|", *fields).alias("value"), "event_type")
+    texts = [value if name == "value" else F.col(name).cast("string") for name in EVENTS.names]
+    return table(spark, sf_dir, "events").select(F.concat_ws("|", *texts).alias("value"), "event_type")
 
 
 def doc_facts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,12 +11,12 @@ from pyspark.sql import types as T
 from fileload.config import LoadConfig
 from fileload.functions.paths import exists, is_z, literal_glob
 from fileload.operators.audit import load_audit
-from fileload.operators.ledger import commit, ledger, pending
+from fileload.operators.ledger import commit, handled, ledger, pending
 from fileload.operators.manifest import manifest_parse
-from fileload.operators.records import BAD, record_parse, record_spec
+from fileload.operators.records import BAD, fields, record_parse, record_spec
 from fileload.operators.routing import lineage_stamp, size_route
 from fileload.operators.unz import z_ingest
-from fileload.session import DECODE_CONF, conf_scope, stage_table
+from fileload.session import DECODE_CONF, conf_scope
 from fileload.sinks.detail import detail_write, job_folder
 from fileload.sources.files import codec_text_scan, manifest_files, with_waves
 from fileload.sources.manifest import manifest_scan
@@ -28,9 +28,18 @@ LOAD_WAVE_BYTES = 128 << 20
 FILE_COLUMNS = ("status", "n_lines", "n_bytes")
 
 # What a written row has besides its record's columns.
-STAMPS = T.StructType.fromDDL(
-    f"{BAD} string, line_no bigint, src_path string, src_length bigint, src_mtime timestamp, "
-    "status string, n_lines bigint, n_bytes bigint, wave int, codec string, kind string"
+STAMPS = fields(
+    **{BAD: "string"},
+    line_no="long",
+    src_path="string",
+    src_length="long",
+    src_mtime="timestamp",
+    status="string",
+    n_lines="long",
+    n_bytes="long",
+    wave="integer",
+    codec="string",
+    kind="string",
 )
 
 
@@ -91,22 +100,21 @@ def make_plan(spark: SparkSession, config: LoadConfig, manifest_path: str, wave_
     files = manifest_files(spark, lines, config.path_col, config.base_uri)
     # A whole .Z payload is one value, which has a ceiling of its own.
     ceiling = int(spark.conf.get("spark.sql.sources.binaryFile.maxLength"))
-    files = stage_table(size_route(files, config.max_file_size), "plan").withColumn(
+    files = size_route(files, config.max_file_size).withColumn(
         "status",
         F.when(F.col("status") != "ok", F.col("status"))
+        .when(is_z(F.col("path")) & (F.col("length") == 0), "bad_magic")
         .when((F.col("route") == "oversize") | (is_z(F.col("path")) & (F.col("length") > ceiling)), "oversize")
         .otherwise("ok"),
     )
-    known = files.where("status = 'ok'").withColumns({"listed": F.col("path"), "path": F.col("uri")})
-    fresh = pending(known, ledger(spark, config.ledger_path)).withColumn("path", F.col("listed")).drop("listed")
-    skipped = files.where("status = 'ok'").join(fresh.select("path"), "path", "left_anti")
-    whole = (
-        files.where("status <> 'ok'")
-        .unionByName(fresh)
-        .unionByName(skipped.withColumn("status", F.lit("already_loaded")))
-    )
-    waved, _ = with_waves(whole, wave_files, LOAD_WAVE_BYTES)
-    waved.write.mode("overwrite").parquet(_plan_folder(config))
+    files, _ = with_waves(files, wave_files, LOAD_WAVE_BYTES)
+    done = ledger(spark, config.ledger_path)
+    if done is not None:
+        # The ledger knows files by the spelling scans report.
+        usable = files.where("status = 'ok'").withColumns({"listed": F.col("path"), "path": F.col("uri")})
+        split = pending(usable, done).unionByName(handled(usable, done).withColumn("status", F.lit("already_loaded")))
+        files = files.where("status <> 'ok'").unionByName(split.withColumn("path", F.col("listed")).drop("listed"))
+    files.write.mode("overwrite").parquet(_plan_folder(config))
 
 
 def run_load(

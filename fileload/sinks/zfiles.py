@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from urllib.parse import quote
 
@@ -10,9 +11,10 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
-from fileload.functions.paths import is_filled
+from fileload.functions.paths import is_filled, working_uri
 
 FORMAT = "z_payload_files"
+MOVES_AT_ONCE = 32
 
 
 def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -56,10 +58,10 @@ class PayloadWriter(DataSourceArrowWriter):
         fs, root = open_fs(self.path)
         temp = open_fs(self.temp)[1]
         moves = [move for message in messages if message for move in message.names]
-        for folder in {final.rsplit("/", 1)[0] for _, final in moves}:
-            fs.create_dir(f"{root}/{folder}", recursive=True)
-        for name, final in moves:
-            fs.move(f"{temp}/{name}", f"{root}/{final}")
+        with ThreadPoolExecutor(MOVES_AT_ONCE) as pool:
+            folders = {final.rsplit("/", 1)[0] for _, final in moves}
+            list(pool.map(lambda folder: fs.create_dir(f"{root}/{folder}", recursive=True), folders))
+            list(pool.map(lambda move: fs.move(f"{temp}/{move[0]}", f"{root}/{move[1]}"), moves))
         self._drop_temp(fs, temp)
 
     def abort(self, messages):
@@ -87,4 +89,4 @@ def write_z_files(payload_df: DataFrame, path: str) -> None:
     if is_filled(spark, path):
         raise FileExistsError(path)
     spark.dataSource.register(PayloadFiles)
-    payload_df.select("shard", "part", "content").write.format(FORMAT).mode("append").save(path)
+    payload_df.select("shard", "part", "content").write.format(FORMAT).mode("append").save(working_uri(spark, path))

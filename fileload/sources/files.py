@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fileload.functions.paths import exists, is_hidden, literal_glob, parent, qualify, working_uri
 from fileload.functions.text import decoded, without_cr
 from fileload.session import stage_table
+from fileload.sinks.zfiles import open_fs
 
 # One wave of files is what the driver names, and what is broadcast, at a time.
 WAVE_FILES = 20_000
@@ -59,7 +61,7 @@ def manifest_files(
         found = list_files(spark, folders)
     else:
         found = spark.createDataFrame([], "path string, length bigint, modificationTime timestamp, uri string")
-    return named.join(found, "path", "left").select(
+    joined = named.join(found, "path", "left").select(
         "path",
         "length",
         "modificationTime",
@@ -69,6 +71,39 @@ def manifest_files(
         "n_listed",
         F.when(F.col("length").isNotNull(), "ok").when(is_hidden(F.col("path")), "hidden").otherwise("missing").alias("status"),
     )
+    files = stage_table(joined, "files")
+    absent = F.col("status") == "missing"
+    if files.where(absent).head() is None:
+        return files
+    return stage_table(files.where(~absent).unionByName(_with_empty_files(files.where(absent))), "files")
+
+
+def _with_empty_files(absent_df: DataFrame) -> DataFrame:
+    """Spark's listing leaves out files of no bytes, so paths it did not give
+    are looked up one by one, by the tasks."""
+
+    @F.arrow_udf("bigint")
+    def empty_since(paths: pa.Array) -> pa.Array:
+        found = []
+        for path in paths.to_pylist():
+            fs, name = open_fs(path)
+            info = fs.get_file_info(name)
+            found.append(info.mtime_ns // 1000 if info.is_file and info.size == 0 else None)
+        return pa.array(found, pa.int64())
+
+    is_empty = F.col("__since").isNotNull()
+    return (
+        absent_df.withColumn("__since", empty_since("path"))
+        .withColumns(
+            {
+                "status": F.when(is_empty, "ok").otherwise(F.col("status")),
+                "length": F.when(is_empty, F.lit(0).cast("bigint")),
+                "modificationTime": F.timestamp_micros("__since"),
+                "uri": F.when(is_empty, F.col("path")),
+            }
+        )
+        .drop("__since")
+    )
 
 
 def with_waves(files_df: DataFrame, max_files: int = WAVE_FILES, max_bytes: int = WAVE_BYTES) -> tuple[DataFrame, int]:
@@ -94,14 +129,13 @@ def file_fetch(
     with ``status='missing'`` and no content.  The manifest side is broadcast a
     wave at a time, so its size is bounded; content is never shuffled.
     """
-    files, waves = with_waves(
-        stage_table(manifest_files(spark, manifest_df, path_col, base_uri), "files"), max_files
-    )
-    content = F.lit(None).cast("binary").alias("content")
+    files, waves = with_waves(manifest_files(spark, manifest_df, path_col, base_uri), max_files)
     keep = [name for name in files.columns if name not in ("wave", "uri")]
-    result = files.where("status <> 'ok'").select(*keep, content)
+    readable = (F.col("status") == "ok") & (F.col("length") > 0)
+    nothing = F.when(F.col("status") == "ok", F.lit(b"")).cast("binary").alias("content")
+    result = files.where(~readable | F.col("length").isNull()).select(*keep, nothing)
     for wave in range(waves):
-        part = files.where((F.col("wave") == wave) & (F.col("status") == "ok"))
+        part = files.where((F.col("wave") == wave) & readable)
         paths = [row.path for row in part.select("path").collect()]
         if not paths:
             continue
@@ -124,5 +158,5 @@ def codec_text_scan(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_size").alias("length"),
         F.col("_metadata.file_modification_time").alias("modificationTime"),
-        without_cr(decoded(F.col("value"), charset)).alias("line"),
-    )
+        decoded(F.col("value"), charset).alias("line"),
+    ).withColumn("line", without_cr(F.col("line")))

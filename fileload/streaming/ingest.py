@@ -17,11 +17,15 @@ from fileload.sinks.detail import detail_write, job_folder
 from fileload.sinks.keyed_table import KeyedTable
 from fileload.sources.files import NOT_Z
 
+# Files are told apart by name alone.  Spark's default passes over files more than
+# a week older than the newest seen, which would lose late copies of old files.
+ANY_AGE = "36500d"
+
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def _source(spark: SparkSession, codec: str, archive_path: str | None, per_trigger: dict[str, int]):
-    reader = spark.readStream.options(**{name: str(value) for name, value in per_trigger.items()})
+    reader = spark.readStream.options(maxFileAge=ANY_AGE, **{name: str(value) for name, value in per_trigger.items()})
     if archive_path:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_path)
     if codec == "z":
@@ -53,11 +57,11 @@ def stream_lines(
         F.col("_metadata.file_modification_time").alias("modificationTime"),
         F.lit("line").alias("kind"),
         F.lit(None).cast("bigint").alias("line_no"),
-        without_cr(decoded(F.col("value"), charset)).alias("line"),
+        decoded(F.col("value"), charset).alias("line"),
         F.lit("ok").alias("status"),
         F.lit(None).cast("bigint").alias("n_lines"),
         F.lit(None).cast("bigint").alias("n_bytes"),
-    )
+    ).withColumn("line", without_cr(F.col("line")))
     return lines if max_file_size is None else take_route(lines, max_file_size, "normal")
 
 
