@@ -1,12 +1,16 @@
-"""File paths as column expressions, and the few driver-side file calls."""
+"""File paths as column expressions, and the few file calls outside of scans."""
 
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 
+from pyarrow import fs as pafs
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+CALLS_AT_ONCE = 32
+
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
 
 
@@ -26,6 +30,12 @@ def exists(spark: SparkSession, uri: str) -> bool:
     return fs.exists(path)
 
 
+def existing(spark: SparkSession, uris: list[str]) -> list[str]:
+    with ThreadPoolExecutor(CALLS_AT_ONCE) as pool:
+        found = pool.map(lambda uri: exists(spark, uri), uris)
+        return [uri for uri, there in zip(uris, found) if there]
+
+
 def is_filled(spark: SparkSession, uri: str) -> bool:
     """True when a folder holds anything a scan of it would read."""
     fs, path = _fs(spark, uri)
@@ -78,3 +88,12 @@ def is_z(path: Column) -> Column:
 def literal_glob(path: str) -> str:
     """A path as a glob pattern that matches only itself."""
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
+    """For tasks: file system and path of a URI or a plain local path."""
+    if uri.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
+    if "://" not in uri:
+        return pafs.LocalFileSystem(), uri
+    return pafs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))

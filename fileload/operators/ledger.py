@@ -39,4 +39,4 @@ def handled(files_df: DataFrame, ledger_df: DataFrame) -> DataFrame:
 
 def commit(ledger_path: str, status_df: DataFrame, job_id: str, wave: int = 0) -> None:
     """Record handled files; repeating a commit replaces it."""
-    detail_write(status_df.select(*IDENTITY, "status"), ledger_path, job_id, scope={"wave": wave})
+    detail_write(status_df.select(*IDENTITY, "status"), ledger_path, job_id, scope={"wave": wave}, rebalance=True)

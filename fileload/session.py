@@ -8,10 +8,11 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-# A .Z file is decoded by one task, at a cost that dwarfs opening it, so files
-# are packed into small tasks; Arrow batches are bounded by bytes, not rows.
+# A .Z file is decoded by one task at a cost that dwarfs opening it, so tasks get
+# fewer bytes than a text scan's, but enough to write files of a useful size.
+# Arrow batches are bounded by bytes, not rows.
 DECODE_CONF = {
-    "spark.sql.files.maxPartitionBytes": "4m",
+    "spark.sql.files.maxPartitionBytes": "32m",
     "spark.sql.files.openCostInBytes": "256k",
     "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
 }

@@ -11,19 +11,9 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
-from fileload.functions.paths import is_filled, working_uri
+from fileload.functions.paths import CALLS_AT_ONCE, is_filled, open_fs, working_uri
 
 FORMAT = "z_payload_files"
-MOVES_AT_ONCE = 32
-
-
-def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
-    """File system and path of a URI or a plain local path."""
-    if uri.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
-    if "://" not in uri:
-        return pafs.LocalFileSystem(), uri
-    return pafs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
 
 
 @dataclass
@@ -58,7 +48,7 @@ class PayloadWriter(DataSourceArrowWriter):
         fs, root = open_fs(self.path)
         temp = open_fs(self.temp)[1]
         moves = [move for message in messages if message for move in message.names]
-        with ThreadPoolExecutor(MOVES_AT_ONCE) as pool:
+        with ThreadPoolExecutor(CALLS_AT_ONCE) as pool:
             folders = {final.rsplit("/", 1)[0] for _, final in moves}
             list(pool.map(lambda folder: fs.create_dir(f"{root}/{folder}", recursive=True), folders))
             list(pool.map(lambda move: fs.move(f"{temp}/{move[0]}", f"{root}/{move[1]}"), moves))

@@ -6,15 +6,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fileload.functions.paths import exists, is_hidden, literal_glob, parent, qualify, working_uri
+from fileload.functions.paths import existing, is_hidden, literal_glob, open_fs, parent, qualify, working_uri
 from fileload.functions.text import decoded, without_cr
-from fileload.session import stage_table
-from fileload.sinks.zfiles import open_fs
+from fileload.session import stage_dir, stage_table
 
 # One wave of files is what the driver names, and what is broadcast, at a time.
 WAVE_FILES = 20_000
 WAVE_BYTES = 8 << 20
 
+# Folders the driver lists at a time.
+LIST_FOLDERS = 2_000
+LISTING = "path string, length bigint, modificationTime timestamp, uri string"
+
 # Every name but *.Z, which has no Hadoop codec and would be read as raw bytes.
 NOT_Z = "{*[!Z],*[!.]Z,Z}"
 
@@ -55,12 +58,7 @@ def manifest_files(
         .agg(F.min("entry").alias("entry"), F.count("*").alias("n_listed"))
     )
     named = stage_table(named, "manifest")
-    folders = [row[0] for row in named.select(parent(F.col("path"))).distinct().collect()]
-    folders = [folder for folder in folders if exists(spark, folder)]
-    if folders:
-        found = list_files(spark, folders)
-    else:
-        found = spark.createDataFrame([], "path string, length bigint, modificationTime timestamp, uri string")
+    found = _listed(spark, named.select(parent(F.col("path")).alias("folder")).distinct())
     joined = named.join(found, "path", "left").select(
         "path",
         "length",
@@ -78,6 +76,26 @@ def manifest_files(
     return stage_table(files.where(~absent).unionByName(_with_empty_files(files.where(absent))), "files")
 
 
+def _listed(spark: SparkSession, folders_df: DataFrame) -> DataFrame:
+    """Listing of all the folders, kept as a table.  The driver indexes one
+    group of folders at a time, not the whole input."""
+    folders = stage_table(folders_df, "folders")
+    groups = -(-folders.count() // LIST_FOLDERS)
+
+    def group(folder):
+        return F.pmod(F.xxhash64(folder), F.lit(groups))
+
+    table = stage_dir(spark, "listing")
+    spark.createDataFrame([], LISTING).write.parquet(table)
+    for number in range(groups):
+        names = existing(spark, [row.folder for row in folders.where(group(F.col("folder")) == number).collect()])
+        if names:
+            # A folder inside another is seen with both, and counts in its own group.
+            files = list_files(spark, names).where(group(parent(F.col("path"))) == number)
+            files.write.mode("append").parquet(table)
+    return spark.read.schema(LISTING).parquet(table)
+
+
 def _with_empty_files(absent_df: DataFrame) -> DataFrame:
     """Spark's listing leaves out files of no bytes, so paths it did not give
     are looked up one by one, by the tasks."""

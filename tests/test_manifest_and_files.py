@@ -1,12 +1,10 @@
-import os
-import time
-
 import pytest
 from pyspark.sql import functions as F
 
 from fileload.functions.paths import parent, qualify, working_uri
 from fileload.operators.manifest import manifest_parse
 from fileload.operators.routing import lineage_stamp, size_route, take_route
+from fileload.sources import files
 from fileload.sources.files import codec_text_scan, file_fetch, list_files, manifest_files
 from fileload.sources.manifest import manifest_scan
 
@@ -83,8 +81,9 @@ def listed(spark, lines, layout=("path", "tag")):
     return manifest_parse(spark.createDataFrame([(v, "m") for v in lines], "value string, manifest_file string"), layout)
 
 
-@pytest.mark.parametrize("max_files", [20_000, 2])
-def test_file_fetch(spark, inputs, max_files):
+@pytest.mark.parametrize("max_files, folders", [(20_000, 2_000), (2, 1)])
+def test_file_fetch(spark, inputs, monkeypatch, max_files, folders):
+    monkeypatch.setattr(files, "LIST_FOLDERS", folders)
     lines = [f"{inputs}/{name}:t{i}" for i, name in enumerate(NAMES)]
     lines += [f"{inputs}//plain.txt:again", f"{inputs}/absent.txt:a", f"{inputs}/empty.txt:e", f"{inputs}/sub:dir", "/no/such/folder/x:b", f"{inputs}/_hidden.txt:c", "", ":"]
     rows = {r.path.split("/in/")[-1]: r for r in file_fetch(spark, listed(spark, lines), "path", max_files=max_files).collect()}
@@ -157,16 +156,16 @@ def test_charsets(spark, tmp_path):
 
 
 def test_size_route(spark):
-    files = spark.createDataFrame([("a", 10), ("b", 11), ("c", 0)], "path string, length bigint")
-    assert {r.path: r.route for r in size_route(files, 10).collect()} == {"a": "normal", "b": "oversize", "c": "normal"}
-    assert [r.path for r in take_route(files, 10, "oversize").collect()] == ["b"]
+    sizes = spark.createDataFrame([("a", 10), ("b", 11), ("c", 0)], "path string, length bigint")
+    assert {r.path: r.route for r in size_route(sizes, 10).collect()} == {"a": "normal", "b": "oversize", "c": "normal"}
+    assert [r.path for r in take_route(sizes, 10, "oversize").collect()] == ["b"]
     with pytest.raises(ValueError):
-        take_route(files, 10, "other")
+        take_route(sizes, 10, "other")
 
 
 def test_size_limit_reaches_the_scan(spark, inputs):
-    files = spark.read.format("binaryFile").load(str(inputs))
-    plan = take_route(files, 10, "oversize")._jdf.queryExecution().executedPlan().toString()
+    scan = spark.read.format("binaryFile").load(str(inputs))
+    plan = take_route(scan, 10, "oversize")._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(length,10)" in plan
 
 
