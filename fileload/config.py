@@ -6,7 +6,7 @@ import re
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from fileload.operators.records import record_spec
+from fileload.operators.records import BAD, fields, record_spec
 
 # A letter first, so that partition discovery never reads a job id as a number.
 _JOB_ID = re.compile(r"[A-Za-z][A-Za-z0-9_.-]*")
@@ -21,6 +21,30 @@ SETTING_NAMES = {
 }
 
 
+# What a written row has besides its record's columns.
+STAMPS = fields(
+    **{BAD: "string"},
+    line_no="long",
+    src_path="string",
+    src_length="long",
+    src_mtime="timestamp",
+    status="string",
+    n_lines="long",
+    n_bytes="long",
+    wave="integer",
+    codec="string",
+    kind="string",
+)
+RESERVED = {*STAMPS.names, "job_id", "record_type", "batch", "path", "length", "modificationTime"}
+
+
+def check_names(record_type: str) -> None:
+    """Fields are told apart by position, so a clashing name can be changed."""
+    clash = RESERVED & set(record_spec(record_type).schema.names)
+    if clash:
+        raise ValueError(f"record type {record_type!r} uses the reserved names {sorted(clash)}")
+
+
 def check_job_id(job_id: str) -> str:
     if not _JOB_ID.fullmatch(job_id or ""):
         raise ValueError(f"job id {job_id!r} must be letters, digits, '_', '.', '-' and start with a letter")
@@ -48,10 +72,12 @@ class LoadConfig:
     max_records_per_file: int | None = None
 
     def __post_init__(self):
-        record_spec(self.record_type)
+        check_names(self.record_type)
         check_job_id(self.job_id)
         if isinstance(self.max_file_size, bool) or not isinstance(self.max_file_size, int):
             raise ValueError(f"max_file_size must be an integer, not {self.max_file_size!r}")
+        if not -(1 << 63) <= self.max_file_size < 1 << 63:
+            raise ValueError(f"max_file_size {self.max_file_size} does not fit in 64 bits")
         if self.path_col not in self.layout:
             raise ValueError(f"layout {self.layout} has no column {self.path_col!r}")
 

@@ -30,6 +30,11 @@ def exists(spark: SparkSession, uri: str) -> bool:
     return fs.exists(path)
 
 
+def remove(spark: SparkSession, uri: str) -> None:
+    fs, path = _fs(spark, uri)
+    fs.delete(path, True)
+
+
 def existing(spark: SparkSession, uris: list[str]) -> list[str]:
     with ThreadPoolExecutor(CALLS_AT_ONCE) as pool:
         found = pool.map(lambda uri: exists(spark, uri), uris)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fileload.functions import lzw
+from fileload.session import stage_table
 
 OUTPUT = "shard string, part bigint, content binary, n_lines bigint, n_bytes bigint"
 PART_BYTES = 32 << 20
@@ -28,11 +29,11 @@ def z_export(
     A shard is cut into parts of about ``part_bytes`` of text, so a shard that
     holds most of the rows is spread over many tasks and no task holds more than
     a part.  With ``order_cols``, a shard's parts read in ``part`` order give
-    its lines in that order: rows are range-partitioned on shard and order, the
-    only shuffle.  The columns should identify a row, since rows equal in all of
-    them and in the line stay together.  Without ``order_cols`` nothing is
-    shuffled and each input partition writes its own parts.  A null line is
-    written as an empty one.
+    its lines in that order.  The rows are then kept as a table, numbered as
+    they lie in it and range-partitioned on shard, order and number: the only
+    shuffle, and one that also splits rows that are copies of each other.
+    Without ``order_cols`` nothing is shuffled and each input partition writes
+    its own parts.  A null line is written as an empty one.
     """
     order = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     line = F.coalesce(F.col(line_col).cast("string"), F.lit(""))
@@ -42,10 +43,14 @@ def z_export(
         *[F.col(name).alias(f"__order{i}") for i, name in enumerate(order)],
     )
     if order:
+        # The number must not change when a task runs again, so it is taken from
+        # files, whose rows keep their places.
+        rows = stage_table(rows.withColumn("__size", F.octet_length("line") + 1), "rows")
         if num_partitions is None:
-            total = rows.agg(F.sum(F.octet_length("line").cast("bigint") + 1)).first()[0] or 0
-            num_partitions = max(df.sparkSession.sparkContext.defaultParallelism, -(-total // part_bytes))
-        keys = ["shard", *[f"__order{i}" for i in range(len(order))], F.xxhash64("line")]
+            total = rows.agg(F.sum(F.col("__size").cast("bigint"))).first()[0] or 0
+            num_partitions = max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-total // part_bytes))
+        keys = ["shard", *[f"__order{i}" for i in range(len(order))], "__number"]
+        rows = rows.drop("__size").withColumn("__number", F.monotonically_increasing_id())
         rows = rows.repartitionByRange(num_partitions, *keys).sortWithinPartitions(*keys)
     else:
         rows = rows.sortWithinPartitions("shard")

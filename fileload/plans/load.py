@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fileload.config import LoadConfig
-from fileload.functions.paths import exists, is_z, literal_glob
+from fileload.config import STAMPS, LoadConfig
+from fileload.functions.paths import existing, exists, is_z, literal_glob, remove
 from fileload.operators.audit import load_audit
 from fileload.operators.ledger import commit, handled, ledger, pending
 from fileload.operators.manifest import manifest_parse
-from fileload.operators.records import BAD, fields, record_parse, record_spec
+from fileload.operators.records import record_parse, record_spec
 from fileload.operators.routing import lineage_stamp, size_route
 from fileload.operators.unz import z_ingest
 from fileload.session import DECODE_CONF, conf_scope
@@ -27,21 +28,6 @@ LOAD_WAVE_BYTES = 128 << 20
 
 FILE_COLUMNS = ("status", "n_lines", "n_bytes")
 
-# What a written row has besides its record's columns.
-STAMPS = fields(
-    **{BAD: "string"},
-    line_no="long",
-    src_path="string",
-    src_length="long",
-    src_mtime="timestamp",
-    status="string",
-    n_lines="long",
-    n_bytes="long",
-    wave="integer",
-    codec="string",
-    kind="string",
-)
-
 
 @dataclass(frozen=True)
 class LoadResult:
@@ -51,13 +37,7 @@ class LoadResult:
     config: LoadConfig
 
     def _written(self) -> DataFrame:
-        folder = job_folder(self.config.detail_path, self.config.job_id)
-        schema = T.StructType([*record_spec(self.config.record_type).schema.fields, *STAMPS.fields])
-        if exists(self.spark, folder):
-            rows = self.spark.read.schema(schema).parquet(folder)
-        else:
-            rows = self.spark.createDataFrame([], schema)
-        return rows.withColumn("job_id", F.lit(self.config.job_id))
+        return _written(self.spark, self.config).withColumn("job_id", F.lit(self.config.job_id))
 
     def detail(self) -> DataFrame:
         """The typed rows."""
@@ -84,6 +64,12 @@ class LoadResult:
         return load_audit(detail, self.files())
 
 
+def _written(spark: SparkSession, config: LoadConfig, **scope: int) -> DataFrame:
+    folder = job_folder(config.detail_path, config.job_id, scope)
+    schema = T.StructType([*record_spec(config.record_type).schema.fields, *STAMPS.fields])
+    return spark.read.schema(schema).parquet(folder) if exists(spark, folder) else spark.createDataFrame([], schema)
+
+
 def _plan_folder(config: LoadConfig) -> str:
     return job_folder(f"{config.ledger_path.rstrip('/')}/_plan", config.job_id)
 
@@ -141,14 +127,32 @@ def run_load(
     for wave in sorted(waves):
         done = f"{job_folder(config.ledger_path, config.job_id, {'wave': wave})}/_SUCCESS"
         if not exists(spark, done):
-            _load_wave(spark, config, planned.where((F.col("wave") == wave) & (F.col("status") == "ok")), wave)
+            part = planned.where((F.col("wave") == wave) & (F.col("status") == "ok"))
+            try:
+                _load_wave(spark, config, part, wave)
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                _load_wave(spark, config, _mark_gone(spark, part), wave, some_gone=True)
     return LoadResult(spark, config)
 
 
-def _load_wave(spark: SparkSession, config: LoadConfig, files: DataFrame, wave: int) -> None:
+def _mark_gone(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """A wave's files, those deleted since the plan was made as ``missing``."""
+    there = existing(spark, [row.path for row in files.select("path").collect()])
+    found = spark.createDataFrame([(path,) for path in there], "path string")
+    gone = files.join(found, "path", "left_anti").withColumn("status", F.lit("missing"))
+    return files.join(found, "path", "left_semi").unionByName(gone)
+
+
+def _load_wave(
+    spark: SparkSession, config: LoadConfig, files: DataFrame, wave: int, some_gone: bool = False
+) -> None:
+    # What an attempt that did not get as far as its ledger entry has left.
+    remove(spark, job_folder(config.detail_path, config.job_id, {"wave": wave}))
     charset = record_spec(config.record_type).charset
     zs, texts = [], []
-    for row in files.select("path").toLocalIterator():
+    for row in files.where("status = 'ok'").select("path").toLocalIterator():
         (zs if row.path.endswith(".Z") else texts).append(literal_glob(row.path))
 
     def write(rows: DataFrame, codec: str) -> None:
@@ -167,18 +171,19 @@ def _load_wave(spark: SparkSession, config: LoadConfig, files: DataFrame, wave:
         payloads = scan.select(F.col("_metadata.file_path").alias("path"), "length", "modificationTime", "content")
         with conf_scope(spark, DECODE_CONF):
             write(z_ingest(payloads, charset, config.mode), "z")
+    # Text files, and whatever gets no row from the decoder, have their file rows here.
+    rows = files.where(~is_z(F.col("path")) | (F.col("status") != "ok")).select(
+        F.col("uri").alias("path"), "length", "modificationTime", F.lit("file").alias("kind"), "status"
+    )
     if texts:
-        lines = codec_text_scan(spark, texts, charset).withColumns(
-            {"kind": F.lit("line"), "status": F.lit("ok"), "line_no": F.lit(None).cast("bigint")}
-        )
-        seen = files.where(~is_z(F.col("path"))).select(
-            F.col("uri").alias("path"), "length", "modificationTime", F.lit("file").alias("kind"), F.lit("ok").alias("status")
-        )
-        rows = lines.unionByName(seen, allowMissingColumns=True)
-        counts = {"n_lines": F.lit(None).cast("bigint"), "n_bytes": F.lit(None).cast("bigint")}
-        write(rows.withColumns(counts), "text")
-    written = spark.read.parquet(job_folder(config.detail_path, config.job_id, {"wave": wave}))
-    status = written.where("kind = 'file'").withColumnsRenamed(
+        lines = codec_text_scan(spark, texts, charset)
+        rows = lines.withColumns({"kind": F.lit("line"), "status": F.lit("ok")}).unionByName(rows, allowMissingColumns=True)
+    else:
+        rows = rows.withColumn("line", F.lit(None).cast("string"))
+    if texts or some_gone:
+        unknown = ("line_no", "n_lines", "n_bytes")
+        write(rows.withColumns({name: F.lit(None).cast("bigint") for name in unknown}), "text")
+    status = _written(spark, config, wave=wave).where("kind = 'file' and status <> 'missing'").withColumnsRenamed(
         {"src_path": "path", "src_length": "length", "src_mtime": "modificationTime"}
     )
     commit(config.ledger_path, status, config.job_id, wave)

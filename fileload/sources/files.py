@@ -77,8 +77,13 @@ def manifest_files(
 
 
 def _listed(spark: SparkSession, folders_df: DataFrame) -> DataFrame:
-    """Listing of all the folders, kept as a table.  The driver indexes one
-    group of folders at a time, not the whole input."""
+    """Listing of all the folders.  The driver indexes one group of folders at a
+    time; with more than one group the listings are kept as a table."""
+    few = [row.folder for row in folders_df.limit(LIST_FOLDERS + 1).collect()]
+    nothing = spark.createDataFrame([], LISTING)
+    if len(few) <= LIST_FOLDERS:
+        names = existing(spark, few)
+        return list_files(spark, names) if names else nothing
     folders = stage_table(folders_df, "folders")
     groups = -(-folders.count() // LIST_FOLDERS)
 
@@ -86,9 +91,9 @@ def _listed(spark: SparkSession, folders_df: DataFrame) -> DataFrame:
         return F.pmod(F.xxhash64(folder), F.lit(groups))
 
     table = stage_dir(spark, "listing")
-    spark.createDataFrame([], LISTING).write.parquet(table)
+    nothing.write.parquet(table)
     for number in range(groups):
-        names = existing(spark, [row.folder for row in folders.where(group(F.col("folder")) == number).collect()])
+        names = existing(spark, [row.folder for row in folders.where(group("folder") == number).collect()])
         if names:
             # A folder inside another is seen with both, and counts in its own group.
             files = list_files(spark, names).where(group(parent(F.col("path"))) == number)

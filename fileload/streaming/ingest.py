@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fileload.config import check_job_id
+from fileload.config import check_job_id, check_names
 from fileload.functions.text import decoded, without_cr
 from fileload.operators.keyed import keyed_load
 from fileload.operators.records import record_parse, record_spec
@@ -46,12 +46,17 @@ def stream_lines(
     **per_trigger: int,
 ) -> DataFrame:
     """A stream of the rows ``z_ingest`` or ``codec_text_scan`` give in batch.
-    ``per_trigger`` takes ``maxFilesPerTrigger`` and ``maxBytesPerTrigger``."""
+    ``.Z`` files above ``max_file_size`` give a file row with status ``oversize``
+    only.  ``per_trigger`` takes ``maxFilesPerTrigger`` and ``maxBytesPerTrigger``."""
     stream = _source(spark, codec, archive_path, per_trigger).load(input_path)
     if codec == "z":
         files = stream.select(F.col("_metadata.file_path").alias("path"), "length", "modificationTime", "content")
-        return z_ingest(files if max_file_size is None else take_route(files, max_file_size, "normal"), charset, mode)
-    lines = stream.select(
+        if max_file_size is None:
+            return z_ingest(files, charset, mode)
+        too_big = F.col("length") > max_file_size
+        rows = z_ingest(files.withColumn("content", F.when(~too_big, F.col("content"))), charset, mode)
+        return rows.withColumn("status", F.when(too_big, "oversize").otherwise(F.col("status")))
+    return stream.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_size").alias("length"),
         F.col("_metadata.file_modification_time").alias("modificationTime"),
@@ -62,7 +67,13 @@ def stream_lines(
         F.lit(None).cast("bigint").alias("n_lines"),
         F.lit(None).cast("bigint").alias("n_bytes"),
     ).withColumn("line", without_cr(F.col("line")))
-    return lines if max_file_size is None else take_route(lines, max_file_size, "normal")
+
+
+def _without_oversize(batch: DataFrame, max_file_size: int) -> DataFrame:
+    """Lines of the other files, and one file row for each file above the limit."""
+    big = take_route(batch, max_file_size, "oversize").select("path", "length", "modificationTime").distinct()
+    named = big.withColumns({"kind": F.lit("file"), "status": F.lit("oversize")})
+    return take_route(batch, max_file_size, "normal").unionByName(named, allowMissingColumns=True)
 
 
 def stream_ingest(
@@ -84,16 +95,20 @@ def stream_ingest(
 
     The checkpoint takes the place of the ledger.  A micro-batch replaces its
     own folder ``job_id=…/batch=…``, so a batch that is run again is not loaded
-    twice; a job id belongs to one checkpoint.  With ``table``, the batch's rows
+    twice; a job id belongs to one checkpoint.  Files above ``max_file_size`` are
+    recorded (``stream_files``) and not loaded.  With ``table``, the batch's rows
     are also merged into it (``keyed`` holds the arguments of ``keyed_load``).
     Handled files move to ``archive_path``; those of the last batch follow when
     a later batch runs.
     """
     check_job_id(job_id)
+    check_names(record_type)
     charset = record_spec(record_type).charset
     lines = stream_lines(spark, input_path, charset, codec, archive_path, max_file_size, mode, **per_trigger)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
+        if codec == "text" and max_file_size is not None:
+            batch = _without_oversize(batch, max_file_size)
         parsed = lineage_stamp(record_parse(batch, record_type), job_id)
         with conf_scope(batch.sparkSession, DECODE_CONF if codec == "z" else {}):
             folder = detail_write(parsed, detail_path, job_id, ["kind"], scope={"batch": batch_id})
@@ -113,3 +128,10 @@ def stream_detail(spark: SparkSession, detail_path: str, job_id: str) -> DataFra
     """The typed rows an incremental job has written so far."""
     rows = spark.read.parquet(job_folder(detail_path, job_id)).where("kind = 'line'")
     return rows.drop("kind", "batch", "status", "n_lines", "n_bytes").withColumn("job_id", F.lit(job_id))
+
+
+def stream_files(spark: SparkSession, detail_path: str, job_id: str) -> DataFrame:
+    """Status of the ``.Z`` files, and of files above the size limit."""
+    rows = spark.read.parquet(job_folder(detail_path, job_id)).where("kind = 'file'")
+    wanted = ["src_path", "src_length", "src_mtime", "status", "n_lines", "n_bytes"]
+    return rows.select(F.lit(job_id).alias("job_id"), *wanted)

@@ -9,7 +9,7 @@ from fileload.operators.records import RecordSpec, fields, register_record
 from fileload.plans import load
 from fileload.plans.load import run_load
 from fileload.sinks.keyed_table import KeyedTable
-from fileload.streaming.ingest import stream_detail, stream_ingest
+from fileload.streaming.ingest import stream_detail, stream_files, stream_ingest
 
 register_record("pairs", RecordSpec(fields(k="string", v="long")))
 register_record("pairs_gbk", RecordSpec(fields(k="string", v="long"), charset="GBK"))
@@ -110,6 +110,23 @@ def test_crash_before_the_ledger_entry(spark, place, monkeypatch):
     assert sorted(rows(result), key=str) == sorted(WANT, key=str) and audit(result) == STATUS
 
 
+def test_file_deleted_between_plan_and_load(spark, place, monkeypatch):
+    plan = load.make_plan
+
+    def plan_then_lose(*args):
+        plan(*args)
+        os.unlink(place / "in" / "packed.Z")
+
+    monkeypatch.setattr(load, "make_plan", plan_then_lose)
+    result = run_load(spark, config(place), str(place / "manifest"))
+    assert audit(result) == {**STATUS, "packed.Z": ("missing", 0, 0)}
+    monkeypatch.undo()
+    # it comes back with the same times: not in the ledger, so it is loaded
+    (place / "in" / "packed.Z").write_bytes(lzw.encode(b"c|3\nd|x\n"))
+    again = run_load(spark, config(place, "j2"), str(place / "manifest"))
+    assert {r[0] for r in rows(again)} == {"packed.Z"}
+
+
 def test_later_job_loads_only_what_is_new(spark, place):
     run_load(spark, config(place), str(place / "manifest"))
     (place / "in" / "new.txt").write_text("n|5\n")
@@ -161,6 +178,18 @@ def test_config():
         LoadConfig.from_settings(settings, job_id="20240101", ledger_path="/l")
 
 
+def test_reserved_names(place):
+    register_record("clash", RecordSpec(fields(status="string")))
+    with pytest.raises(ValueError, match="status"):
+        config(place, record_type="clash")
+
+
+def test_only_bad_files_dropped(spark, place):
+    (place / "manifest").write_text(f"{place}/in/corrupt.Z\n")
+    result = run_load(spark, config(place, mode="DROPMALFORMED"), str(place / "manifest"))
+    assert result.detail().count() == 0 and audit(result) == {}
+
+
 def stream(spark, place, **kwargs):
     query = stream_ingest(
         spark, str(place / "in"), "pairs", str(place / "detail"), str(place / "checkpoint"), "s1", **kwargs
@@ -180,12 +209,24 @@ def test_stream_of_text(spark, place):
 
 def test_stream_of_z(spark, place):
     assert stream(spark, place, codec="z") == [("packed.Z", "c", 3), ("packed.Z", "d", None)]
-    status = spark.read.parquet(str(place / "detail" / "job_id=s1")).where("kind = 'file'")
-    assert {r.src_path.rsplit("/", 1)[1]: r.status for r in status.collect()} == {"packed.Z": "ok", "corrupt.Z": "corrupt"}
+    assert stream_status(spark, place) == {"packed.Z": "ok", "corrupt.Z": "corrupt"}
+
+
+def stream_status(spark, place):
+    rows = stream_files(spark, str(place / "detail"), "s1").collect()
+    assert len(rows) == len({r.src_path for r in rows})
+    return {r.src_path.rsplit("/", 1)[1]: r.status for r in rows}
+
+
+def test_stream_size_limit_on_z(spark, place):
+    (place / "in" / "long.Z").write_bytes(lzw.encode(os.urandom(3000)))
+    assert {name for name, _, _ in stream(spark, place, codec="z", max_file_size=1000)} == {"packed.Z"}
+    assert stream_status(spark, place) == {"packed.Z": "ok", "corrupt.Z": "corrupt", "long.Z": "oversize"}
 
 
 def test_stream_size_limit(spark, place):
     assert {name for name, _, _ in stream(spark, place, max_file_size=1000)} == {"plain.txt"}
+    assert stream_status(spark, place) == {"big.txt": "oversize"}
     with pytest.raises(ValueError):
         stream(spark, place, codec="other")
 

@@ -127,6 +127,13 @@ def test_hot_shard_is_spread_over_tasks(skewed):
     assert len(tasks) >= 6
 
 
+def test_copies_are_spread_over_tasks(spark):
+    rows = spark.range(8000, numPartitions=4).select(F.lit("s").alias("shard"), F.lit(1).alias("n"), F.lit("copy").alias("line"))
+    packed = z_export(rows, "shard", "line", "n", num_partitions=8).cache()
+    assert len({r.part >> 32 for r in packed.collect()}) >= 6
+    assert packed.agg(F.sum("n_lines")).first()[0] == 8000
+
+
 def test_z_export_without_order_shuffles_nothing(skewed):
     packed = z_export(skewed, "shard", "line", part_bytes=5_000)
     assert "Exchange" not in packed._jdf.queryExecution().executedPlan().toString()
