@@ -34,6 +34,9 @@ EVENTS = fields(
     event_id="long", ts="timestamp_ntz", user_id="long", event_type="string", value="double", props="string"
 )
 
+# Events as cells: the type is the qualifier.
+EVENT_CELLS = {"qualifier_col": "event_type", "value_col": "value", "ties": ["event_id"]}
+
 register_record("events", RecordSpec(EVENTS))
 register_record("doc_facts", RecordSpec(fields(doc_id="long", lang="string", n_chars="long")))
 
@@ -71,8 +74,8 @@ def plain(path):
     return F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]+)?/*", "/")
 
 
-def _files_by_source(spark: SparkSession, sf_dir: str, lines: DataFrame) -> str:
-    folder = stage_dir(spark, "input")
+def _files_by_source(lines: DataFrame) -> str:
+    folder = stage_dir(lines.sparkSession, "input")
     lines.select("value", "source").write.partitionBy("source").text(folder)
     return folder
 
@@ -98,13 +101,15 @@ def q_manifest_parse(spark, sf_dir):
 
 
 def q_file_fetch(spark, sf_dir):
+    """Every file of every source, and for each source a file that is not there."""
     docs = table(spark, sf_dir, "documents")
-    folder = _files_by_source(spark, sf_dir, docs.select("source", F.col("text").alias("value")))
-    files = list_files(spark, [folder]).where(source_number("path") % 2 == 0)
-    manifest = _manifest(spark, files.select(F.concat(plain(F.col("path")), F.lit(":"), source_name("path")).alias("value")))
+    folder = _files_by_source(docs.select("source", F.col("text").alias("value")))
+    there = list_files(spark, [folder]).select(plain(F.col("path")).alias("path"), source_name("path").alias("source"))
+    gone = docs.select(F.concat(F.lit(f"{folder}/gone-"), "source").alias("path"), "source").distinct()
+    manifest = _manifest(spark, there.union(gone).select(F.concat_ws(":", "path", "source").alias("value")))
     parsed = manifest_parse(manifest_scan(spark, manifest), ["path", "source"])
     fetched = file_fetch(spark, parsed, "path", working_uri(spark, folder))
-    return fetched.groupBy("source").agg(F.sum(F.octet_length("content").cast("bigint")).alias("length"))
+    return fetched.groupBy("source", "status").agg(F.sum(F.octet_length("content").cast("bigint")).alias("length"))
 
 
 def _z_by_source(spark, sf_dir) -> DataFrame:
@@ -153,7 +158,7 @@ def q_size_route(spark, sf_dir):
 
 
 def q_lineage_stamp(spark, sf_dir):
-    folder = _files_by_source(spark, sf_dir, doc_facts(spark, sf_dir))
+    folder = _files_by_source(doc_facts(spark, sf_dir))
     stamped = lineage_stamp(codec_text_scan(spark, folder), "job-1")
     return stamped.groupBy("job_id", source_name("src_path").alias("src")).agg(F.count("*").alias("n_rows"))
 
@@ -167,7 +172,7 @@ def q_detail_write(spark, sf_dir):
 
 
 def q_processed_ledger(spark, sf_dir):
-    folder = _files_by_source(spark, sf_dir, doc_facts(spark, sf_dir))
+    folder = _files_by_source(doc_facts(spark, sf_dir))
     files = list_files(spark, [folder])
     books = stage_dir(spark, "ledger")
     commit(books, files.where(source_number("path") < 10).withColumn("status", F.lit("ok")), "job-1")
@@ -178,19 +183,17 @@ def _cells_in_two_loads(spark, sf_dir) -> DataFrame:
     """All events, those of the second half of each day loaded first."""
     events = table(spark, sf_dir, "events")
     late = F.hour("ts") >= 12
-    pairs = {"qualifier_col": "event_type", "value_col": "value", "ties": ["event_id"]}
     stored = KeyedTable(spark, stage_dir(spark, "keyed"), 16)
     for part in (late, ~late):
-        stored.load(keyed_load(None, events.where(part), "user_id", "ts", **pairs))
+        stored.load(keyed_load(None, events.where(part), "user_id", "ts", **EVENT_CELLS))
     return stored.cells()
 
 
 def q_keyed_load(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     late = F.hour("ts") >= 12
-    pairs = {"qualifier_col": "event_type", "value_col": "value", "ties": ["event_id"]}
-    first = keyed_load(None, events.where(late), "user_id", "ts", **pairs)
-    both = keyed_load(first, events.where(~late), "user_id", "ts", **pairs)
+    first = keyed_load(None, events.where(late), "user_id", "ts", **EVENT_CELLS)
+    both = keyed_load(first, events.where(~late), "user_id", "ts", **EVENT_CELLS)
     return both.select("row_key", "qualifier", "version", "value")
 
 
@@ -224,6 +227,35 @@ def q_stream_ingest(spark, sf_dir):
     return stream_detail(spark, detail, "job-1").select("event_id", "user_id", "event_type", "value")
 
 
+def q_stream_z_ingest(spark, sf_dir):
+    folder, detail = stage_dir(spark, "z"), stage_dir(spark, "detail")
+    write_z_files(_z_by_source(spark, sf_dir), folder)
+    query = stream_ingest(
+        spark, f"{folder}/*", "doc_facts", detail, stage_dir(spark, "checkpoint"), "job-1", codec="z"
+    )
+    query.awaitTermination()
+    rows = stream_detail(spark, detail, "job-1")
+    return rows.select(source_name("src_path").alias("source"), "doc_id", "lang", "n_chars")
+
+
+def q_stream_keyed_load(spark, sf_dir):
+    folder, stored = stage_dir(spark, "input"), KeyedTable(spark, stage_dir(spark, "keyed"), 16)
+    event_lines(spark, sf_dir).select("value").write.option("maxRecordsPerFile", 4000).text(folder)
+    query = stream_ingest(
+        spark,
+        folder,
+        "events",
+        stage_dir(spark, "detail"),
+        stage_dir(spark, "checkpoint"),
+        "job-1",
+        keyed={"key": "user_id", "version": "ts", **EVENT_CELLS},
+        table=stored,
+        maxFilesPerTrigger=20,
+    )
+    query.awaitTermination()
+    return stored.cells().select("row_key", "qualifier", "version", "value")
+
+
 def q_load_audit(spark, sf_dir):
     folder, detail = stage_dir(spark, "input"), stage_dir(spark, "detail")
     event_lines(spark, sf_dir, break_some=True).write.partitionBy("event_type").text(folder)
@@ -234,10 +266,11 @@ def q_load_audit(spark, sf_dir):
     return audit.groupBy("record_type").agg(F.sum("n_rows").alias("n_rows"), F.sum("n_bad").alias("n_bad"))
 
 
-def q_bulk_load(spark, sf_dir):
-    """The whole job on events: even users' lines plain, the others' as .Z."""
+def _whole_job(spark, sf_dir, break_some: bool):
+    """The whole job on events: even users' lines as .gz, the others' as .Z."""
     folder = stage_dir(spark, "input")
-    lines = event_lines(spark, sf_dir).select("value", (F.get(F.split("value", r"\|"), F.lit(2)).cast("bigint") % 2 == 0).alias("even"))
+    user = F.get(F.split("value", r"\|"), F.lit(2)).cast("bigint")
+    lines = event_lines(spark, sf_dir, break_some).select("value", (user % 2 == 0).alias("even"))
     lines.where("even").select("value").write.option("compression", "gzip").text(f"{folder}/plain")
     write_z_files(z_export(lines.where("not even"), "even", "value"), f"{folder}/z")
     manifest = _manifest(spark, list_files(spark, [folder]).select(plain(F.col("path")).alias("value")))
@@ -249,7 +282,17 @@ def q_bulk_load(spark, sf_dir):
         ledger_path=stage_dir(spark, "ledger"),
         base_uri=working_uri(spark, folder),
     )
-    return run_load(spark, config, manifest).detail().select(*EVENTS.names)
+    return run_load(spark, config, manifest)
+
+
+def q_bulk_load(spark, sf_dir):
+    return _whole_job(spark, sf_dir, False).detail().select(*EVENTS.names)
+
+
+def q_bulk_load_audit(spark, sf_dir):
+    audit = _whole_job(spark, sf_dir, True).audit()
+    counts = [F.sum(name).alias(name) for name in ("n_rows", "n_bad")]
+    return audit.groupBy("job_id", "record_type", "status").agg(*counts)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -269,8 +312,8 @@ SELECT page_id, CAST(len(string_split(s, ':')) AS INT) AS n_fields,
        string_split(s, ':')[1] AS f0, string_split(s, ':')[-1] AS f_last FROM m
 """,
     "file_fetch": """
-SELECT source, CAST(sum(octet_length(encode(text))+1) AS BIGINT) AS length FROM documents
-WHERE CAST(substr(source, 4) AS INT)%2 = 0 GROUP BY source
+SELECT source, 'ok' AS status, CAST(sum(octet_length(encode(text))+1) AS BIGINT) AS length FROM documents GROUP BY source
+UNION ALL SELECT DISTINCT source, 'missing', CAST(NULL AS BIGINT) FROM documents
 """,
     "z_ingest": "SELECT source, doc_id, lang, n_chars FROM documents",
     "z_reject": """
@@ -303,6 +346,12 @@ SELECT lang AS shard, CAST(sum(length(text)-length(replace(text, chr(10), ''))+1
     "load_audit": """
 SELECT event_type AS record_type, count(*) AS n_rows,
        CAST(count(*) FILTER (WHERE event_id%97 = 0) AS BIGINT) AS n_bad FROM events GROUP BY event_type
+""",
+    "stream_z_ingest": "SELECT source, doc_id, lang, n_chars FROM documents",
+    "stream_keyed_load": NEWEST_CELLS,
+    "bulk_load_audit": """
+SELECT 'job-1' AS job_id, 'events' AS record_type, 'ok' AS status, count(*) AS n_rows,
+       CAST(count(*) FILTER (WHERE event_id%97 = 0) AS BIGINT) AS n_bad FROM events
 """,
     "bulk_load": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
 }

@@ -129,7 +129,7 @@ def test_hot_shard_is_spread_over_tasks(skewed):
 
 def test_copies_are_spread_over_tasks(spark):
     rows = spark.range(8000, numPartitions=4).select(F.lit("s").alias("shard"), F.lit(1).alias("n"), F.lit("copy").alias("line"))
-    packed = z_export(rows, "shard", "line", "n", num_partitions=8).cache()
+    packed = z_export(rows, "shard", "line", "n", num_partitions=8)
     assert len({r.part >> 32 for r in packed.collect()}) >= 6
     assert packed.agg(F.sum("n_lines")).first()[0] == 8000
 
