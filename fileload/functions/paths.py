@@ -41,10 +41,14 @@ def existing(spark: SparkSession, uris: list[str]) -> list[str]:
         return [uri for uri, there in zip(uris, found) if there]
 
 
+def child_names(spark: SparkSession, uri: str) -> list[str]:
+    fs, path = _fs(spark, uri)
+    return [status.getPath().getName() for status in fs.listStatus(path)] if fs.exists(path) else []
+
+
 def is_filled(spark: SparkSession, uri: str) -> bool:
     """True when a folder holds anything a scan of it would read."""
-    fs, path = _fs(spark, uri)
-    return fs.exists(path) and any(s.getPath().getName()[0] not in "_." for s in fs.listStatus(path))
+    return any(name[0] not in "_." for name in child_names(spark, uri))
 
 
 def qualify(path: Column, base: str) -> Column:

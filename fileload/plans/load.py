@@ -17,7 +17,7 @@ from fileload.operators.manifest import manifest_parse
 from fileload.operators.records import record_parse, record_spec
 from fileload.operators.routing import lineage_stamp, size_route
 from fileload.operators.unz import z_ingest
-from fileload.session import DECODE_CONF, conf_scope
+from fileload.session import DECODE_CONF, conf_scope, stage_scope
 from fileload.sinks.detail import detail_write, job_folder
 from fileload.sources.files import codec_text_scan, manifest_files, with_waves
 from fileload.sources.manifest import manifest_scan
@@ -114,7 +114,8 @@ def run_load(
     folder, so it ends with the same tables.
     """
     if not exists(spark, f"{_plan_folder(config)}/_SUCCESS"):
-        make_plan(spark, config, manifest_path, wave_files)
+        with stage_scope(spark):
+            make_plan(spark, config, manifest_path, wave_files)
     planned = plan(spark, config)
     bad = planned.where("status in ('missing', 'hidden')").select("path", "status").head()
     if bad and config.mode.upper() == "FAILFAST":

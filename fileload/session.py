@@ -5,9 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fileload.functions.paths import remove
+
 # A .Z file is decoded by one task at a cost that dwarfs opening it, so tasks get
 # fewer bytes than a text scan's, but enough to write files of a useful size.
 # Arrow batches are bounded by bytes, not rows.
@@ -49,14 +52,44 @@ def conf_scope(spark: SparkSession, conf: dict[str, str]):
                 spark.conf.set(key, value)
 
 
+# Folders made by stage_dir: in this process, and in the innermost stage_scope.
+_made: list[str] = []
+_scope: ContextVar[list[str] | None] = ContextVar("stage_scope", default=None)
+
+
+@contextmanager
+def stage_scope(spark: SparkSession):
+    """Remove the intermediate tables made inside once the work that reads them
+    is done.  Not for tables a returned DataFrame still reads."""
+    made: list[str] = []
+    token = _scope.set(made)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in made:
+            remove(spark, path)
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Remove all intermediate tables this process has made, when no DataFrame
+    that reads them (of ``file_fetch`` or ``z_export``) is needed any more."""
+    while _made:
+        remove(spark, _made.pop())
+
+
 def stage_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder every executor can reach, under ``spark.checkpoint.dir``."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
+        path = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    elif spark.sparkContext.master.startswith("local"):
+        path = tempfile.mkdtemp(prefix=f"{name}-")
+    else:
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix=f"{name}-")
+    inner = _scope.get()
+    (_made if inner is None else inner).append(path)
+    return path
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:

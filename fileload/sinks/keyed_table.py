@@ -8,9 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fileload.functions.paths import _fs, exists
+from fileload.functions.paths import _fs, child_names, remove
 from fileload.operators.keyed import merge_cells
-from fileload.session import stage_table
+from fileload.session import stage_scope, stage_table
 
 
 class KeyedTable:
@@ -22,26 +22,28 @@ class KeyedTable:
     def __init__(self, spark: SparkSession, path: str, n_buckets: int = 256):
         self.spark, self.path, self.n_buckets = spark, path.rstrip("/"), n_buckets
 
-    def _published(self) -> tuple[int, dict[int, str]]:
-        folder = f"{self.path}/_lists"
-        if not exists(self.spark, folder):
-            return 0, {}
-        fs, at = _fs(self.spark, folder)
-        names = [status.getPath().getName() for status in fs.listStatus(at)]
-        numbers = [int(name[:-5]) for name in names if name.endswith(".json") and name[:-5].isdigit()]
-        if not numbers:
-            return 0, {}
-        text = self.spark.read.text(f"{folder}/{max(numbers):010d}.json", wholetext=True).first()[0]
-        state = json.loads(text)
+    def _list_path(self, number: int) -> str:
+        return f"{self.path}/_lists/{number:010d}.json"
+
+    def _numbers(self) -> list[int]:
+        names = child_names(self.spark, f"{self.path}/_lists")
+        return [int(name[:-5]) for name in names if name.endswith(".json") and name[:-5].isdigit()]
+
+    def _list(self, number: int) -> dict[int, str]:
+        state = json.loads(self.spark.read.text(self._list_path(number), wholetext=True).first()[0])
         if state["n_buckets"] != self.n_buckets:
             raise ValueError(f"{self.path} has {state['n_buckets']} buckets, not {self.n_buckets}")
-        return max(numbers), {int(bucket): name for bucket, name in state["folders"].items()}
+        return {int(bucket): name for bucket, name in state["folders"].items()}
+
+    def _published(self) -> tuple[int, dict[int, str]]:
+        number = max(self._numbers(), default=0)
+        return number, self._list(number) if number else {}
 
     def _publish(self, number: int, folders: dict[int, str]) -> None:
         fs, _ = _fs(self.spark, self.path)
         path_of = self.spark._jvm.org.apache.hadoop.fs.Path
         temp = path_of(f"{self.path}/_lists/.{uuid.uuid4().hex}")
-        final = path_of(f"{self.path}/_lists/{number:010d}.json")
+        final = path_of(self._list_path(number))
         out = fs.create(temp, False)
         out.write(bytearray(json.dumps({"n_buckets": self.n_buckets, "folders": folders}).encode()))
         out.close()
@@ -59,6 +61,10 @@ class KeyedTable:
     def load(self, batch_cells: DataFrame) -> None:
         """Merge cells (one row per cell, as ``keyed_load(None, …)`` gives them).
         Only buckets the batch touches are read and rewritten."""
+        with stage_scope(self.spark):
+            self._load(batch_cells)
+
+    def _load(self, batch_cells: DataFrame) -> None:
         number, folders = self._published()
         bucket = F.pmod(F.xxhash64("row_key"), F.lit(self.n_buckets)).cast("int")
         batch = stage_table(batch_cells.withColumn("bucket", bucket), "cells")
@@ -77,3 +83,14 @@ class KeyedTable:
             .parquet(f"{self.path}/{name}")
         )
         self._publish(number + 1, {**folders, **{b: f"{name}/bucket={b}" for b in touched}})
+
+    def drop_replaced(self, keep: int = 2) -> None:
+        """Remove bucket folders that none of the last ``keep`` lists names, and
+        the older lists.  Not while a load runs or a reader holds an older list."""
+        numbers = sorted(self._numbers())
+        kept = {name for number in numbers[-keep:] for name in self._list(number).values()}
+        for number in numbers[:-keep]:
+            for name in set(self._list(number).values()) - kept:
+                remove(self.spark, f"{self.path}/{name}")
+        for number in numbers[:-keep]:
+            remove(self.spark, self._list_path(number))

@@ -103,14 +103,19 @@ def _listed(spark: SparkSession, folders_df: DataFrame) -> DataFrame:
 
 def _with_empty_files(absent_df: DataFrame) -> DataFrame:
     """Spark's listing leaves out files of no bytes, so paths it did not give
-    are looked up one by one, by the tasks."""
+    are looked up one by one, by the tasks.  Where a task cannot open the file
+    system they stay ``missing``: either way there is nothing in them to load."""
 
     @F.arrow_udf("bigint")
     def empty_since(paths: pa.Array) -> pa.Array:
         found = []
         for path in paths.to_pylist():
-            fs, name = open_fs(path)
-            info = fs.get_file_info(name)
+            try:
+                fs, name = open_fs(path)
+                info = fs.get_file_info(name)
+            except (pa.ArrowException, OSError):
+                found.append(None)
+                continue
             found.append(info.mtime_ns // 1000 if info.is_file and info.size == 0 else None)
         return pa.array(found, pa.int64())
 

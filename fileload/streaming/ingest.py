@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fileload.config import check_job_id, check_names
+from fileload.config import LoadConfig, check_job_id, check_names
 from fileload.functions.text import decoded, without_cr
 from fileload.operators.keyed import keyed_load
 from fileload.operators.records import record_parse, record_spec
@@ -124,6 +124,22 @@ def stream_ingest(
     )
 
 
+def stream_load(spark: SparkSession, config: LoadConfig, input_path: str, checkpoint: str, **options) -> StreamingQuery:
+    """``stream_ingest`` with the settings of a batch job."""
+    return stream_ingest(
+        spark,
+        input_path,
+        config.record_type,
+        config.detail_path,
+        checkpoint,
+        config.job_id,
+        archive_path=config.archive_path,
+        max_file_size=config.max_file_size,
+        mode=config.mode,
+        **options,
+    )
+
+
 def stream_detail(spark: SparkSession, detail_path: str, job_id: str) -> DataFrame:
     """The typed rows an incremental job has written so far."""
     rows = spark.read.parquet(job_folder(detail_path, job_id)).where("kind = 'line'")

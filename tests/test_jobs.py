@@ -1,7 +1,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from fileload.config import LoadConfig
 from fileload.functions import lzw
@@ -9,7 +8,7 @@ from fileload.operators.records import RecordSpec, fields, register_record
 from fileload.plans import load
 from fileload.plans.load import run_load
 from fileload.sinks.keyed_table import KeyedTable
-from fileload.streaming.ingest import stream_detail, stream_files, stream_ingest
+from fileload.streaming.ingest import stream_detail, stream_files, stream_ingest, stream_load
 
 register_record("pairs", RecordSpec(fields(k="string", v="long")))
 register_record("pairs_gbk", RecordSpec(fields(k="string", v="long"), charset="GBK"))
@@ -212,6 +211,12 @@ def test_stream_of_z(spark, place):
     assert stream_status(spark, place) == {"packed.Z": "ok", "corrupt.Z": "corrupt"}
 
 
+def test_stream_with_the_settings_of_a_batch_job(spark, place):
+    stream_load(spark, config(place, "s1"), str(place / "in"), str(place / "checkpoint")).awaitTermination()
+    assert stream_detail(spark, str(place / "detail"), "s1").count() == 3
+    assert stream_status(spark, place) == {"big.txt": "oversize"}
+
+
 def stream_status(spark, place):
     rows = stream_files(spark, str(place / "detail"), "s1").collect()
     assert len(rows) == len({r.src_path for r in rows})

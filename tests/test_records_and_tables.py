@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -170,6 +171,11 @@ def test_keyed_table(spark, tmp_path):
     assert sum(after[1][b] != before[1].get(b) for b in after[1]) == 1
     stored.load(stored.cells().limit(0))
     assert stored._published() == after
+    cells = as_set(stored.cells())
+    stored.drop_replaced(keep=1)
+    assert as_set(stored.cells()) == cells
+    left = {str(p.relative_to(tmp_path / "t")) for p in (tmp_path / "t" / "data").glob("*/bucket=*")}
+    assert left == set(after[1].values()) and len(list((tmp_path / "t" / "_lists").glob("0*.json"))) == 1
     with pytest.raises(ValueError):
         KeyedTable(spark, str(tmp_path / "t"), 9).cells()
 
@@ -206,3 +212,13 @@ def test_load_audit(spark):
     assert load_audit(detail).count() == 2
     plan = load_audit(detail, files)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and plan.count("Exchange") == 1
+
+
+def test_stages_are_removed(spark, tmp_path):
+    from fileload import session
+
+    with session.stage_scope(spark):
+        kept = session.stage_table(spark.range(3), "t")
+        path = kept.inputFiles()[0]
+        assert kept.count() == 3 and os.path.exists(path.removeprefix("file://"))
+    assert not os.path.exists(path.removeprefix("file://"))
