@@ -70,10 +70,19 @@ def test_pieces_may_end_anywhere(size, charset):
     text = "汉字億|é\r\nline\n\n\r\nlast 億" if charset == "gbk" else "汉字é\r\n\U0001f600 line\n\n\r\nlast"
     raw = text.encode(charset, "replace")
     pieces = [raw[i : i + size] for i in range(0, len(raw), size)]
-    lines = [line for block in unz._line_blocks(iter(pieces), charset) for line in block]
+    lines = [line for block in unz._line_blocks(iter(pieces), charset) for line in block.to_pylist()]
     assert lines == raw.decode(charset).replace("\r\n", "\n").split("\n")
 
 
+@pytest.mark.parametrize(
+    "block", ["one", "a\nb", "\n", "\n\nx\n", "汉字\n\U0001f600\n", "ends in cr\r\nb", "x" * 5000 + "\n" + "y" * 5000]
+)
+def test_lines_of_a_block(block):
+    lines = unz._lines(block.encode(), "utf-8")
+    lines.validate(full=True)
+    assert lines.to_pylist() == [line.removesuffix("\r") for line in block.split("\n")]
+
+
 def test_bad_bytes_and_charset(spark):
     df = spark.createDataFrame([("f", lzw.encode("億|x\n".encode("gbk") + b"\xff\n"))], "path string, content binary")
     lines = [r.line for r in z_lines(z_ingest(df, "GBK")).orderBy("line_no").collect()]
