@@ -205,16 +205,17 @@ def encode(data: bytes, max_bits: int = MAX_WIDTH, block: bool = True) -> bytes:
     free, phrase, codes = first, -1, array("H")
     for start in range(0, len(data), CHECK_GAP):
         piece = data[start : start + CHECK_GAP]
-        put = codes.append
+        put, get = codes.append, table.get
         for byte in piece:
-            longer = phrase << 8 | byte
-            if longer in table:
-                phrase = table[longer]
+            key = phrase << 8 | byte
+            longer = get(key)
+            if longer:
+                phrase = longer
                 continue
             if phrase >= 0:
                 put(phrase)
                 if free < limit:
-                    table[longer] = free
+                    table[key] = free
                     free += 1
             phrase = byte
         if block and free == limit:

@@ -79,6 +79,30 @@ def test_long_phrases():
     assert subprocess.run(["gzip", "-dc"], input=payload, capture_output=True, check=True).stdout == data
 
 
+@gzip
+def test_damaged_payloads_are_judged_alike():
+    chance = random.Random(11)
+    verdicts = set()
+    for _ in range(150):
+        data = chance.choice([WORDS[: chance.randrange(1, 20_000)], chance.randbytes(2000), b"a" * 2500])
+        payload = bytearray(lzw.encode(data, chance.choice([9, 11, 16]), chance.random() < 0.7))
+        at = chance.randrange(3, len(payload))
+        damage = chance.choice(["flip", "cut", "insert"])
+        if damage == "flip":
+            payload[at] ^= 1 << chance.randrange(8)
+        elif damage == "cut":
+            del payload[at:]
+        else:
+            payload[at:at] = chance.randbytes(2)
+        good = sound(bytes(payload))
+        other = subprocess.run(["gzip", "-dc"], input=payload, capture_output=True)
+        assert good == (other.returncode == 0)
+        if good:
+            assert unpack(bytes(payload)) == other.stdout
+        verdicts.add((damage, good))
+    assert {("flip", True), ("flip", False), ("cut", True), ("insert", False)} <= verdicts
+
+
 def packed(codes, flags=0x90):
     bits = "".join(f"{code:09b}"[::-1] for code in codes)
     bits += "0" * (-len(bits) % 8)

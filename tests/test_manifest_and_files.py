@@ -1,9 +1,15 @@
+import random
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
 from fileload.functions.paths import parent, qualify, working_uri
 from fileload.operators.manifest import manifest_parse
+from fileload.operators.records import RecordSpec, fields, record_parse, register_record
 from fileload.operators.routing import lineage_stamp, size_route, take_route
+from fileload.operators.unz import z_ingest
+from fileload.session import stage_dir
 from fileload.sources import files
 from fileload.sources.files import codec_text_scan, file_fetch, list_files, manifest_files
 from fileload.sources.manifest import manifest_scan
@@ -31,6 +37,23 @@ def test_manifest_parse_splits_as_java_does(spark):
         assert row.status == ("empty" if row.value == "" else "ok")
 
 
+def java_split(text):
+    parts = text.split(":")
+    while len(parts) > 1 and parts[-1] == "":
+        parts.pop()
+    return [] if parts == [""] and text else parts
+
+
+def test_manifest_parse_of_random_lines(spark):
+    chance = random.Random(3)
+    texts = sorted({"".join(chance.choices(":::ab |\r\u2028汉", k=chance.randrange(9))) for _ in range(3000)})
+    rows = manifest_parse(spark.createDataFrame([(t,) for t in texts], "value string"), ["f0"]).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        want = java_split(row.value)
+        assert (row.n_fields, row.f0, row.extra) == (len(want), want[0] if want else None, want[1:])
+
+
 def test_manifest_parse_other_separators(spark):
     df = spark.createDataFrame([("a.b|*c|*|*",), (None,)], "value string")
     row, none = manifest_parse(df, ["x"], sep="|*").collect()
@@ -174,6 +197,31 @@ def test_listing_opens_no_file(spark, inputs):
     assert "content" not in plan
 
 
+def test_lines_to_rows_without_a_shuffle(spark, inputs):
+    register_record("narrow", RecordSpec(fields(a="string", n="long")))
+    texts = record_parse(codec_text_scan(spark, str(inputs)), "narrow")
+    payloads = spark.read.format("binaryFile").load(str(inputs))
+    packed = record_parse(z_ingest(payloads), "narrow")
+    for rows in (texts, packed):
+        plan = lineage_stamp(rows, "job-1")._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Join" not in plan
+    scan = next(line for line in plan.splitlines() if "FileScan" in line)
+    assert "ReadSchema: struct<path:string,modificationTime:timestamp,length:bigint,content:binary>" in scan
+
+
+def test_intermediate_tables_go_to_the_shared_folder():
+    def session(master, **conf):
+        get = lambda key, default: conf.get(key.replace(".", "_"), default)
+        return SimpleNamespace(conf=SimpleNamespace(get=get), sparkContext=SimpleNamespace(master=master))
+
+    shared = stage_dir(session("yarn", spark_checkpoint_dir="hdfs://nn/tmp/"), "t")
+    assert shared.startswith("hdfs://nn/tmp/t-")
+    assert shared != stage_dir(session("yarn", spark_checkpoint_dir="hdfs://nn/tmp/"), "t")
+    assert stage_dir(session("local[2]"), "t").startswith("/")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        stage_dir(session("yarn"), "t")
+
+
 def test_lineage_stamp(spark, inputs):
     from_scan = lineage_stamp(spark.read.text(str(inputs / "plain.txt")), "job-1").first()
     from_columns = lineage_stamp(codec_text_scan(spark, str(inputs / "plain.txt")), "job-1").first()
