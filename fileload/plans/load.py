@@ -17,7 +17,7 @@ from fileload.operators.manifest import manifest_parse
 from fileload.operators.records import record_parse, record_spec
 from fileload.operators.routing import lineage_stamp, size_route
 from fileload.operators.unz import z_ingest
-from fileload.session import DECODE_CONF, conf_scope, stage_scope
+from fileload.session import DECODE_CONF, TWO_FOLDERS_CONF, conf_scope, stage_scope
 from fileload.sinks.detail import detail_write, job_folder
 from fileload.sources.files import codec_text_scan, manifest_files, with_waves
 from fileload.sources.manifest import manifest_scan
@@ -156,22 +156,16 @@ def _load_wave(
     for row in files.where("status = 'ok'").select("path").toLocalIterator():
         (zs if row.path.endswith(".Z") else texts).append(literal_glob(row.path))
 
-    def write(rows: DataFrame, codec: str) -> None:
+    def write(rows: DataFrame, codec: str, conf: dict[str, str]) -> None:
         parsed = lineage_stamp(record_parse(rows, config.record_type), config.job_id)
-        detail_write(
-            parsed,
-            config.detail_path,
-            config.job_id,
-            ["kind"],
-            config.max_records_per_file,
-            scope={"wave": wave, "codec": codec},
-        )
+        scope = {"wave": wave, "codec": codec}
+        with conf_scope(spark, {**TWO_FOLDERS_CONF, **conf}):
+            detail_write(parsed, config.detail_path, config.job_id, ["kind"], config.max_records_per_file, scope)
 
     if zs:
         scan = spark.read.format("binaryFile").load(zs)
         payloads = scan.select(F.col("_metadata.file_path").alias("path"), "length", "modificationTime", "content")
-        with conf_scope(spark, DECODE_CONF):
-            write(z_ingest(payloads, charset, config.mode), "z")
+        write(z_ingest(payloads, charset, config.mode), "z", DECODE_CONF)
     # Text files, and whatever gets no row from the decoder, have their file rows here.
     rows = files.where(~is_z(F.col("path")) | (F.col("status") != "ok")).select(
         F.col("uri").alias("path"), "length", "modificationTime", F.lit("file").alias("kind"), "status"
@@ -183,7 +177,7 @@ def _load_wave(
         rows = rows.withColumn("line", F.lit(None).cast("string"))
     if texts or some_gone:
         unknown = ("line_no", "n_lines", "n_bytes")
-        write(rows.withColumns({name: F.lit(None).cast("bigint") for name in unknown}), "text")
+        write(rows.withColumns({name: F.lit(None).cast("bigint") for name in unknown}), "text", {})
     status = _written(spark, config, wave=wave).where("kind = 'file' and status <> 'missing'").withColumnsRenamed(
         {"src_path": "path", "src_length": "length", "src_mtime": "modificationTime"}
     )

@@ -20,6 +20,10 @@ DECODE_CONF = {
     "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
 }
 
+# Line rows and file rows go to two folders: with both open, a task's rows need
+# not be sorted first to be written one folder after the other.
+TWO_FOLDERS_CONF = {"spark.sql.maxConcurrentOutputFileWriters": "2"}
+
 LOAD_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -12,7 +12,7 @@ from fileload.operators.keyed import keyed_load
 from fileload.operators.records import record_parse, record_spec
 from fileload.operators.routing import lineage_stamp, take_route
 from fileload.operators.unz import z_ingest
-from fileload.session import DECODE_CONF, conf_scope
+from fileload.session import DECODE_CONF, TWO_FOLDERS_CONF, conf_scope
 from fileload.sinks.detail import detail_write, job_folder
 from fileload.sinks.keyed_table import KeyedTable
 from fileload.sources.files import NOT_Z
@@ -110,7 +110,7 @@ def stream_ingest(
         if codec == "text" and max_file_size is not None:
             batch = _without_oversize(batch, max_file_size)
         parsed = lineage_stamp(record_parse(batch, record_type), job_id)
-        with conf_scope(batch.sparkSession, DECODE_CONF if codec == "z" else {}):
+        with conf_scope(batch.sparkSession, {**TWO_FOLDERS_CONF, **(DECODE_CONF if codec == "z" else {})}):
             folder = detail_write(parsed, detail_path, job_id, ["kind"], scope={"batch": batch_id})
         if table is not None:
             rows = batch.sparkSession.read.schema(parsed.schema).parquet(folder).where("kind = 'line'")
