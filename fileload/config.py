@@ -54,8 +54,10 @@ def check_job_id(job_id: str) -> str:
 @dataclass(frozen=True)
 class LoadConfig:
     """``max_file_size`` is in bytes; larger inputs are listed under
-    ``oversize_path`` and not loaded.  ``archive_path`` is used by the
-    incremental job only.  ``base_uri`` resolves scheme-less manifest paths."""
+    ``oversize_path`` and not loaded.  A file in the ledger counts as loaded, so
+    tables of different record types need ledgers of their own.
+    ``archive_path`` is used by the incremental job only.  ``layout`` names the
+    fields of a manifest line and ``base_uri`` resolves paths without a scheme."""
 
     record_type: str
     max_file_size: int

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from fileload.functions.text import java_split
 
 
+# Columns the parse adds to those of the layout.
+MADE = ("n_fields", "extra", "status")
+
+
 def manifest_parse(df: DataFrame, layout: Sequence[str], sep: str = ":", value_col: str = "value") -> DataFrame:
     """Split each line into the columns of ``layout``.
 
@@ -19,6 +23,9 @@ def manifest_parse(df: DataFrame, layout: Sequence[str], sep: str = ":", value_c
     default separator a URI that has a scheme falls apart at its colon; such
     manifests need another ``sep``.
     """
+    clash = {value_col, *MADE} & set(layout)
+    if clash or len(set(layout)) < len(layout):
+        raise ValueError(f"layout {list(layout)} repeats a name or uses one of {sorted({value_col, *MADE})}")
     fields = F.col("__fields")
     width = len(layout)
     return (

@@ -63,6 +63,14 @@ class LoadResult:
         detail = self.detail().withColumn("record_type", F.lit(self.config.record_type))
         return load_audit(detail, self.files())
 
+    def miscounted(self, expected_col: str) -> DataFrame:
+        """Files whose rows are not as many as a manifest field says, the one way
+        to see that a ``.Z`` file was cut short."""
+        expected = plan(self.spark, self.config).select(
+            F.coalesce("uri", "path").alias("src_path"), F.col(expected_col).try_cast("bigint").alias("n_expected")
+        )
+        return self.audit().join(expected.where("n_expected is not null"), "src_path").where("n_rows <> n_expected")
+
 
 def _written(spark: SparkSession, config: LoadConfig, **scope: int) -> DataFrame:
     folder = job_folder(config.detail_path, config.job_id, scope)

@@ -14,6 +14,9 @@ from fileload.session import stage_dir, stage_table
 WAVE_FILES = 20_000
 WAVE_BYTES = 8 << 20
 
+# Columns that tell of the file itself.
+FOUND = {"path", "length", "modificationTime", "uri", "content", "n_listed", "listed_path", "route", "wave"}
+
 # Folders the driver lists at a time.
 LIST_FOLDERS = 2_000
 LISTING = "path string, length bigint, modificationTime timestamp, uri string"
@@ -43,6 +46,8 @@ def manifest_files(
     for names Spark's file sources never read.
     """
     columns = [name for name in manifest_df.columns if name not in ("status", path_col)]
+    if FOUND & set(columns):
+        raise ValueError(f"manifest columns {sorted(FOUND & set(columns))} would hide those of the files")
     listed = F.col(path_col)
     usable = listed.isNotNull() & (listed != "")
     if "status" in manifest_df.columns:

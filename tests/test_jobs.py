@@ -177,6 +177,18 @@ def test_config():
         LoadConfig.from_settings(settings, job_id="20240101", ledger_path="/l")
 
 
+def test_rows_against_the_manifest(spark, place):
+    whole = lzw.encode(b"key|1\n" * 500)
+    (place / "in" / "whole.Z").write_bytes(whole)
+    (place / "in" / "cut.Z").write_bytes(whole[: len(whole) // 2])
+    lines = [f"{place}/in/{name}:{count}" for name, count in (("whole.Z", 500), ("cut.Z", 500), ("plain.txt", "?"))]
+    (place / "manifest").write_text("\n".join(lines))
+    result = run_load(spark, config(place), str(place / "manifest"))
+    row = result.miscounted("tag").first()
+    assert result.miscounted("tag").count() == 1 and row.src_path.endswith("cut.Z")
+    assert 0 < row.n_rows < row.n_expected == 500 and row.status == "ok"
+
+
 def test_reserved_names(place):
     register_record("clash", RecordSpec(fields(status="string")))
     with pytest.raises(ValueError, match="status"):

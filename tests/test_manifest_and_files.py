@@ -61,6 +61,11 @@ def test_manifest_parse_other_separators(spark):
     assert none.x is None and none.status == "empty"
     with pytest.raises(ValueError):
         manifest_parse(df, ["x"], sep="")
+    for layout in (["status"], ["x", "x"], ["value"]):
+        with pytest.raises(ValueError, match="layout"):
+            manifest_parse(df, layout)
+    with pytest.raises(ValueError, match="length"):
+        manifest_files(spark, manifest_parse(df, ["p", "length"]), "p")
 
 
 def test_manifest_scan_keeps_every_line(spark, tmp_path):
