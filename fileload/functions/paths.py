@@ -99,10 +99,19 @@ def literal_glob(path: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
-def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
-    """For tasks: file system and path of a URI or a plain local path."""
-    if uri.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
-    if "://" not in uri:
-        return pafs.LocalFileSystem(), uri
-    return pafs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+def opener():
+    """For tasks: a function from a URI or plain local path to its file system
+    and the path in it.  It connects to each file system once."""
+    connected = {}
+
+    def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
+        if uri.startswith("file:") or "://" not in uri:
+            path = "/" + uri[5:].lstrip("/") if uri.startswith("file:") else uri
+            return pafs.LocalFileSystem(), path
+        root, path = re.match(r"([^:]+://[^/]*)(.*)", uri.replace("s3a://", "s3://", 1)).groups()
+        if root not in connected:
+            connected[root] = pafs.FileSystem.from_uri(f"{root}/")
+        fs, top = connected[root]
+        return fs, top.rstrip("/") + path
+
+    return open_fs

@@ -108,7 +108,8 @@ def make_plan(spark: SparkSession, config: LoadConfig, manifest_path: str, wave_
         usable = files.where("status = 'ok'").withColumns({"listed": F.col("path"), "path": F.col("uri")})
         split = pending(usable, done).unionByName(handled(usable, done).withColumn("status", F.lit("already_loaded")))
         files = files.where("status <> 'ok'").unionByName(split.withColumn("path", F.col("listed")).drop("listed"))
-    files.write.mode("overwrite").parquet(_plan_folder(config))
+    # A folder per wave, so that a wave reads its own part of the plan only.
+    files.hint("rebalance", "wave").write.mode("overwrite").partitionBy("wave").parquet(_plan_folder(config))
 
 
 def run_load(

@@ -11,7 +11,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
-from fileload.functions.paths import CALLS_AT_ONCE, is_filled, open_fs, working_uri
+from fileload.functions.paths import CALLS_AT_ONCE, is_filled, opener, working_uri
 
 FORMAT = "z_payload_files"
 
@@ -32,7 +32,7 @@ class PayloadWriter(DataSourceArrowWriter):
         self.temp = f"{self.path}/_temporary-{uuid.uuid4().hex}"
 
     def write(self, iterator):
-        fs, temp = open_fs(self.temp)
+        fs, temp = opener()(self.temp)
         attempt, names = uuid.uuid4().hex, []
         fs.create_dir(f"{temp}/{attempt}", recursive=True)
         for batch in iterator:
@@ -45,8 +45,8 @@ class PayloadWriter(DataSourceArrowWriter):
         return Written(names)
 
     def commit(self, messages):
-        fs, root = open_fs(self.path)
-        temp = open_fs(self.temp)[1]
+        open_fs = opener()
+        (fs, root), (_, temp) = open_fs(self.path), open_fs(self.temp)
         moves = [move for message in messages if message for move in message.names]
         with ThreadPoolExecutor(CALLS_AT_ONCE) as pool:
             folders = {final.rsplit("/", 1)[0] for _, final in moves}
@@ -55,7 +55,7 @@ class PayloadWriter(DataSourceArrowWriter):
         self._drop_temp(fs, temp)
 
     def abort(self, messages):
-        self._drop_temp(*open_fs(self.temp))
+        self._drop_temp(*opener()(self.temp))
 
     @staticmethod
     def _drop_temp(fs, temp):

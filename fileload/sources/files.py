@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fileload.functions.paths import existing, is_hidden, literal_glob, open_fs, parent, qualify, working_uri
+from fileload.functions.paths import existing, is_hidden, literal_glob, opener, parent, qualify, working_uri
 from fileload.functions.text import decoded, without_cr
 from fileload.session import stage_dir, stage_table
 
@@ -113,7 +113,7 @@ def _with_empty_files(absent_df: DataFrame) -> DataFrame:
 
     @F.arrow_udf("bigint")
     def empty_since(paths: pa.Array) -> pa.Array:
-        found = []
+        found, open_fs = [], opener()
         for path in paths.to_pylist():
             try:
                 fs, name = open_fs(path)

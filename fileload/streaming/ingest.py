@@ -35,28 +35,11 @@ def _source(spark: SparkSession, codec: str, archive_path: str | None, per_trigg
     raise ValueError(f"codec must be 'text' or 'z', not {codec!r}")
 
 
-def stream_lines(
-    spark: SparkSession,
-    input_path: str,
-    charset: str = "UTF-8",
-    codec: str = "text",
-    archive_path: str | None = None,
-    max_file_size: int | None = None,
-    mode: str = "PERMISSIVE",
-    **per_trigger: int,
-) -> DataFrame:
-    """A stream of the rows ``z_ingest`` or ``codec_text_scan`` give in batch.
-    ``.Z`` files above ``max_file_size`` give a file row with status ``oversize``
-    only.  ``per_trigger`` takes ``maxFilesPerTrigger`` and ``maxBytesPerTrigger``."""
-    stream = _source(spark, codec, archive_path, per_trigger).load(input_path)
+def _rows(stream: DataFrame, codec: str, charset: str) -> DataFrame:
+    """Payloads of a ``.Z`` source, lines of a text source."""
     if codec == "z":
-        files = stream.select(F.col("_metadata.file_path").alias("path"), "length", "modificationTime", "content")
-        if max_file_size is None:
-            return z_ingest(files, charset, mode)
-        too_big = F.col("length") > max_file_size
-        rows = z_ingest(files.withColumn("content", F.when(~too_big, F.col("content"))), charset, mode)
-        return rows.withColumn("status", F.when(too_big, "oversize").otherwise(F.col("status")))
-    return stream.select(
+        return stream.select(F.col("_metadata.file_path").alias("path"), "length", "modificationTime", "content")
+    lines = stream.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_size").alias("length"),
         F.col("_metadata.file_modification_time").alias("modificationTime"),
@@ -66,14 +49,29 @@ def stream_lines(
         F.lit("ok").alias("status"),
         F.lit(None).cast("bigint").alias("n_lines"),
         F.lit(None).cast("bigint").alias("n_bytes"),
-    ).withColumn("line", without_cr(F.col("line")))
+    )
+    return lines.withColumn("line", without_cr(F.col("line")))
+
+
+def stream_lines(
+    spark: SparkSession,
+    input_path: str,
+    charset: str = "UTF-8",
+    codec: str = "text",
+    archive_path: str | None = None,
+    mode: str = "PERMISSIVE",
+    **per_trigger: int,
+) -> DataFrame:
+    """A stream of the rows ``z_ingest`` or ``codec_text_scan`` give in batch.
+    ``per_trigger`` takes ``maxFilesPerTrigger`` and ``maxBytesPerTrigger``."""
+    rows = _rows(_source(spark, codec, archive_path, per_trigger).load(input_path), codec, charset)
+    return z_ingest(rows, charset, mode) if codec == "z" else rows
 
 
-def _without_oversize(batch: DataFrame, max_file_size: int) -> DataFrame:
-    """Lines of the other files, and one file row for each file above the limit."""
+def _oversize(batch: DataFrame, max_file_size: int) -> DataFrame:
+    """One file row for each file above the limit."""
     big = take_route(batch, max_file_size, "oversize").select("path", "length", "modificationTime").distinct()
-    named = big.withColumns({"kind": F.lit("file"), "status": F.lit("oversize")})
-    return take_route(batch, max_file_size, "normal").unionByName(named, allowMissingColumns=True)
+    return big.withColumns({"kind": F.lit("file"), "status": F.lit("oversize")})
 
 
 def stream_ingest(
@@ -104,20 +102,22 @@ def stream_ingest(
     check_job_id(job_id)
     check_names(record_type)
     charset = record_spec(record_type).charset
-    lines = stream_lines(spark, input_path, charset, codec, archive_path, max_file_size, mode, **per_trigger)
+    inputs = _rows(_source(spark, codec, archive_path, per_trigger).load(input_path), codec, charset)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        if codec == "text" and max_file_size is not None:
-            batch = _without_oversize(batch, max_file_size)
-        parsed = lineage_stamp(record_parse(batch, record_type), job_id)
+        rows = batch if max_file_size is None else take_route(batch, max_file_size, "normal")
+        rows = z_ingest(rows, charset, mode) if codec == "z" else rows
+        if max_file_size is not None:
+            rows = rows.unionByName(_oversize(batch, max_file_size), allowMissingColumns=True)
+        parsed = lineage_stamp(record_parse(rows, record_type), job_id)
         with conf_scope(batch.sparkSession, {**TWO_FOLDERS_CONF, **(DECODE_CONF if codec == "z" else {})}):
             folder = detail_write(parsed, detail_path, job_id, ["kind"], scope={"batch": batch_id})
         if table is not None:
-            rows = batch.sparkSession.read.schema(parsed.schema).parquet(folder).where("kind = 'line'")
-            table.load(keyed_load(None, rows, **keyed))
+            loaded = batch.sparkSession.read.schema(parsed.schema).parquet(folder).where("kind = 'line'")
+            table.load(keyed_load(None, loaded, **keyed))
 
     return (
-        lines.writeStream.foreachBatch(load_batch)
+        inputs.writeStream.foreachBatch(load_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

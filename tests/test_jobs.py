@@ -241,6 +241,14 @@ def test_stream_size_limit_on_z(spark, place):
     assert stream_status(spark, place) == {"packed.Z": "ok", "corrupt.Z": "corrupt", "long.Z": "oversize"}
 
 
+def test_oversize_is_not_malformed(spark, place):
+    os.unlink(place / "in" / "corrupt.Z")
+    os.unlink(place / "in" / "empty.Z")
+    (place / "in" / "long.Z").write_bytes(lzw.encode(os.urandom(3000)))
+    assert len(stream(spark, place, codec="z", max_file_size=1000, mode="FAILFAST")) == 2
+    assert stream_status(spark, place) == {"packed.Z": "ok", "long.Z": "oversize"}
+
+
 def test_stream_size_limit(spark, place):
     assert {name for name, _, _ in stream(spark, place, max_file_size=1000)} == {"plain.txt"}
     assert stream_status(spark, place) == {"big.txt": "oversize"}

@@ -4,6 +4,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
+from fileload.functions import paths
 from fileload.functions.paths import parent, qualify, working_uri
 from fileload.operators.manifest import manifest_parse
 from fileload.operators.records import RecordSpec, fields, record_parse, register_record
@@ -214,6 +215,27 @@ def test_lines_to_rows_without_a_shuffle(spark, inputs):
     assert "ReadSchema: struct<path:string,modificationTime:timestamp,length:bigint,content:binary>" in scan
 
 
+def test_file_systems_of_tasks(tmp_path, monkeypatch):
+    made = []
+
+    def from_uri(uri):
+        made.append(uri)
+        return SimpleNamespace(uri=uri), {"s3://bucket/": "bucket/", "hdfs://nn:1/": "/"}[uri]
+
+    monkeypatch.setattr(paths.pafs, "FileSystem", SimpleNamespace(from_uri=from_uri))
+    open_fs = paths.opener()
+    for uri, want in {
+        "file:/a b/c": "/a b/c",
+        "file:///a": "/a",
+        "/x": "/x",
+        "hdfs://nn:1/d/e": "/d/e",
+        "hdfs://nn:1/d/f": "/d/f",
+        "s3a://bucket/k/l": "bucket/k/l",
+    }.items():
+        assert open_fs(uri)[1] == want
+    assert made == ["hdfs://nn:1/", "s3://bucket/"]
+
+
 def test_intermediate_tables_go_to_the_shared_folder():
     def session(master, **conf):
         get = lambda key, default: conf.get(key.replace(".", "_"), default)
