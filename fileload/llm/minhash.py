@@ -7,10 +7,10 @@ the text stops once every slot is filled, since later levels offer only more.
 
 Documents with equal sets form a class first (128-bit fingerprints of whole sets).
 Classes that share a band meet in a bucket; pairs are checked on full sets.  In each
-round a bucket compares up to 2**round members, not compared before, with its members
-of other components; the links found merge components.  A bucket is done when it is
-one component or all members were compared with all others, so no link between
-components of a bucket is lost, while copies of one text cost one comparison each.
+round up to 2**round members of a bucket, its centres, are compared with all members
+of other components and then leave it; the links found merge components.  A bucket is
+done when what is left in it is one component, so no link between components of a
+bucket is lost, while near copies of one text cost a comparison or two each.
 
 Cases: a null or empty text has an empty set and links with nothing; fewer words than
 a shingle are one shingle; a null id counts as larger than all, and its component is
@@ -159,35 +159,25 @@ def near_duplicates(
     members = found.join(classes, (found["__id"] == classes["node"]) & (found["s1"] == classes["s1"]) & (found["s2"] == classes["s2"]), "left_semi")
     members = members.select(F.col("__id").alias("node"), F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("bucket")
-    members = stage_table(members.join(shared, "bucket").distinct().withColumns({"comp": F.col("node"), "tried": F.lit(False)}), "buckets")
+    members = stage_table(members.join(shared, "bucket").distinct().withColumn("comp", F.col("node")), "buckets")
     # An id may stand for several texts only where rows share it; the fingerprint tells.
     wanted = members.select("node").distinct()
     plain = keyed(docs.select(col(id_col), col(text_col).cast("string").alias("__text")), id_col, "__text")
     texts = stage_table(plain.select(F.col("__id").alias("node"), "__text").join(wanted, "node", "left_semi").groupBy("node").agg(F.min("__text").alias("text")), "texts")
 
     linked = None
-    spark = docs.sparkSession
-    tested = spark.createDataFrame([], "a long, b long")
+    tested = docs.sparkSession.createDataFrame([], "a long, b long")
     tries = 1
     while True:
-        active = members.groupBy("bucket").agg(
-            F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("tried").alias("all_tried")
-        ).where("lo < hi and not all_tried").select("bucket")
-        members = members.join(active, "bucket", "left_semi")
-        # One untried member for each salt: partial minima, no sorted group.
-        centres = members.where("not tried").groupBy("bucket", F.pmod(F.xxhash64("node", F.lit(tries)), F.lit(tries)).alias("salt")).agg(
-            F.min("node").alias("centre")
-        ).drop("salt")
-        centres = stage_table(centres, "centres")
-        marked = centres.select("bucket", F.col("centre").alias("node"), F.lit(True).alias("now"))
-        members = stage_table(
-            members.join(marked, ["bucket", "node"], "left").select("bucket", "node", "comp", (F.col("tried") | F.col("now").isNotNull()).alias("tried")),
-            "members",
-        )
-        if members.isEmpty():
+        # A bucket whose members are of one component has nothing left to find.
+        open_buckets = members.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("bucket")
+        members = members.join(open_buckets, "bucket", "left_semi")
+        if open_buckets.isEmpty():
             break
-        owner = members.select("bucket", F.col("node").alias("centre"), F.col("comp").alias("own"))
-        pairs = members.join(centres.join(owner, ["bucket", "centre"]), "bucket").where("comp <> own")
+        # One centre for each salt: partial minima, no sorted group.
+        salt = F.pmod(F.xxhash64("node", F.lit(tries)), F.lit(tries)).alias("salt")
+        centres = members.groupBy("bucket", salt).agg(F.min("node").alias("centre"), F.min_by("comp", "node").alias("own")).drop("salt")
+        pairs = members.join(centres, "bucket").where("comp <> own")
         pairs = pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
         pairs = stage_table(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = tested.union(pairs)
@@ -195,18 +185,18 @@ def near_duplicates(
             texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"
         )
         links = stage_table(_similar(with_texts, width, percent).where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
-        linked = links if linked is None else linked.union(links)
+        # Centres have met all members of their buckets.
+        members = members.join(centres.select("bucket", F.col("centre").alias("node")), ["bucket", "node"], "left_anti")
         if not links.isEmpty():
-            comp = components(linked)
-            members = stage_table(
-                members.drop("comp").join(comp, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("comp"), "tried"),
-                "members",
+            linked = components(links if linked is None else linked.union(links)).select(F.col("node").alias("u"), F.col("component").alias("v"))
+            members = members.drop("comp").join(linked.withColumnRenamed("u", "node"), "node", "left").select(
+                "bucket", "node", F.coalesce("v", "node").alias("comp")
             )
+        members = stage_table(members, "members")
         tries *= 2
 
     if linked is not None:
-        comp = components(linked)
-        classes = classes.join(comp, "node", "left").select("s1", "s2", F.coalesce("component", "node").alias("node"))
+        classes = classes.join(linked.withColumnRenamed("u", "node"), "node", "left").select("s1", "s2", F.coalesce("v", "node").alias("node"))
     else:
         classes = classes.select("s1", "s2", "node")
     result = signed.drop("bands").join(classes, ["s1", "s2"], "left")
