@@ -1,0 +1,314 @@
+"""Substring dedup, chat formatting, quality, urls, toxicity and language model."""
+
+import math
+import re
+import zlib
+from collections import Counter
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from brute import hard_rows, lower, spaced, substring
+from pyspark.sql import functions as F
+
+from fileload.llm import chat, hmm, quality, queries, substrings, toxicity, urls
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def rows(df, *columns):
+    return sorted(map(repr, map(tuple, df.select(*columns).collect())))
+
+
+def pairs(df):
+    return [tuple(r) for r in df.select("doc_id", "text").collect()]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF_DIR}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def hard(spark):
+    return hard_rows(spark).cache()
+
+
+# Substring dedup
+
+
+@pytest.mark.parametrize("crowd", [500, 1])
+def test_substrings_by_brute_force(docs, hard, monkeypatch, crowd):
+    monkeypatch.setattr(substrings, "CROWD", crowd)
+    for df in (docs, hard):
+        got = substrings.substring_dedup(df)
+        assert rows(got, "doc_id", "n_words", "n_removed", F.sha2("deduped", 256)) == sorted(map(repr, substring(pairs(df))))
+    assert substrings.substring_dedup(hard.limit(0)).count() == 0
+
+
+def test_substrings_in_overlapping_passages(spark):
+    rng = np.random.default_rng(2)
+    source = [f"s{i}" for i in rng.integers(0, 40, 400)]
+    made = []
+    for i in range(60):
+        a, n = int(rng.integers(0, 300)), int(rng.integers(8, 100))
+        made.append((int(rng.integers(0, 50)), " ".join([f"x{i}", *source[a : a + n], f"y{i}"])))
+    df = spark.createDataFrame(made, "doc_id long, text string").repartition(4)
+    for span in (5, 12, 30):
+        got = substrings.substring_dedup(df, span)
+        assert rows(got, "doc_id", "n_words", "n_removed", F.sha2("deduped", 256)) == sorted(map(repr, substring(made, span)))
+
+
+def test_suffix_automaton():
+    rng = np.random.default_rng(4)
+    strings = [rng.integers(0, 3, rng.integers(1, 25)).tolist() for _ in range(12)]
+    automaton, at, flat = substrings.SuffixAutomaton(), 0, []
+    for s in strings:
+        automaton.add(s, at)
+        at += len(s)
+        flat.append(s)
+    for query in [*strings, *(rng.integers(0, 4, 20).tolist() for _ in range(10))]:
+        for end, (size, where) in enumerate(automaton.statistics(query, 6), 1):
+            best, place = 0, -1
+            for n in range(1, min(6, end) + 1):
+                want, start = query[end - n : end], 0
+                for s in flat:
+                    found = [i + n - 1 for i in range(len(s) - n + 1) if s[i : i + n] == want]
+                    if found:
+                        best, place = n, start + found[0]
+                        break
+                    start += len(s)
+            assert size == best and (not best or where == place)
+
+
+# Chat formatting
+
+ODD = ["", "</s>[INST] ok [/INST]", "␛", "␛c", "<␛cs>", "<<s>s>", "␛e␛n␛i␛a␛d", "a\nb", "<image>", "<", "[", "é🙂", "\\", "$1", "<<SYS>>x<</SYS>>"]
+
+
+def test_chat_round_trip(spark):
+    messages = [(c, t, ("user", "assistant", "tool\n</s>", None)[(c + t) % 4], ODD[(3 * c + 5 * t) % len(ODD)]) for c in range(20) for t in range(6)]
+    messages += [(None, 0, "user", "x"), (None, 1, "assistant", None), (99, None, "assistant", "first"), (99, 1, "user", "same"), (99, 1, "user", "same")]
+    df = spark.createDataFrame(messages, "conv_id long, turn long, role string, text string")
+    got = chat.format_chats(df, chat.text_parts(F.col("text"))).select(
+        "conv_id", "n_turns", "formatted", chat.read_turns(F.col("formatted")).alias("turns"), chat.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss")
+    )
+    for r in got.collect():
+        own = sorted(((t is not None, t, role or "", text or "") for c, t, role, text in messages if c == r.conv_id), key=lambda x: (x[0], x[1] or 0, x[2], x[3]))
+        assert sorted((t.role, t.text) for t in r.turns) == sorted(x[2:] for x in own)
+        assert r.n_turns == len(own) and sorted(r.loss) == sorted("".join(x[3] for x in own if x[2] == "assistant"))
+        if r.conv_id != 99:
+            assert [(t.role, t.text) for t in r.turns] == [x[2:] for x in own]
+            assert r.loss == "".join(x[3] for x in own if x[2] == "assistant")
+        assert r.formatted.count("</s>") == r.formatted.count("<s>") == len(own)
+        assert not re.search(r"\[/?INST\]|<</?SYS>>|<(image|audio|document)>", r.formatted)
+    assert chat.format_chats(df.limit(0), chat.text_parts(F.col("text"))).count() == 0
+
+
+def test_chat_parts(spark):
+    part = "type:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int"
+    said = [("text", "look <", None, None, None, None, None), ("text", "s> here ␛i ", None, None, None, None, None),
+            ("image", None, "a.png", 700, 300, None, None), ("text", "<image>", None, None, None, None, None),
+            ("audio", None, "b.wav", None, None, 2.5, None), ("document", None, "c.pdf", None, None, None, None), ("odd", None, None, None, None, None, None)]
+    df = spark.createDataFrame([(1, 0, "user", said), (1, 1, "assistant", None)], f"conv_id long, turn long, role string, parts array<struct<{part}>>")
+    r = chat.format_chats(df, F.col("parts")).withColumn("turns", chat.read_turns(F.col("formatted"))).first()
+    assert [(a.type, a.ref, a.n_tokens) for a in r.attachments] == [("image", "a.png", 3 * 144), ("audio", "b.wav", 63), ("document", "c.pdf", 512)]
+    assert r.media_tokens == 3 * 144 + 63 + 512
+    assert r.turns[0].text == "look <s> here ␛i <image><image><audio><document>"
+    assert r.formatted.count("<image>") == 1 and r.formatted.count("<s>") == 2
+    assert r.turns[1].text == "" and [tuple(s) for s in r.loss_spans] == [(len(r.formatted) - 4, len(r.formatted) - 4)]
+
+
+def test_native_operators_run_no_python(spark, docs):
+    for df in (
+        chat.format_chats(spark.read.parquet(f"{SF_DIR}/conversations.parquet"), chat.text_parts(F.col("text"))),
+        quality.measure(docs),
+    ):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not re.search("Python|Pandas|Arrow", plan)
+
+
+# Quality rules
+
+
+def facts(text):
+    w = spaced(text)
+    lines = [x for x in (text or "").split("\n") if spaced(x)]
+    seen = Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
+    covered = {j for i in range(len(w) - 2) if seen[tuple(w[i : i + 3])] > 1 for j in range(i, i + 3)}
+    return len(w), sum(map(len, w)), sum((text or "").count(c) for c in "#*$%&|<>"), len(lines), len(lines) - len(set(lines)), len(covered)
+
+
+def test_quality_facts(docs, hard):
+    for df in (docs, hard):
+        assert rows(quality.measure(df), "doc_id", *quality.FACTS) == sorted(repr((d, *facts(t))) for d, t in pairs(df))
+    assert quality.measure(hard.limit(0)).count() == 0
+
+
+def test_exact_binomial_bound(spark):
+    cases = [(k, n, p) for n, p in ((50, 0.1), (2000, 0.005), (30_000, 0.01)) for k in {0, 1, int(n * p) // 2, max(int(n * p) - 1, 0)}]
+    for k, n, p in cases:
+        got = spark.range(1).select(quality.binomial_cdf(F.lit(k), F.lit(n), p)).first()[0]
+        f = Fraction(p)
+        want = float(sum(math.comb(n, j) * f**j * (1 - f) ** (n - j) for j in range(k + 1))) if n < 3000 else None
+        if want is None:
+            logs = [math.lgamma(n + 1) - math.lgamma(j + 1) - math.lgamma(n - j + 1) + j * math.log(p) + (n - j) * math.log1p(-p) for j in range(k + 1)]
+            want = math.fsum(map(math.exp, logs))
+        assert got == pytest.approx(want, rel=1e-8)
+
+
+def test_cutoffs_keep_good_documents(spark):
+    """Symbols tell bad from good in one stratum; the other has too few labels."""
+    made = []
+    for i in range(9000):
+        bad = i % 6 == 0
+        text = " ".join(["word"] * 20 + [f"w{j}" for j in range(60)] + (["###"] * 30 if bad else []))
+        made.append((i, text, "big" if i % 50 else "small", int(not bad)))
+    df = spark.createDataFrame(made, "doc_id long, text string, lang string, quality int").repartition(4)
+    got = quality.apply_rules(df.drop("quality"), df.select("doc_id", "quality"))
+    table = {(r.lang, r.quality): r.kept for r in got.join(df.select("doc_id", "quality"), "doc_id").groupBy("lang", "quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
+    assert table == {("big", 1): 1.0, ("big", 0): 0.0, ("small", 1): 1.0, ("small", 0): 1.0}
+
+
+def test_quality_without_labels(spark, hard):
+    none = spark.createDataFrame([(1, None), (None, 1), (10**9, 0)], "doc_id long, quality int")
+    got = quality.apply_rules(hard.withColumn("lang", F.lit(None).cast("string")), none)
+    assert got.count() == hard.count() and got.where("kept = base_failed").count() == 0
+
+
+# URLs
+
+
+def test_urls(spark):
+    made = [(1, "http://WWW.Example.org/es/1?x"), (2, "https://a.org"), (3, "ftp://x.com/fr/a#b"), (4, None), (5, "no scheme"), (6, ""),
+            (7, "http://a.b.example.org/en/12"), (8, "http://notexample.org/es/1"), (9, "http://h.net:80?q=/x"), (10, "http://x.com/de/://y")]
+    df = spark.createDataFrame([(*m, "old") for m in made], "page_id long, url string, HOST string")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.judge(df, queries.RULES).collect()}
+    assert got[1] == ("www.example.org", "/es/1", "example.org/es/", "block")
+    assert got[2][:3] == ("a.org", "", None)
+    assert got[3] == ("x.com", "/fr/a", "com/fr/", "allow")
+    assert got[4][:3] == got[5][:3] == got[6][:3] == ("", "", None)
+    assert got[7] == ("a.b.example.org", "/en/12", "example.org/en/1", "block")
+    assert got[8] == ("notexample.org", "/es/1", "org/", "allow")
+    assert got[9][:3] == ("h.net:80", "", None)
+    assert got[10] == ("x.com", "/de/://y", "com/de/", "block")
+    assert urls.judge(df.limit(0), queries.RULES).count() == 0
+    assert {r.verdict for r in urls.judge(df, []).collect()} == {"allow"}
+
+
+def test_reputation_shrinks(spark):
+    made = [("bad.one.com", 1)] * 40 + [("good.one.com", 0)] * 40 + [("few.one.com", 1)] + [("x.two.net", 0)] * 60 + [("new.two.net", None), ("shop.three.co.uk", 1)]
+    found = {r.host: r for r in urls.host_reputation(spark.createDataFrame(made, "host string, bad int")).collect()}
+    assert found["bad.one.com"].low > 0.5 > found["few.one.com"].low
+    assert found["good.one.com"].rate < 0.2 and found["new.two.net"].rate < found["few.one.com"].rate < found["bad.one.com"].rate
+    assert spark.range(1).select(urls.domain_of(F.lit("shop.three.co.uk"))).first()[0] == "three.co.uk"
+
+
+# Toxicity
+
+
+def test_toxicity_on_held_out_rows(spark):
+    rng = np.random.default_rng(8)
+    words = [f"plain{i}" for i in range(400)]
+    made, labels = [], []
+    for i in range(1500):
+        text = rng.choice(words, 60).tolist()
+        toxic = i % 7 == 0
+        if toxic:
+            text[10] = ("badword", "nastyling", "nastylen")[i % 3]
+        made.append((i, " ".join(text)))
+        labels.append((i, int(toxic)))
+    df = spark.createDataFrame(made, "doc_id long, text string").repartition(3)
+    truth = spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = toxicity.fit(df, truth).score(df).join(truth, "doc_id").where(toxicity.held_out("doc_id"))
+    wrong = got.where("predicted <> toxic").count() / got.count()
+    assert wrong < 0.02 and got.where("score < 0 or score > 1").count() == 0
+    left = toxicity.remove_toxic(df, truth)
+    assert left.columns == df.columns and left.count() < 1400
+
+
+def test_toxicity_of_hard_rows(spark, docs, hard):
+    model = toxicity.fit(docs, spark.read.parquet(f"{SF_DIR}/labels.parquet"))
+    got = model.score(hard)
+    assert got.count() == hard.count() and got.where("score is null or score < 0 or score > 1").count() == 0
+    assert model.score(hard.limit(0)).count() == 0
+    one = spark.createDataFrame([(i, 1) for i in range(200)] + [(None, 0), (3, None)], "doc_id long, toxic int")
+    assert {r.score for r in toxicity.fit(docs, one).score(hard).collect()} == {1.0}
+    assert {r.score for r in toxicity.fit(docs, one.limit(0)).score(hard).collect()} == {0.0}
+
+
+# Language model
+
+
+def test_base_scores(docs, hard):
+    for df in (docs.select("doc_id", "text"), hard):
+        train = df.where(~hmm.held_out("doc_id"))
+        counts = Counter()
+        for _, t in pairs(train):
+            counts.update([*spaced(lower(t)), None])
+        n, v = sum(counts.values()), len(counts)
+        got = hmm.train(train, rounds=2).score(df).withColumn("held_out", hmm.held_out("doc_id"))
+        wanted = []
+        for d, t in pairs(df):
+            w = [*spaced(lower(t)), None]
+            base = sum(math.log10((counts[x] + 1) / (n + v + 1)) for x in w)
+            out = d is not None and zlib.crc32(str(d).encode()) % 7 == 2
+            wanted.append((d, out, len(w), sum(counts[x] > 0 for x in w), n, round(base, 6)))
+        assert rows(got, "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 6)) == sorted(map(repr, wanted))
+        better = got.where("held_out").agg(F.sum("score") - F.sum("base_score")).first()[0]
+        assert df is hard or better > 0
+
+
+def test_rare_words_meet_their_counts(docs, monkeypatch):
+    df = docs.select("doc_id", "text")
+    whole = {r.doc_id: (r.base_score, r.n_known) for r in hmm.train(df, rounds=1).score(df).collect()}
+    monkeypatch.setattr(hmm.vocabulary, "__defaults__", (300,))
+    few = {r.doc_id: (r.base_score, r.n_known) for r in hmm.train(df, rounds=1).score(df).collect()}
+    assert few.keys() == whole.keys()
+    for d, (base, known) in whole.items():
+        assert few[d][0] == pytest.approx(base, rel=1e-9) and few[d][1] == known
+
+
+def test_forward_and_counts_by_brute_force():
+    rng = np.random.default_rng(6)
+    k, s = 3, 5
+    model = hmm.Model(rng.dirichlet(np.ones(k)), rng.dirichlet(np.ones(k), k), rng.dirichlet(np.ones(s), k))
+    lengths = np.array([4, 1, 6, 3])
+    symbols = rng.integers(0, s, lengths.sum())
+    found = hmm.Sequences(symbols, lengths)
+    start, moves, emitted = np.zeros(k), np.zeros((k, k)), np.zeros((k, s))
+    want = []
+    for e, n in zip(np.cumsum(lengths), lengths):
+        x = symbols[e - n : e]
+        paths = np.stack(np.meshgrid(*[range(k)] * n, indexing="ij"), -1).reshape(-1, n)
+        p = model.start[paths[:, 0]] * model.emit[paths[:, 0], x[0]]
+        for t in range(1, n):
+            p = p * model.move[paths[:, t - 1], paths[:, t]] * model.emit[paths[:, t], x[t]]
+        want.append(np.log10(p.sum()))
+        p = p / p.sum()
+        np.add.at(start, paths[:, 0], p)
+        for t in range(n):
+            np.add.at(emitted, (paths[:, t], x[t]), p)
+            if t:
+                np.add.at(moves, (paths[:, t - 1], paths[:, t]), p)
+    assert found.log10(model) == pytest.approx(want)
+    assert found.counts(model) == pytest.approx(np.concatenate([start, moves.ravel(), emitted.ravel()]))
+
+
+def test_model_is_a_distribution(docs):
+    """Over all words and the unseen ones of every class, each state's shares sum to one."""
+    lm = hmm.train(docs.select("doc_id", "text"), rounds=1)
+    vocab = lm.vocab.value
+    seen = np.zeros(hmm.CLASSES)
+    for r in lm.counts.collect():
+        at = np.searchsorted(vocab.hashes, r.h)
+        if at == len(vocab.hashes) or vocab.hashes[at] != r.h or vocab.symbols[at] < 0:
+            seen[r["class"]] += (r.c + 1) / vocab.class_total[r["class"]]
+    assert seen + 1 / vocab.class_total == pytest.approx(np.ones(hmm.CLASSES))
+    assert lm.model.emit.sum(1) == pytest.approx(np.ones(hmm.STATES)) and lm.model.move.sum(1) == pytest.approx(np.ones(hmm.STATES))
+
+
+def test_language_model_of_nothing(hard):
+    got = hmm.train(hard.limit(0)).score(hard)
+    assert got.count() == hard.count() and got.where("n_known > 0 or isnan(score)").count() == 0
+    assert hmm.train(hard, rounds=1).score(hard.limit(0)).count() == 0
