@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 
 def quoted(literal: str) -> str:
-    """``literal`` as a Java regular expression that matches just itself."""
+    """``literal`` as a Java regular expression that matches just itself, a single
+    character in the form that Java splits on without the regex engine."""
+    if len(literal) == 1:
+        return literal if literal.isalnum() or literal.isspace() or ord(literal) > 127 else "\\" + literal
     return "\\Q" + literal.replace("\\E", "\\E\\\\E\\Q") + "\\E"
 
 
@@ -43,6 +46,21 @@ def without_cr(line: Column) -> Column:
     return F.when(line.endswith("\r"), line.substr(F.lit(1), F.length(line) - 1)).otherwise(line)
 
 
+def split_block(block: bytes, name: str) -> list[str]:
+    """Decoded lines of a block of bytes: decoded as one, unless a broken character
+    at a line's end takes the newline in."""
+    lines = block.decode(name, "replace").split("\n")
+    if len(lines) != block.count(b"\n") + 1:
+        lines = [line.decode(name, "replace") for line in block.split(b"\n")]
+    return lines
+
+
+def decode_lines(values: pa.Array, name: str) -> pa.Array:
+    """Text of binary values that hold no newline."""
+    raw = values.fill_null(b"").to_pylist()
+    return pa.array(split_block(b"\n".join(raw), name) if raw else [], pa.string(), mask=values.is_null().to_numpy(zero_copy_only=False))
+
+
 def decoded(raw: Column, charset: str) -> Column:
     """Text of a string column that holds undecoded bytes.  Bytes that are not
     valid in the charset become U+FFFD, one bad byte never drops a row."""
@@ -52,8 +70,6 @@ def decoded(raw: Column, charset: str) -> Column:
 
     @F.arrow_udf("string")
     def decode_bytes(values: pa.Array) -> pa.Array:
-        return pa.array(
-            [None if v is None else v.decode(name, "replace") for v in values.to_pylist()], pa.string()
-        )
+        return decode_lines(values, name)
 
     return decode_bytes(raw.cast("binary"))

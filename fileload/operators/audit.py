@@ -9,27 +9,34 @@ from fileload.operators.records import BAD
 
 GROUP = ("job_id", "src_path", "record_type")
 
+# What becomes of a file; the later in this order, the more it says of one.
+STATUSES = ("ok", "already_loaded", "oversize", "hidden", "missing", "no_content", "bad_magic", "bad_width", "corrupt")
+
 
 def load_audit(detail_df: DataFrame, files_df: DataFrame | None = None) -> DataFrame:
     """``n_rows, n_bad, src_bytes, status`` per ``job_id, src_path, record_type``.
 
     Both inputs are tables already written.  ``files_df`` adds files that gave
     no rows.  File rows go through the same aggregation as the detail rows, so
-    there is no join, and rows are counted before they are shuffled.
+    there is no join, and rows are counted before they are shuffled.  Statuses
+    are numbers while they are aggregated, so that rows are hashed, never sorted.
     """
+    names = F.array(*(F.lit(name) for name in STATUSES))
     parts = detail_df.select(
         *GROUP,
         F.lit(1).cast("bigint").alias("row"),
         F.col(BAD).isNotNull().cast("bigint").alias("bad"),
         "src_length",
-        F.lit(None).cast("string").alias("status"),
+        F.lit(None).cast("int").alias("status"),
     )
     if files_df is not None:
         none = F.lit(0).cast("bigint")
-        parts = parts.unionByName(files_df.select(*GROUP, none.alias("row"), none.alias("bad"), "src_length", "status"))
+        place = F.array_position(names, F.col("status")).cast("int")
+        known = F.when(place != 0, place).when(F.col("status").isNotNull(), F.raise_error(F.concat(F.lit("unknown status "), "status")).cast("int"))
+        parts = parts.unionByName(files_df.select(*GROUP, none.alias("row"), none.alias("bad"), "src_length", known.alias("status")))
     return parts.groupBy(*GROUP).agg(
         F.sum("row").alias("n_rows"),
         F.sum("bad").alias("n_bad"),
         F.max("src_length").alias("src_bytes"),
-        F.coalesce(F.max("status"), F.lit("ok")).alias("status"),
+        F.element_at(names, F.coalesce(F.max("status"), F.lit(1))).alias("status"),
     )

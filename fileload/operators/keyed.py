@@ -22,7 +22,8 @@ def to_cells(
 ) -> DataFrame:
     """One row per non-null cell.  Either each of ``columns`` is a qualifier, or
     the rows already are (qualifier, value) pairs.  Columns of one type keep it,
-    mixed ones become strings.  A null is no cell, so it hides nothing."""
+    mixed ones become strings.  A null is no cell, so it hides nothing, and a row
+    without a key has none."""
     if bool(columns) == bool(qualifier_col and value_col):
         raise ValueError("give either columns or qualifier_col and value_col")
     fixed = [
@@ -43,13 +44,14 @@ def to_cells(
             for name in columns
         ]
         cells = batch_df.select(*fixed, F.inline(F.array(*pairs)))
-    return cells.where("value IS NOT NULL")
+    return cells.where("value IS NOT NULL AND row_key IS NOT NULL")
 
 
 def newest(cells: DataFrame) -> DataFrame:
     """The newest version of each cell; equal versions go by ``tie``, then by
-    value.  Every task first reduces its own rows to one per cell, so a cell
-    with most of the versions sends one row per task over the shuffle."""
+    value.  Every task first sorts and reduces its own rows to one per cell (a struct
+    cannot be a hash aggregate's buffer), so a cell with most of the versions sends
+    one row per task over the shuffle."""
     top = F.max(F.struct("version", "tie", "value")).alias("top")
     return cells.groupBy(*CELL).agg(top).select(*CELL, "top.version", "top.value")
 

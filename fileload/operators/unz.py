@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fileload.functions import lzw
-from fileload.functions.text import check_charset
+from fileload.functions.text import check_charset, split_block
 
 MODES = ("PERMISSIVE", "DROPMALFORMED", "FAILFAST")
 
@@ -53,7 +53,7 @@ def _lines(block: bytes, charset: str) -> pa.Array:
         offsets[0], offsets[-1] = 0, len(kept)
         offsets[1:-1] = ends - np.arange(len(ends))
         return pa.Array.from_buffers(pa.string(), len(ends) + 1, [None, pa.py_buffer(offsets), pa.py_buffer(kept)])
-    lines = [raw.decode(charset, "replace") for raw in block.split(b"\n")]
+    lines = split_block(block, charset)
     return pa.array([line[:-1] if line.endswith("\r") else line for line in lines], pa.string())
 
 

@@ -19,7 +19,7 @@ from fileload.operators.ledger import commit, ledger, pending
 from fileload.operators.manifest import manifest_parse
 from fileload.operators.records import BAD, RecordSpec, fields, record_parse, register_record
 from fileload.operators.routing import lineage_stamp, size_route
-from fileload.operators.unz import z_files, z_ingest, z_lines, z_reject
+from fileload.operators.unz import z_ingest, z_lines, z_reject
 from fileload.operators.zpack import z_export
 from fileload.plans.load import run_load
 from fileload.session import stage_dir
@@ -131,9 +131,13 @@ def q_z_reject(spark, sf_dir):
     folder = stage_dir(spark, "z")
     kind = source_number("shard") % 4
     head = F.when(kind == 0, F.unhex(F.lit("1F9E90"))).when(kind == 1, F.unhex(F.lit("1F9D91")))
-    broken = F.concat(F.coalesce(head, F.unhex(F.lit("1F9D90"))), F.expr("substring(content, 4)"))
-    write_z_files(_z_by_source(spark, sf_dir).withColumn("content", broken), folder)
-    return z_reject(_z_scan(spark, folder)).select(source_name("path").alias("source"), "status").distinct()
+    body = F.when(kind == 2, F.unhex(F.lit("FF" * 40))).otherwise(F.expr("substring(content, 4)"))
+    broken = F.concat(F.coalesce(head, F.unhex(F.lit("1F9D90"))), body)
+    payloads = _z_by_source(spark, sf_dir).withColumn("content", broken)
+    write_z_files(payloads, folder)
+    absent = payloads.select(F.col("shard").alias("path"), F.lit(None).cast("binary").alias("content")).distinct()
+    found = _z_scan(spark, folder).select("path", "content").union(absent)
+    return z_reject(found).select(source_name("path").alias("source"), "status").distinct()
 
 
 def q_codec_text_scan(spark, sf_dir):
@@ -153,8 +157,10 @@ def q_record_parse(spark, sf_dir):
 
 
 def q_size_route(spark, sf_dir):
-    files = table(spark, sf_dir, "documents").select("doc_id", F.octet_length("text").cast("bigint").alias("length"))
-    return size_route(files, 4096)
+    """One file for each source; no content is read."""
+    docs = table(spark, sf_dir, "documents").select("source", F.col("text").alias("value"))
+    files = list_files(spark, [_files_by_source(docs.repartition("source"))])
+    return size_route(files.select(source_name("path").alias("source"), "length"), 120_000)
 
 
 def q_lineage_stamp(spark, sf_dir):
@@ -183,7 +189,7 @@ def _cells_in_two_loads(spark, sf_dir) -> DataFrame:
     """All events, those of the second half of each day loaded first."""
     events = table(spark, sf_dir, "events")
     late = F.hour("ts") >= 12
-    stored = KeyedTable(spark, stage_dir(spark, "keyed"), 16)
+    stored = KeyedTable(spark, stage_dir(spark, "keyed"))
     for part in (late, ~late):
         stored.load(keyed_load(None, events.where(part), "user_id", "ts", **EVENT_CELLS))
     return stored.cells()
@@ -212,11 +218,7 @@ def q_keyed_latest(spark, sf_dir):
 def q_z_export(spark, sf_dir):
     packed = z_export(table(spark, sf_dir, "documents"), "lang", "text", "doc_id")
     files = packed.select(F.concat_ws("/", "shard", F.hex("part")).alias("path"), "content")
-    return (
-        z_files(z_ingest(files))
-        .groupBy(F.substring_index("path", "/", 1).alias("shard"))
-        .agg(F.sum("n_lines").alias("n_lines"), F.sum("n_bytes").alias("n_bytes"))
-    )
+    return z_lines(z_ingest(files)).select(F.substring_index("path", "/", 1).alias("shard"), "line")
 
 
 def q_stream_ingest(spark, sf_dir):
@@ -239,7 +241,7 @@ def q_stream_z_ingest(spark, sf_dir):
 
 
 def q_stream_keyed_load(spark, sf_dir):
-    folder, stored = stage_dir(spark, "input"), KeyedTable(spark, stage_dir(spark, "keyed"), 16)
+    folder, stored = stage_dir(spark, "input"), KeyedTable(spark, stage_dir(spark, "keyed"))
     event_lines(spark, sf_dir).select("value").write.option("maxRecordsPerFile", 4000).text(folder)
     query = stream_ingest(
         spark,
@@ -318,7 +320,8 @@ UNION ALL SELECT DISTINCT source, 'missing', CAST(NULL AS BIGINT) FROM documents
     "z_ingest": "SELECT source, doc_id, lang, n_chars FROM documents",
     "z_reject": """
 SELECT DISTINCT source, CASE CAST(substr(source, 4) AS INT)%4
-  WHEN 0 THEN 'bad_magic' WHEN 1 THEN 'bad_width' ELSE 'ok' END AS status FROM documents
+  WHEN 0 THEN 'bad_magic' WHEN 1 THEN 'bad_width' WHEN 2 THEN 'corrupt' ELSE 'ok' END AS status FROM documents
+UNION ALL SELECT DISTINCT source, 'no_content' FROM documents
 """,
     "codec_text_scan": "SELECT vec_id||':'||label AS value FROM embeddings",
     "record_parse": """
@@ -326,8 +329,8 @@ SELECT event_id, ts, user_id, event_type, CASE WHEN event_id%97 = 0 THEN NULL EL
        event_id%97 = 0 AS is_bad FROM events
 """,
     "size_route": """
-SELECT doc_id, octet_length(encode(text)) AS length,
-       CASE WHEN octet_length(encode(text)) > 4096 THEN 'oversize' ELSE 'normal' END AS route FROM documents
+SELECT source, CAST(sum(octet_length(encode(text))+1) AS BIGINT) AS length,
+       CASE WHEN sum(octet_length(encode(text))+1) > 120000 THEN 'oversize' ELSE 'normal' END AS route FROM documents GROUP BY source
 """,
     "lineage_stamp": "SELECT 'job-1' AS job_id, source AS src, count(*) AS n_rows FROM documents GROUP BY source",
     "detail_write": "SELECT 'job-1' AS job_id, event_id, event_type, value FROM events",
@@ -339,8 +342,7 @@ SELECT o_custkey AS row_key, o_orderstatus, o_orderpriority FROM orders
 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1
 """,
     "z_export": """
-SELECT lang AS shard, CAST(sum(length(text)-length(replace(text, chr(10), ''))+1) AS BIGINT) AS n_lines,
-       CAST(sum(octet_length(encode(text))+1) AS BIGINT) AS n_bytes FROM documents GROUP BY lang
+SELECT lang AS shard, unnest(string_split(text, chr(10))) AS line FROM documents
 """,
     "stream_ingest": "SELECT event_id, user_id, event_type, value FROM events",
     "load_audit": """

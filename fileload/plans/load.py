@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import asdict, dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -65,8 +66,9 @@ class LoadResult:
 
     def miscounted(self, expected_col: str) -> DataFrame:
         """Files whose rows are not as many as a manifest field says, the one way
-        to see that a ``.Z`` file was cut short."""
-        expected = plan(self.spark, self.config).select(
+        to see that a ``.Z`` file was cut short.  Files this job did not read, since
+        an earlier one had or they are absent or too large, are not compared."""
+        expected = plan(self.spark, self.config).where("status = 'ok'").select(
             F.coalesce("uri", "path").alias("src_path"), F.col(expected_col).try_cast("bigint").alias("n_expected")
         )
         return self.audit().join(expected.where("n_expected is not null"), "src_path").where("n_rows <> n_expected")
@@ -87,6 +89,20 @@ def plan(spark: SparkSession, config: LoadConfig) -> DataFrame:
     return spark.read.parquet(_plan_folder(config))
 
 
+def _identity(spark: SparkSession, config: LoadConfig, manifest_path: str) -> str:
+    """Tells a job's manifest (its lines, in any order) and settings from others."""
+    lines = manifest_scan(spark, manifest_path).agg(F.count("*"), F.sum(F.xxhash64("value").cast("decimal(38,0)"))).first()
+    settings = {**asdict(config), "layout": list(config.layout)}
+    return json.dumps({"lines": str(lines[0]), "sum": str(lines[1]), **settings}, sort_keys=True)
+
+
+def _check_identity(spark: SparkSession, config: LoadConfig, manifest_path: str) -> None:
+    """A job id belongs to one manifest and one set of settings."""
+    stored = spark.read.text(f"{_plan_folder(config)}/_identity", wholetext=True).first()
+    if stored is None or stored[0].strip() != _identity(spark, config, manifest_path):
+        raise ValueError(f"job {config.job_id!r} was planned with another manifest or other settings")
+
+
 def make_plan(spark: SparkSession, config: LoadConfig, manifest_path: str, wave_files: int) -> None:
     """Decide once, from the manifest and file listing alone, what each listed
     path's part in the job is.  A rerun follows the stored plan."""
@@ -110,6 +126,8 @@ def make_plan(spark: SparkSession, config: LoadConfig, manifest_path: str, wave_
         files = files.where("status <> 'ok'").unionByName(split.withColumn("path", F.col("listed")).drop("listed"))
     # A folder per wave, so that a wave reads its own part of the plan only.
     files.hint("rebalance", "wave").write.mode("overwrite").partitionBy("wave").parquet(_plan_folder(config))
+    mark = spark.createDataFrame([(_identity(spark, config, manifest_path),)], "value string")
+    mark.coalesce(1).write.mode("overwrite").text(f"{_plan_folder(config)}/_identity")
 
 
 def run_load(
@@ -122,13 +140,18 @@ def run_load(
     job again redoes only waves without a ledger entry, each into its own
     folder, so it ends with the same tables.
     """
-    if not exists(spark, f"{_plan_folder(config)}/_SUCCESS"):
+    if config.archive_path:
+        raise ValueError("archive_path (inputBakPath) is for the incremental job; a batch job moves no inputs")
+    if exists(spark, f"{_plan_folder(config)}/_identity/_SUCCESS"):
+        _check_identity(spark, config, manifest_path)
+    else:
         with stage_scope(spark):
             make_plan(spark, config, manifest_path, wave_files)
     planned = plan(spark, config)
-    bad = planned.where("status in ('missing', 'hidden')").select("path", "status").head()
+    bad = planned.where("status in ('missing', 'hidden', 'bad_magic')").select("path", "status").head()
     if bad and config.mode.upper() == "FAILFAST":
-        raise FileNotFoundError(f"{bad.path}: {bad.status}")
+        kind = ValueError if bad.status == "bad_magic" else FileNotFoundError
+        raise kind(f"{bad.path}: {bad.status}")
     if config.oversize_path:
         # In manifest form again, ready for a job with a higher limit.
         folder = job_folder(config.oversize_path, config.job_id)
@@ -174,7 +197,9 @@ def _load_wave(
     if zs:
         scan = spark.read.format("binaryFile").load(zs)
         payloads = scan.select(F.col("_metadata.file_path").alias("path"), "length", "modificationTime", "content")
-        write(z_ingest(payloads, charset, config.mode), "z", DECODE_CONF)
+        # A bad file has no lines to drop, and its status row stays in any mode.
+        mode = "FAILFAST" if config.mode.upper() == "FAILFAST" else "PERMISSIVE"
+        write(z_ingest(payloads, charset, mode), "z", DECODE_CONF)
     # Text files, and whatever gets no row from the decoder, have their file rows here.
     rows = files.where(~is_z(F.col("path")) | (F.col("status") != "ok")).select(
         F.col("uri").alias("path"), "length", "modificationTime", F.lit("file").alias("kind"), "status"

@@ -1,4 +1,4 @@
-"""Stored keyed cells: hashed bucket folders and a numbered list of which to read."""
+"""Stored keyed cells: a folder for each load and a numbered list of which to read."""
 
 from __future__ import annotations
 
@@ -7,90 +7,102 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructType
 
 from fileload.functions.paths import _fs, child_names, remove
-from fileload.operators.keyed import merge_cells
-from fileload.session import stage_scope, stage_table
+from fileload.operators.keyed import CELL, newest
+
+COLUMNS = [*CELL, "version", "value"]
 
 
 class KeyedTable:
-    """A load writes the buckets its rows fall in to new folders, then publishes
-    a list of the folder of every bucket.  Readers see one list or the next,
-    never a mixture; a load that dies publishes nothing; of two loads at once
-    the second to publish fails and can be run again."""
+    """A load appends its cells as a folder of its own and publishes a list that
+    names it, so it writes what it brings and no more.  Readers see one list or
+    the next, never a mixture; a load that dies publishes nothing; of two loads
+    at once the second to publish fails and can be run again.
+
+    The newest version of a cell is found when the table is read; ``compact``
+    puts the loads so far together.  The first load fixes the columns' types.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, n_buckets: int = 256):
-        self.spark, self.path, self.n_buckets = spark, path.rstrip("/"), n_buckets
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
 
     def _list_path(self, number: int) -> str:
         return f"{self.path}/_lists/{number:010d}.json"
 
     def _numbers(self) -> list[int]:
         names = child_names(self.spark, f"{self.path}/_lists")
-        return [int(name[:-5]) for name in names if name.endswith(".json") and name[:-5].isdigit()]
-
-    def _list(self, number: int) -> dict[int, str]:
-        state = json.loads(self.spark.read.text(self._list_path(number), wholetext=True).first()[0])
-        if state["n_buckets"] != self.n_buckets:
-            raise ValueError(f"{self.path} has {state['n_buckets']} buckets, not {self.n_buckets}")
-        return {int(bucket): name for bucket, name in state["folders"].items()}
-
-    def _published(self) -> tuple[int, dict[int, str]]:
-        number = max(self._numbers(), default=0)
-        return number, self._list(number) if number else {}
-
-    def _publish(self, number: int, folders: dict[int, str]) -> None:
-        fs, _ = _fs(self.spark, self.path)
-        path_of = self.spark._jvm.org.apache.hadoop.fs.Path
-        temp = path_of(f"{self.path}/_lists/.{uuid.uuid4().hex}")
-        final = path_of(self._list_path(number))
-        out = fs.create(temp, False)
-        out.write(bytearray(json.dumps({"n_buckets": self.n_buckets, "folders": folders}).encode()))
-        out.close()
-        if fs.exists(final) or not fs.rename(temp, final):
+        return sorted(int(name[:-5]) for name in names if name.endswith(".json") and name[:-5].isdigit())
+
+    def _list(self, number: int) -> dict | None:
+        """A list's content, None while its writer has not closed it."""
+        found = self.spark.read.text(self._list_path(number), wholetext=True).first()
+        try:
+            return json.loads(found[0]) if found else None
+        except ValueError:
+            return None
+
+    def _published(self) -> tuple[int, list[str], StructType | None]:
+        """Number of the newest list, the folders it names and their schema."""
+        for number in reversed(self._numbers()):
+            state = self._list(number)
+            if state is not None:
+                return number, state["folders"], StructType.fromJson(state["schema"])
+        return 0, [], None
+
+    def _publish(self, number: int, folders: list[str], schema: StructType) -> None:
+        fs, final = _fs(self.spark, self._list_path(number))
+        if fs.exists(final):
             raise RuntimeError(f"another load published {final.toString()} first")
+        # A name is created once: whoever comes second fails here.
+        out = fs.create(final, False)
+        out.write(bytearray(json.dumps({"folders": folders, "schema": schema.jsonValue()}).encode()))
+        out.close()
+
+    def _read(self, folders: list[str], schema: StructType) -> DataFrame:
+        """Cells of some loads, ``tie`` being the number of the load."""
+        known = StructType([*schema.fields]).add("load", IntegerType()).add("part", StringType())
+        scan = self.spark.read.option("basePath", f"{self.path}/data").schema(known)
+        return scan.parquet(*[f"{self.path}/data/{folder}" for folder in folders]).select(*COLUMNS, F.col("load").alias("tie"))
 
-    def _read(self, folders: list[str]) -> DataFrame:
-        return self.spark.read.parquet(*[f"{self.path}/{folder}" for folder in folders])
+    def _write(self, cells: DataFrame, number: int) -> str:
+        folder = f"load={number}/part={uuid.uuid4().hex}"
+        cells.write.parquet(f"{self.path}/data/{folder}")
+        return folder
 
     def cells(self) -> DataFrame | None:
         """All current cells, or None before the first load."""
-        folders = self._published()[1]
-        return self._read(sorted(folders.values())) if folders else None
+        _, folders, schema = self._published()
+        return newest(self._read(folders, schema)) if folders else None
 
     def load(self, batch_cells: DataFrame) -> None:
-        """Merge cells (one row per cell, as ``keyed_load(None, …)`` gives them).
-        Only buckets the batch touches are read and rewritten."""
-        with stage_scope(self.spark):
-            self._load(batch_cells)
-
-    def _load(self, batch_cells: DataFrame) -> None:
-        number, folders = self._published()
-        bucket = F.pmod(F.xxhash64("row_key"), F.lit(self.n_buckets)).cast("int")
-        batch = stage_table(batch_cells.withColumn("bucket", bucket), "cells")
-        touched = [row.bucket for row in batch.select("bucket").distinct().collect()]
-        if not touched:
+        """Append cells (one row per cell, as ``keyed_load(None, …)`` gives them);
+        of equal versions the later load wins."""
+        number, folders, schema = self._published()
+        batch = batch_cells.select(*COLUMNS)
+        kinds = [f.dataType for f in batch.schema]
+        if schema is not None and kinds != [f.dataType for f in schema]:
+            raise ValueError(f"{self.path} holds {schema.simpleString()}, not {batch.schema.simpleString()}")
+        folder = self._write(batch, number + 1)
+        if self.spark.read.schema(batch.schema).parquet(f"{self.path}/data/{folder}").isEmpty():
+            remove(self.spark, f"{self.path}/data/{folder}")
             return
-        merged = batch.drop("bucket")
-        old = [folders[b] for b in touched if b in folders]
-        if old:
-            merged = merge_cells(self._read(old), merged)
-        name = f"data/{number + 1:010d}-{uuid.uuid4().hex}"
-        (
-            merged.withColumn("bucket", bucket)
-            .hint("rebalance", "bucket")
-            .write.partitionBy("bucket")
-            .parquet(f"{self.path}/{name}")
-        )
-        self._publish(number + 1, {**folders, **{b: f"{name}/bucket={b}" for b in touched}})
-
-    def drop_replaced(self, keep: int = 2) -> None:
-        """Remove bucket folders that none of the last ``keep`` lists names, and
-        the older lists.  Not while a load runs or a reader holds an older list."""
-        numbers = sorted(self._numbers())
-        kept = {name for number in numbers[-keep:] for name in self._list(number).values()}
-        for number in numbers[:-keep]:
-            for name in set(self._list(number).values()) - kept:
-                remove(self.spark, f"{self.path}/{name}")
-        for number in numbers[:-keep]:
-            remove(self.spark, self._list_path(number))
+        self._publish(number + 1, [*folders, folder], schema or batch.schema)
+
+    def compact(self, keep: int = 2) -> None:
+        """Put all loads together as one, and remove what the last ``keep`` lists
+        do not name, loads that died included.  Not while a load runs or a reader
+        holds an older list."""
+        number, folders, schema = self._published()
+        if len(folders) > 1:
+            folder = self._write(newest(self._read(folders, schema)), number + 1)
+            self._publish(number + 1, [folder], schema)
+        numbers = self._numbers()
+        kept = {name for n in numbers[-keep:] for name in (self._list(n) or {"folders": []})["folders"]}
+        for load in child_names(self.spark, f"{self.path}/data"):
+            for part in child_names(self.spark, f"{self.path}/data/{load}"):
+                if f"{load}/{part}" not in kept:
+                    remove(self.spark, f"{self.path}/data/{load}/{part}")
+        for n in numbers[:-keep]:
+            remove(self.spark, self._list_path(n))

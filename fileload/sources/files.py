@@ -82,15 +82,11 @@ def manifest_files(
 
 
 def _listed(spark: SparkSession, folders_df: DataFrame) -> DataFrame:
-    """Listing of all the folders.  The driver indexes one group of folders at a
-    time; with more than one group the listings are kept as a table."""
-    few = [row.folder for row in folders_df.limit(LIST_FOLDERS + 1).collect()]
+    """Listing of all the folders, as a table.  The driver indexes one group of
+    folders at a time."""
     nothing = spark.createDataFrame([], LISTING)
-    if len(few) <= LIST_FOLDERS:
-        names = existing(spark, few)
-        return list_files(spark, names) if names else nothing
     folders = stage_table(folders_df, "folders")
-    groups = -(-folders.count() // LIST_FOLDERS)
+    groups = max(1, -(-folders.count() // LIST_FOLDERS))
 
     def group(folder):
         return F.pmod(F.xxhash64(folder), F.lit(groups))
@@ -108,19 +104,15 @@ def _listed(spark: SparkSession, folders_df: DataFrame) -> DataFrame:
 
 def _with_empty_files(absent_df: DataFrame) -> DataFrame:
     """Spark's listing leaves out files of no bytes, so paths it did not give
-    are looked up one by one, by the tasks.  Where a task cannot open the file
-    system they stay ``missing``: either way there is nothing in them to load."""
+    are looked up one by one, by the tasks.  A file system that a task cannot open
+    fails the task: whether a file is absent is not known then."""
 
     @F.arrow_udf("bigint")
     def empty_since(paths: pa.Array) -> pa.Array:
         found, open_fs = [], opener()
         for path in paths.to_pylist():
-            try:
-                fs, name = open_fs(path)
-                info = fs.get_file_info(name)
-            except (pa.ArrowException, OSError):
-                found.append(None)
-                continue
+            fs, name = open_fs(path)
+            info = fs.get_file_info(name)
             found.append(info.mtime_ns // 1000 if info.is_file and info.size == 0 else None)
         return pa.array(found, pa.int64())
 

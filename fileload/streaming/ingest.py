@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from fileload.config import LoadConfig, check_job_id, check_names
 from fileload.functions.text import decoded, without_cr
 from fileload.operators.keyed import keyed_load
-from fileload.operators.records import record_parse, record_spec
+from fileload.operators.records import BAD, record_parse, record_spec
 from fileload.operators.routing import lineage_stamp, take_route
 from fileload.operators.unz import z_ingest
 from fileload.session import DECODE_CONF, TWO_FOLDERS_CONF, conf_scope
@@ -95,7 +95,7 @@ def stream_ingest(
     own folder ``job_id=…/batch=…``, so a batch that is run again is not loaded
     twice; a job id belongs to one checkpoint.  Files above ``max_file_size`` are
     recorded (``stream_files``) and not loaded.  With ``table``, the batch's rows
-    are also merged into it (``keyed`` holds the arguments of ``keyed_load``).
+    that parse are also loaded into it (``keyed`` holds the arguments of ``keyed_load``).
     Handled files move to ``archive_path``; those of the last batch follow when
     a later batch runs.
     """
@@ -113,8 +113,9 @@ def stream_ingest(
         with conf_scope(batch.sparkSession, {**TWO_FOLDERS_CONF, **(DECODE_CONF if codec == "z" else {})}):
             folder = detail_write(parsed, detail_path, job_id, ["kind"], scope={"batch": batch_id})
         if table is not None:
-            loaded = batch.sparkSession.read.schema(parsed.schema).parquet(folder).where("kind = 'line'")
-            table.load(keyed_load(None, loaded, **keyed))
+            loaded = batch.sparkSession.read.schema(parsed.schema).parquet(folder)
+            good = loaded.where((F.col("kind") == "line") & F.col(BAD).isNull())
+            table.load(keyed_load(None, good, **keyed))
 
     return (
         inputs.writeStream.foreachBatch(load_batch)

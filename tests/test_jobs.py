@@ -150,7 +150,7 @@ def test_modes(spark, place):
     with pytest.raises(FileNotFoundError):
         run_load(spark, config(place, mode="FAILFAST"), str(place / "manifest"))
     result = run_load(spark, config(place, "j2", mode="DROPMALFORMED"), str(place / "manifest"))
-    assert "corrupt.Z" not in audit(result) and sorted(rows(result), key=str) == sorted(WANT, key=str)
+    assert audit(result)["corrupt.Z"] == ("corrupt", 0, 0) and sorted(rows(result), key=str) == sorted(WANT, key=str)
 
 
 def test_gbk(spark, place):
@@ -198,7 +198,30 @@ def test_reserved_names(place):
 def test_only_bad_files_dropped(spark, place):
     (place / "manifest").write_text(f"{place}/in/corrupt.Z\n")
     result = run_load(spark, config(place, mode="DROPMALFORMED"), str(place / "manifest"))
-    assert result.detail().count() == 0 and audit(result) == {}
+    assert result.detail().count() == 0 and audit(result) == {"corrupt.Z": ("corrupt", 0, 0)}
+
+
+def test_failfast_on_an_empty_z(spark, place):
+    (place / "manifest").write_text(f"{place}/in/empty.Z\n")
+    with pytest.raises(ValueError, match="bad_magic"):
+        run_load(spark, config(place, mode="FAILFAST"), str(place / "manifest"))
+
+
+def test_job_id_belongs_to_one_manifest(spark, place):
+    run_load(spark, config(place), str(place / "manifest"))
+    with pytest.raises(ValueError, match="other settings"):
+        run_load(spark, config(place, max_file_size=5), str(place / "manifest"))
+    (place / "other").write_text(f"{place}/in/big.txt:tag\n")
+    with pytest.raises(ValueError, match="another manifest"):
+        run_load(spark, config(place), str(place / "other"))
+    with pytest.raises(ValueError, match="incremental"):
+        run_load(spark, config(place, "j9", archive_path="/x"), str(place / "manifest"))
+
+
+def test_only_files_read_are_counted(spark, place):
+    (place / "manifest").write_text(f"{place}/in/plain.txt:3\n{place}/in/absent.txt:5\n{place}/in/big.txt:1000\n")
+    assert run_load(spark, config(place), str(place / "manifest")).miscounted("tag").count() == 0
+    assert run_load(spark, config(place, "j2"), str(place / "manifest")).miscounted("tag").count() == 0
 
 
 def stream(spark, place, **kwargs):
@@ -206,7 +229,8 @@ def stream(spark, place, **kwargs):
         spark, str(place / "in"), "pairs", str(place / "detail"), str(place / "checkpoint"), "s1", **kwargs
     )
     query.awaitTermination()
-    return sorted((r.src_path.rsplit("/", 1)[1], r.k, r.v) for r in stream_detail(spark, str(place / "detail"), "s1").collect())
+    rows = stream_detail(spark, str(place / "detail"), "s1").collect()
+    return sorted(((r.src_path.rsplit("/", 1)[1], r.k, r.v) for r in rows), key=str)
 
 
 def test_stream_of_text(spark, place):
@@ -271,10 +295,19 @@ def test_stream_archives_inputs(spark, place):
 def test_stream_into_a_keyed_table(spark, place):
     os.unlink(place / "in" / "big.txt")
     os.unlink(place / "in" / "plain.txt")
-    table = KeyedTable(spark, str(place / "cells"), 4)
+    table = KeyedTable(spark, str(place / "cells"))
     keyed = dict(key="k", version="src_mtime", columns=["v"], ties=["src_path"])
     for n in range(2):
         (place / "in" / f"n{n}.txt").write_text(f"a|{n}\nb{n}|{n}\n")
         os.utime(place / "in" / f"n{n}.txt", (1_700_000_000 + n, 1_700_000_000 + n))
         stream(spark, place, keyed=keyed, table=table)
     assert {(r.row_key, r.value) for r in table.cells().collect()} == {("a", 1), ("b0", 0), ("b1", 1)}
+
+
+def test_broken_lines_are_no_cells(spark, place):
+    for name in ("big.txt", "plain.txt"):
+        os.unlink(place / "in" / name)
+    (place / "in" / "n.txt").write_text("a|1\noops|20|more\n|7\nc|x\n")
+    table = KeyedTable(spark, str(place / "cells"))
+    stream(spark, place, keyed=dict(key="k", version="src_mtime", columns=["v"]), table=table)
+    assert [(r.row_key, r.value) for r in table.cells().collect()] == [("a", 1)]

@@ -155,7 +155,7 @@ def brute(loads):
 
 
 def test_keyed_table(spark, tmp_path):
-    stored = KeyedTable(spark, str(tmp_path / "t"), 8)
+    stored = KeyedTable(spark, str(tmp_path / "t"))
     assert stored.cells() is None
     loads = []
     for n in range(3):
@@ -165,27 +165,47 @@ def test_keyed_table(spark, tmp_path):
         stored.load(keyed_load(None, batch, "k", "v", ["x"]))
         assert as_set(stored.cells()) == brute(loads)
     before = stored._published()
-    stored.load(keyed_load(None, spark.createDataFrame([("k1", 99, "new")], "k string, v int, x string"), "k", "v", ["x"]))
-    after = stored._published()
-    assert after[0] == before[0] + 1
-    assert sum(after[1][b] != before[1].get(b) for b in after[1]) == 1
     stored.load(stored.cells().limit(0))
-    assert stored._published() == after
+    assert stored._published() == before
     cells = as_set(stored.cells())
-    stored.drop_replaced(keep=1)
+    (tmp_path / "t" / "data" / "load=9" / "part=dead").mkdir(parents=True)
+    stored.compact(keep=1)
     assert as_set(stored.cells()) == cells
-    left = {str(p.relative_to(tmp_path / "t")) for p in (tmp_path / "t" / "data").glob("*/bucket=*")}
-    assert left == set(after[1].values()) and len(list((tmp_path / "t" / "_lists").glob("0*.json"))) == 1
-    with pytest.raises(ValueError):
-        KeyedTable(spark, str(tmp_path / "t"), 9).cells()
+    left = [f"{p.parent.name}/{p.name}" for p in (tmp_path / "t" / "data").glob("*/part=*")]
+    assert left == stored._published()[1] and len(list((tmp_path / "t" / "_lists").glob("0*.json"))) == 1
+    stored.compact()
+    assert stored._published()[1] == left
+
+
+def test_a_load_writes_what_it_brings(spark, tmp_path):
+    stored = KeyedTable(spark, str(tmp_path / "t"))
+    big = spark.range(50_000).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v"), F.col("id").cast("string").alias("x"))
+    stored.load(keyed_load(None, big, "k", "v", ["x"]))
+
+    def written():
+        return sum(p.stat().st_size for p in tmp_path.rglob("*.parquet"))
+
+    before = written()
+    stored.load(keyed_load(None, big.limit(20).withColumn("v", F.lit(2)), "k", "v", ["x"]))
+    assert written() - before < before / 20
+    assert stored.cells().where("version = 2").count() == 20 and stored.cells().count() == 50_000
+
+
+def test_value_type_is_fixed(spark, tmp_path):
+    stored = KeyedTable(spark, str(tmp_path / "t"))
+    rows = spark.createDataFrame([("a", 1, 5, "x"), (None, 1, 6, "y")], "k string, v int, n int, s string")
+    stored.load(keyed_load(None, rows, "k", "v", ["n"]))
+    with pytest.raises(ValueError, match="holds"):
+        stored.load(keyed_load(None, rows, "k", "v", ["n", "s"]))
+    assert as_set(stored.cells()) == {("a", "n", 1, 5)}
 
 
 def test_two_loads_at_once(spark, tmp_path):
-    stored = KeyedTable(spark, str(tmp_path / "t"), 4)
+    stored = KeyedTable(spark, str(tmp_path / "t"))
     cells = keyed_load(None, spark.createDataFrame([("a", 1, "x")], "k string, v int, x string"), "k", "v", ["x"])
     stored.load(cells)
     seen = stored._published
-    stored._published = lambda: (0, {})
+    stored._published = lambda: (0, [], None)
     with pytest.raises(RuntimeError, match="first"):
         stored.load(cells)
     stored._published = seen
@@ -212,6 +232,7 @@ def test_load_audit(spark):
     assert load_audit(detail).count() == 2
     plan = load_audit(detail, files)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and plan.count("Exchange") == 1
+    assert "HashAggregate" in plan and "Sort" not in plan
 
 
 def test_stages_are_removed(spark, tmp_path):
