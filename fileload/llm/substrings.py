@@ -10,9 +10,9 @@ with its smallest id.
 The minimizers deal the segments out to shards.  Of each shard's segments, in the
 order of their ids, a task builds a suffix automaton over words, streams the same
 segments through it for their matching statistics, cut at SPAN words, and so learns
-where a window's words first occurred.  A minimizer that a crowd of documents shares
-is cut into single windows first (named by 128-bit hashes), which other shards take,
-so that no shard holds a crowd.
+where a window's words first occurred.  Where a crowd of different segments has one
+minimizer, they are cut into single windows (named by 128-bit hashes), which other
+shards take, so that no shard holds a crowd.
 
 Sending automata of all shards to all tasks, as broadcasts would, costs shards times
 documents; dealt by minimizer, each part of a document meets only the one shard that
@@ -35,7 +35,7 @@ from fileload.llm.text import Words, col, emit_texts, keyed, map_texts, ragged
 from fileload.session import stage_table
 
 SPAN, GRAM = 50, 10
-#: Documents that share a minimizer, beyond which its segments are cut into windows.
+#: Different segments of one minimizer, beyond which they are cut into windows.
 CROWD = 500
 
 _MARKS = StructType([StructField("mark", LongType()), StructField("id", LongType()), StructField("th", LongType())])
@@ -173,13 +173,10 @@ def earlier_spans(docs: DataFrame, span: int, id_col: str, text_col: str) -> Dat
         return [pa.array(low[new].astype(np.int64)), ids.take(owner), ths.take(owner)]
 
     found = emit_texts(rows, text_col, ["__id", "__th"], _MARKS, marks)
-    shared = found.groupBy("mark").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n")).where("lo < hi")
-    wanted = found.join(shared.select("mark", (F.col("n") > CROWD).alias("crowd")), "mark")
-    wanted = wanted.groupBy(F.col("id").alias("__id"), F.col("th").alias("__th")).agg(
-        F.collect_set(F.when(~F.col("crowd"), F.col("mark"))).alias("__marks"), F.collect_set(F.when(F.col("crowd"), F.col("mark"))).alias("__crowds")
-    )
+    shared = found.groupBy("mark").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("mark")
+    wanted = found.join(shared, "mark").groupBy(F.col("id").alias("__id"), F.col("th").alias("__th")).agg(F.collect_set("mark").alias("__marks"))
 
-    def segments(texts, ids, ths, quiet, crowded):
+    def segments(texts, ids, ths, marks):
         words = Words(texts)
         hashes = words.hashes()
         at, low = _minimizers(words, hashes, span)
@@ -192,49 +189,63 @@ def earlier_spans(docs: DataFrame, span: int, id_col: str, text_col: str) -> Dat
         head, mark, owner = at[first], low[first], doc[first]
         bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
         out: list[list] = [[], [], [], [], []]
-        singles = []
         for d in range(len(texts)):
             lo, hi = bounds[d], bounds[d + 1]
-            if lo == hi:
-                continue
-            some = np.isin(mark[lo:hi], np.asarray(quiet[d].values))
+            some = np.isin(mark[lo:hi], np.asarray(marks[d].values))
             for i in (lo + np.flatnonzero(some)).tolist():
                 n = int(count[i]) + span - 1
-                out[0].append(int(mark[i]))
-                out[1].append(d)
-                out[2].append(int(head[i] - words.first[d]))
-                out[3].append(n)
-                out[4].append(words.joined(head[i], head[i] + n).decode())
-            singles.append(lo + np.flatnonzero(np.isin(mark[lo:hi], np.asarray(crowded[d].values))))
-        cut = np.concatenate(singles) if singles else np.empty(0, np.int64)
-        alone = ragged(head[cut], count[cut])
-        of = np.searchsorted(words.first, alone, "right") - 1
-        docs_of = np.r_[np.array(out[1], np.int64), of]
-        shards, names = np.empty(0, np.int64), []
-        if len(alone):
-            one, two = (words.windows(words.hashes(k), span, k) for k in range(2))
-            place = np.searchsorted(one[0], alone)
-            shards = one[1][place].astype(np.int64)
-            names = [f"#{x:016x}" for x in two[1][place].tolist()]
+                for to, value in zip(out, (int(mark[i]), d, int(head[i] - words.first[d]), n, words.joined(head[i], head[i] + n).decode())):
+                    to.append(value)
+        of = pa.array(out[1], pa.int64())
         return [
-            pa.array(np.r_[np.array(out[0], np.int64), shards]),
-            ids.take(pa.array(docs_of)),
-            ths.take(pa.array(docs_of)),
-            pa.array(np.r_[np.array(out[2], np.int32), (alone - words.first[of]).astype(np.int32)].astype(np.int32)),
-            pa.array(np.r_[np.array(out[3], np.int32), np.full(len(alone), span, np.int32)].astype(np.int32)),
-            pa.array(out[4] + names, pa.string()),
+            pa.array(out[0], pa.int64()),
+            ids.take(of),
+            ths.take(of),
+            pa.array(out[2], pa.int32()),
+            pa.array(out[3], pa.int32()),
+            pa.array(out[4], pa.string()),
         ]
 
     near = rows.select("__id", "__th", col(text_col).alias("__text")).join(wanted, ["__id", "__th"])
-    cut = stage_table(emit_texts(near, "__text", ["__id", "__th", "__marks", "__crowds"], _SEGMENTS, segments), "segments")
+    cut = stage_table(emit_texts(near, "__text", ["__id", "__th", "__marks"], _SEGMENTS, segments), "segments")
     return _match(cut, span)
 
 
+def _windows(cut: DataFrame, span: int) -> DataFrame:
+    """Segments as single windows, each with a shard of its own."""
+
+    def run(texts, ids, ths, starts):
+        words = Words(texts)
+        (at, one), (_, two) = (words.windows(words.hashes(k), span, k) for k in range(2))
+        doc = np.searchsorted(words.first, at, "right") - 1
+        of = pa.array(doc)
+        return [
+            pa.array(one.astype(np.int64)),
+            ids.take(of),
+            ths.take(of),
+            pa.array((starts.to_numpy()[doc] + at - words.first[doc]).astype(np.int32)),
+            pa.array(np.full(len(at), span, np.int32)),
+            pa.array([f"#{x:016x}" for x in two.tolist()], pa.string()),
+        ]
+
+    return emit_texts(cut, "words", ["id", "th", "start"], _SEGMENTS, run)
+
+
+def _once(cut: DataFrame) -> DataFrame:
+    """Each different segment with its smallest and largest id."""
+    found = cut.groupBy("shard", "words", "n").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+    return stage_table(found.withColumn("key", F.xxhash64("words", "n")), "once")
+
+
 def _match(cut: DataFrame, span: int) -> DataFrame:
-    key = F.xxhash64("words", "n")
-    once = cut.groupBy("shard", "words", "n").agg(F.min("id").alias("first"))
-    # Only a shard with several segments, or a segment with several ids, can match.
-    by_shard = once.repartition("shard").sortWithinPartitions("shard", "first").select("shard", "first", "words", key.alias("key"))
+    once = _once(cut)
+    crowds = stage_table(once.groupBy("shard").count().where(F.col("count") > CROWD).select("shard"), "crowds")
+    if not crowds.isEmpty():
+        alone = stage_table(_windows(cut.join(crowds, "shard", "left_semi"), span), "windows")
+        cut = cut.join(crowds, "shard", "left_anti").union(alone)
+        once = once.join(crowds, "shard", "left_anti").unionByName(_once(alone))
+    # Only a shard with several segments can tell more than ids do.
+    by_shard = once.repartition("shard").sortWithinPartitions("shard", "first").select("shard", "first", "words", "key")
 
     def match(batches):
         shard, rows = None, []
@@ -258,9 +269,9 @@ def _match(cut: DataFrame, span: int) -> DataFrame:
             yield _own_batch(done)
 
     own = by_shard.mapInArrow(match, _OWN)
-    pieces = cut.select("shard", "id", "th", "start", "n", key.alias("words"))
-    firsts = once.select("shard", key.alias("words"), "first")
-    told = firsts.join(own, ["shard", "words"], "left")
+    told = once.select("shard", F.col("key").alias("words"), "first", "last").join(own, ["shard", "words"], "left")
+    told = told.where("last > first or places is not null").drop("last")
+    pieces = cut.select("shard", "id", "th", "start", "n", F.xxhash64("words", "n").alias("words"))
     found = pieces.join(told, ["shard", "words"])
     # Behind the smallest id a whole segment is a copy; at it, the places found.
     whole = F.array(F.struct(F.col("start").alias("first"), (F.col("start") + F.col("n")).alias("end")))
