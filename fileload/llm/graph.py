@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from fileload.session import stage_table
 
 EDGE = "u long, v long"
+#: Edges that the union-find of one task takes; fewer tasks leave less to join.
+TASK_EDGES = 500_000
 
 
 def _forest(batches):
@@ -36,15 +38,17 @@ def _forest(batches):
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``node, component`` for all ends of ``edges (u, v)`` that are not themselves the
-    smallest node of their component, which ``component`` is.
+    """``node, component`` for all ends of ``edges (u, v)``, a written table, that are
+    not themselves the smallest node of their component, which ``component`` is.
 
     Stars alternate: larger neighbours go under a node's smallest neighbour, then
     smaller ones do, until all are stars.  Each step is written, so that a lost
     executor costs one step.  Minima are taken before the shuffle; a star's centre
     joins as a skewed key that Spark splits.
     """
-    now = stage_table(edges.select(F.col("u").cast("long"), F.col("v").cast("long")).where("u <> v").mapInArrow(_forest, EDGE), "forest")
+    edges = edges.select(F.col("u").cast("long"), F.col("v").cast("long")).where("u <> v")
+    tasks = max(1, -(-edges.count() // TASK_EDGES))
+    now = stage_table(edges.coalesce(tasks).mapInArrow(_forest, EDGE), "forest")
     while not _is_stars(now):
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))

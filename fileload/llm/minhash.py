@@ -159,7 +159,11 @@ def near_duplicates(
     members = found.join(classes, (found["__id"] == classes["node"]) & (found["s1"] == classes["s1"]) & (found["s2"] == classes["s2"]), "left_semi")
     members = members.select(F.col("__id").alias("node"), F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("bucket")
-    members = stage_table(members.join(shared, "bucket").distinct().withColumn("comp", F.col("node")), "buckets")
+    members = stage_table(members.join(shared, "bucket").distinct(), "buckets")
+    # Who shares buckets with many is most likely linked to many: those come first.
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("size"))
+    crowd = members.join(sizes, "bucket").groupBy("node").agg(F.sum("size").alias("crowd"))
+    members = stage_table(members.join(crowd, "node").withColumn("comp", F.col("node")), "members")
     # An id may stand for several texts only where rows share it; the fingerprint tells.
     wanted = members.select("node").distinct()
     plain = keyed(docs.select(col(id_col), col(text_col).cast("string").alias("__text")), id_col, "__text")
@@ -174,9 +178,10 @@ def near_duplicates(
         members = members.join(open_buckets, "bucket", "left_semi")
         if open_buckets.isEmpty():
             break
-        # One centre for each salt: partial minima, no sorted group.
+        # One centre for each salt: partial maxima, no sorted group.
         salt = F.pmod(F.xxhash64("node", F.lit(tries)), F.lit(tries)).alias("salt")
-        centres = members.groupBy("bucket", salt).agg(F.min("node").alias("centre"), F.min_by("comp", "node").alias("own")).drop("salt")
+        centres = members.groupBy("bucket", salt).agg(F.max_by("node", "crowd").alias("centre"), F.max_by("comp", "crowd").alias("own")).drop("salt")
+        centres = stage_table(centres, "centres")
         pairs = members.join(centres, "bucket").where("comp <> own")
         pairs = pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
         pairs = stage_table(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
@@ -190,7 +195,7 @@ def near_duplicates(
         if not links.isEmpty():
             linked = components(links if linked is None else linked.union(links)).select(F.col("node").alias("u"), F.col("component").alias("v"))
             members = members.drop("comp").join(linked.withColumnRenamed("u", "node"), "node", "left").select(
-                "bucket", "node", F.coalesce("v", "node").alias("comp")
+                "bucket", "node", "crowd", F.coalesce("v", "node").alias("comp")
             )
         members = stage_table(members, "members")
         tries *= 2

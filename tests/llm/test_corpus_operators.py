@@ -11,7 +11,7 @@ import sentencepiece
 from brute import PASSAGE, decontamination, hard_rows, line_dedup, near, sha
 from pyspark.sql import functions as F
 
-from fileload.llm import decontam, lines, minhash, pieces, queries
+from fileload.llm import decontam, graph, lines, minhash, pieces, queries
 from fileload.llm.graph import components
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -133,7 +133,9 @@ def test_signatures_estimate_similarity():
     assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.06
 
 
-def test_components(spark):
+@pytest.mark.parametrize("task_edges", [500_000, 50])
+def test_components(spark, monkeypatch, task_edges):
+    monkeypatch.setattr(graph, "TASK_EDGES", task_edges)
     rng = np.random.default_rng(3)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(i, i + 1) for i in range(1000, 1200)]
     parent = {x: x for e in edges for x in e}
