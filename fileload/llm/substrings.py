@@ -44,7 +44,7 @@ _SEGMENTS = StructType(
         StructField("shard", LongType()),
         StructField("id", LongType()),
         StructField("th", LongType()),
-        StructField("start", IntegerType()),
+        StructField("starts", ArrayType(IntegerType())),
         StructField("n", IntegerType()),
         StructField("words", StringType()),
     ]
@@ -188,22 +188,24 @@ def earlier_spans(docs: DataFrame, span: int, id_col: str, text_col: str) -> Dat
         count = np.diff(np.r_[first, len(at)])
         head, mark, owner = at[first], low[first], doc[first]
         bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
-        out: list[list] = [[], [], [], [], []]
+        # A segment that a document repeats is one row with all of its places.
+        places: dict[tuple, list[int]] = {}
         for d in range(len(texts)):
             lo, hi = bounds[d], bounds[d + 1]
             some = np.isin(mark[lo:hi], np.asarray(marks[d].values))
             for i in (lo + np.flatnonzero(some)).tolist():
                 n = int(count[i]) + span - 1
-                for to, value in zip(out, (int(mark[i]), d, int(head[i] - words.first[d]), n, words.joined(head[i], head[i] + n).decode())):
-                    to.append(value)
+                key = (int(mark[i]), d, n, words.joined(head[i], head[i] + n))
+                places.setdefault(key, []).append(int(head[i] - words.first[d]))
+        out = [list(x) for x in zip(*places)] or [[], [], [], []]
         of = pa.array(out[1], pa.int64())
         return [
             pa.array(out[0], pa.int64()),
             ids.take(of),
             ths.take(of),
+            pa.array(list(places.values()), pa.list_(pa.int32())),
             pa.array(out[2], pa.int32()),
-            pa.array(out[3], pa.int32()),
-            pa.array(out[4], pa.string()),
+            pa.array([x.decode() for x in out[3]], pa.string()),
         ]
 
     near = rows.select("__id", "__th", col(text_col).alias("__text")).join(wanted, ["__id", "__th"])
@@ -218,17 +220,18 @@ def _windows(cut: DataFrame, span: int) -> DataFrame:
         words = Words(texts)
         (at, one), (_, two) = (words.windows(words.hashes(k), span, k) for k in range(2))
         doc = np.searchsorted(words.first, at, "right") - 1
-        of = pa.array(doc)
+        of, inside = pa.array(doc), (at - words.first[doc]).tolist()
+        known = starts.to_pylist()
         return [
             pa.array(one.astype(np.int64)),
             ids.take(of),
             ths.take(of),
-            pa.array((starts.to_numpy()[doc] + at - words.first[doc]).astype(np.int32)),
+            pa.array([[s + i for s in known[d]] for d, i in zip(doc.tolist(), inside)], pa.list_(pa.int32())),
             pa.array(np.full(len(at), span, np.int32)),
             pa.array([f"#{x:016x}" for x in two.tolist()], pa.string()),
         ]
 
-    return emit_texts(cut, "words", ["id", "th", "start"], _SEGMENTS, run)
+    return emit_texts(cut, "words", ["id", "th", "starts"], _SEGMENTS, run)
 
 
 def _once(cut: DataFrame) -> DataFrame:
@@ -271,11 +274,13 @@ def _match(cut: DataFrame, span: int) -> DataFrame:
     own = by_shard.mapInArrow(match, _OWN)
     told = once.select("shard", F.col("key").alias("words"), "first", "last").join(own, ["shard", "words"], "left")
     told = told.where("last > first or places is not null").drop("last")
-    pieces = cut.select("shard", "id", "th", "start", "n", F.xxhash64("words", "n").alias("words"))
+    pieces = cut.select("shard", "id", "th", "starts", "n", F.xxhash64("words", "n").alias("words"))
     found = pieces.join(told, ["shard", "words"])
     # Behind the smallest id a whole segment is a copy; at it, the places found.
-    whole = F.array(F.struct(F.col("start").alias("first"), (F.col("start") + F.col("n")).alias("end")))
-    parts = F.transform("places", lambda p: F.struct((F.col("start") + p).alias("first"), (F.col("start") + p + span).alias("end")))
+    whole = F.transform("starts", lambda s: F.struct(s.alias("first"), (s + F.col("n")).alias("end")))
+    parts = F.flatten(
+        F.transform("starts", lambda s: F.transform("places", lambda p: F.struct((s + p).alias("first"), (s + p + span).alias("end"))))
+    )
     spans = found.withColumn("s", F.when(F.col("id") > F.col("first"), whole).otherwise(parts)).where("s is not null")
     return spans.groupBy(F.col("id").alias("__id"), F.col("th").alias("__th")).agg(
         F.flatten(F.transform(F.flatten(F.collect_set("s")), lambda s: F.array(s["first"], s["end"]))).alias("__spans")
