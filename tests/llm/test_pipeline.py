@@ -24,7 +24,8 @@ def test_stages(spark):
 
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()}
     gone = {d for d, _ in pairs(docs)} - {d for d, _ in pairs(made[0])}
-    assert all(labels.get(d, 1) for d in gone) and any(labels.get(d) for d in gone)
+    # Eleven toxic labels teach next to nothing here; see the larger table below.
+    assert all(labels.get(d, 1) for d in gone)
 
     wanted = sorted((d, t) for d, t, n, r in line_dedup(pairs(made[0])) if not (r and r == n))
     assert sorted(pairs(made[1])) == wanted
@@ -44,6 +45,16 @@ def test_stages(spark):
     assert sorted(ran.select("doc_id", F.hash("ids")).collect()) == sorted(made[4].select("doc_id", F.hash("ids")).collect())
 
 
+def test_toxic_documents_go(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    left = corpus_pipeline.toxicity_stage(spark, docs, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    gone = docs.join(left, "doc_id", "left_anti").join(labels, "doc_id")
+    counts = {r.toxic: r["count"] for r in gone.groupBy("toxic").count().collect()}
+    assert counts[1] >= 25 and counts.get(0, 0) <= 3
+
+
 def test_stages_take_hard_rows(spark):
     nothing = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     odd = spark.createDataFrame([(None, None, None, None, None), (1, "", "en", None, 0), (1, "", "en", None, 0), (2, "a b", None, "s", None)], nothing.schema)
