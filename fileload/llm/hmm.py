@@ -5,9 +5,9 @@ all others share CLASSES symbols by their last letters, and the end of a text is
 A word in a class then has the add-one share of its count in that class, so the model
 is a distribution over all words, seen or not, however large the vocabulary grows.
 Baum-Welch counts are made in tasks and summed by Spark; each round only has as many
-sums as the model has parameters.  Rounds over a small part of the training texts
-find the states, the last one runs over all of them.  Scores are exact: a scaled
-forward recursion over whole texts.
+sums as the model has parameters.  Every round runs over all training texts, whose
+symbols are made once and kept as a table.  Scores are exact: a scaled forward
+recursion over whole texts.
 
 Word counts stay a table.  Of it, at most KNOWN words, the most frequent, are
 broadcast; other words of a text meet their counts in a join.
@@ -26,21 +26,24 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, ShortType, StructField, StructType
 
-from fileload.llm.text import LAST_ID, Words, _BASES, _VALUES, col, emit_texts, keyed, range_hash
+from fileload.llm.text import LAST_ID, Words, _BASES, _VALUES, col, emit_texts, keyed, lists, range_hash
 from fileload.session import stage_table
 
 STATES = 8
 OWN, CLASSES = 4096, 1024
 KNOWN = 1 << 19
-#: Rounds over about so many training texts before the one over all.
-ROUNDS, ROUND_TEXTS = 14, 3000
+#: Rounds over all training texts, and one more.
+ROUNDS = 14
 #: Pseudo-counts of the overall distribution in each state's.
 SMOOTHING = 50.0
 SLICE = 6 << 20
+#: Symbols of so many texts, or of one longer text, are counted together.
+SLICE_SYMBOLS = 1 << 20
 
 _COUNTS = StructType([StructField("h", LongType()), StructField("class", IntegerType()), StructField("c", LongType())])
+_SYMBOLS = StructType([StructField("symbols", ArrayType(ShortType()))])
 _SUMS = StructType([StructField("cell", IntegerType()), StructField("value", DoubleType())])
 _PARTS = StructType(
     [
@@ -218,42 +221,48 @@ class Sequences:
         return np.concatenate([start, (moves * model.move).ravel(), *emitted])
 
 
-def _sequences(words: Words, symbols: np.ndarray) -> Sequences:
-    """With the end symbol after every text."""
+def _with_ends(words: Words, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols with the end symbol after every text, and their number in each text."""
     lengths = words.counts + 1
     ends = np.cumsum(lengths) - 1
     whole = np.full(lengths.sum(), OWN + CLASSES, np.int64)
     inside = np.ones(len(whole), bool)
     inside[ends] = False
     whole[inside] = symbols
-    return Sequences(whole, lengths)
+    return whole, lengths
 
 
-def baum_welch(docs: DataFrame, vocab, model: Model, text_col: str = "text") -> Model:
-    """One round over ``docs``; ``vocab`` is a broadcast Vocabulary."""
+def symbol_table(docs: DataFrame, vocab, text_col: str = "text") -> DataFrame:
+    """``symbols`` of every text, texts of like length together, since a slice takes as
+    many steps as its longest text has words; ``vocab`` is a broadcast Vocabulary."""
 
-    def expect(batches):
+    def convert(texts):
+        words, hashes, classes = _tokens(texts)
+        whole, lengths = _with_ends(words, vocab.value.look_up(hashes, classes)[0])
+        return [lists(pa.array(whole.astype(np.int16)), lengths)]
+
+    return emit_texts(docs, text_col, [], _SYMBOLS, convert, SLICE).sortWithinPartitions(F.desc(F.size("symbols")))
+
+
+def baum_welch(symbols: DataFrame, vocab, model: Model) -> Model:
+    """One round over a ``symbol_table``; ``vocab`` is a broadcast Vocabulary."""
+
+    def run(batches):
         total = None
-        for part in batches:
-            words, hashes, classes = _tokens(part)
-            symbols, _ = vocab.value.look_up(hashes, classes)
-            found = _sequences(words, symbols).counts(model)
-            total = found if total is None else total + found
+        for batch in batches:
+            column = batch.column(0)
+            lengths, flat = column.value_lengths().to_numpy(), column.flatten().to_numpy()
+            bounds, lo = np.r_[0, np.cumsum(lengths)], 0
+            while lo < len(lengths):
+                hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + SLICE_SYMBOLS, "right")) - 1)
+                found = Sequences(flat[bounds[lo] : bounds[hi]], lengths[lo:hi]).counts(model)
+                total = found if total is None else total + found
+                lo = hi
         if total is not None:
             cells = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(total[cells])], names=_SUMS.names)
 
-    def run(batches):
-        from fileload.llm.text import slices
-
-        def parts():
-            for batch in batches:
-                for lo, hi in slices(batch.column(0), SLICE // 2):
-                    yield batch.column(0).slice(lo, hi - lo)
-
-        yield from expect(parts())
-
-    sums = docs.select(col(text_col).cast("string")).mapInArrow(run, _SUMS).groupBy("cell").agg(F.sum("value").alias("value")).toArrow()
+    sums = symbols.mapInArrow(run, _SUMS).groupBy("cell").agg(F.sum("value").alias("value")).toArrow()
     flat = np.zeros(model.start.size + model.move.size + model.emit.size)
     flat[sums.column(0).to_numpy()] = sums.column(1).to_numpy()
     return Model.from_counts(flat, vocab.value.shares, len(model.start))
@@ -278,7 +287,7 @@ class LanguageModel:
             n, doc = len(texts), words.docs()
             gained = np.log10(np.maximum(counts, 0) + 1.0)
             in_class = symbols >= OWN
-            scored = _sequences(words, symbols).log10(model)
+            scored = Sequences(*_with_ends(words, symbols)).log10(model)
             scored += np.bincount(doc[in_class], weights=(gained - np.log10(v.class_total[classes]))[in_class], minlength=n)
             base = np.bincount(doc, weights=gained, minlength=n) + math.log10(v.ends + 1)
             tokens = words.counts + 1
@@ -335,7 +344,7 @@ class LanguageModel:
         )
 
 
-def train(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id", rounds: int = ROUNDS) -> LanguageModel:
+def train(docs: DataFrame, *, text_col: str = "text", rounds: int = ROUNDS) -> LanguageModel:
     """Learn from all of ``docs``."""
     spark = docs.sparkSession
     counts = stage_table(word_counts(docs, text_col), "counts")
@@ -343,10 +352,7 @@ def train(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id", ro
     vocab = spark.sparkContext.broadcast(vocabulary(counts, ends))
     model = Model.random(vocab.value.shares)
     if ends:
-        parts = max(1, ends // ROUND_TEXTS)
-        some = docs.where(F.pmod(F.xxhash64(col(id_col), col(text_col)), F.lit(parts)) == 0).select(col(text_col).alias("text"))
-        some = stage_table(some, "round")
-        for _ in range(rounds):
-            model = baum_welch(some, vocab, model)
-        model = baum_welch(docs, vocab, model, text_col)
+        symbols = stage_table(symbol_table(docs, vocab, text_col), "symbols")
+        for _ in range(rounds + 1):
+            model = baum_welch(symbols, vocab, model)
     return LanguageModel(counts, vocab, model)

@@ -308,6 +308,23 @@ def test_model_is_a_distribution(docs):
     assert lm.model.emit.sum(1) == pytest.approx(np.ones(hmm.STATES)) and lm.model.move.sum(1) == pytest.approx(np.ones(hmm.STATES))
 
 
+def test_every_round_reads_all_texts(spark):
+    """Against rounds over all texts in one place, with more texts than a sample took."""
+    made = [(i, " ".join(f"{'abc'[i % 3]}{(i * 31 + j * j) % 97}" for j in range(3 + i % 9))) for i in range(6500)]
+    df = spark.createDataFrame(made, "doc_id long, text string").repartition(3)
+    lm = hmm.train(df, rounds=3)
+    vocab = lm.vocab.value
+    words, hashes, classes = hmm._tokens(hmm.pa.array([t for _, t in made]))
+    symbols, last = vocab.look_up(hashes, classes)[0], hmm.OWN + hmm.CLASSES
+    texts = [[*symbols[a:b], last] for a, b in zip(words.first[:-1], words.first[1:])]
+    sequences = hmm.Sequences(np.concatenate(texts).astype(int), np.array([len(t) for t in texts]))
+    model = hmm.Model.random(vocab.shares)
+    for _ in range(4):
+        model = hmm.Model.from_counts(sequences.counts(model), vocab.shares)
+    for got, want in ((lm.model.start, model.start), (lm.model.move, model.move), (lm.model.emit, model.emit)):
+        assert got == pytest.approx(want, rel=1e-6)
+
+
 def test_language_model_of_nothing(hard):
     got = hmm.train(hard.limit(0)).score(hard)
     assert got.count() == hard.count() and got.where("n_known > 0 or isnan(score)").count() == 0
