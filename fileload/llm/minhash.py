@@ -14,8 +14,9 @@ bucket is lost, while near copies of one text cost a comparison or two each.
 
 Cases: a null or empty text has an empty set and links with nothing; fewer words than
 a shingle are one shingle; a null id counts as larger than all, and its component is
-null if nothing smaller is linked; rows that share an id are one node for labels;
-input columns named like a result column are replaced.
+null if nothing smaller is linked; rows that share an id, or have none, are told apart
+by their texts, and only rows equal in both are one document; input columns named like
+a result column are replaced.
 """
 
 from __future__ import annotations
@@ -143,31 +144,46 @@ def near_duplicates(
     docs: DataFrame, width: int = 5, percent: int = 80, *, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """The columns of ``docs`` but its text, with ``n_shingles``, ``component_id`` (the
-    smallest id reachable over links) and ``kept`` (whether that is the row's own id).
+    smallest id reachable over links) and ``kept`` (whether that is the row's own; of
+    texts with that id, one is).
 
     Two documents link if their shingle sets share at least ``percent`` of their union.
     """
+    result = _labelled(docs, width, percent, id_col, text_col)
+    root = F.col("__root.__id")
+    component = F.when(root < LAST_ID, root).cast(docs.schema[id_col].dataType)
+    keep = without([c for c in docs.columns if c != text_col], ["n_shingles", "component_id", "kept"])
+    return result.select(*(col(c) for c in keep), "n_shingles", component.alias("component_id"), _is_root().alias("kept"))
+
+
+def _is_root():
+    return F.col("__root") == F.struct("__id", "__th")
+
+
+def _labelled(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` without the text, with ``n_shingles``, ``__id``, ``__th`` and ``__root``,
+    the smallest (``__id``, ``__th``) of the component."""
     # Ids, fingerprints and bands leave the texts behind; texts come back for members
     # of shared buckets only.
-    rows = keyed(docs, id_col, text_col).drop("__th")
+    rows = keyed(docs, id_col, text_col)
     signed = stage_table(signatures(rows, width, text_col), "signatures")
     found = signed.where("n_shingles > 0")
-    classes = stage_table(
-        found.groupBy("s1", "s2").agg(F.min("__id").alias("node"), F.count("*").alias("n")), "classes"
-    )
-    # All rows of a class have the same bands: its smallest id carries them.
-    members = found.join(classes, (found["__id"] == classes["node"]) & (found["s1"] == classes["s1"]) & (found["s2"] == classes["s2"]), "left_semi")
-    members = members.select(F.col("__id").alias("node"), F.explode("bands").alias("bucket"))
+    # Numbered once written: an id may stand for several classes.
+    classes = found.groupBy("s1", "s2").agg(F.min(F.struct("__id", "__th")).alias("first"))
+    classes = stage_table(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    # All rows of a class have the same bands: its smallest row carries them.
+    firsts = classes.select("s1", "s2", F.col("first.__id").alias("__id"), F.col("first.__th").alias("__th"), "node")
+    members = found.join(firsts, ["s1", "s2", "__id", "__th"]).select("node", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("bucket")
     members = stage_table(members.join(shared, "bucket").distinct(), "buckets")
     # Who shares buckets with many is most likely linked to many: those come first.
     sizes = members.groupBy("bucket").agg(F.count("*").alias("size"))
     crowd = members.join(sizes, "bucket").groupBy("node").agg(F.sum("size").alias("crowd"))
     members = stage_table(members.join(crowd, "node").withColumn("comp", F.col("node")), "members")
-    # An id may stand for several texts only where rows share it; the fingerprint tells.
-    wanted = members.select("node").distinct()
+    wanted = firsts.join(members.select("node").distinct(), "node", "left_semi").select("__id", "__th", "node")
     plain = keyed(docs.select(col(id_col), col(text_col).cast("string").alias("__text")), id_col, "__text")
-    texts = stage_table(plain.select(F.col("__id").alias("node"), "__text").join(wanted, "node", "left_semi").groupBy("node").agg(F.min("__text").alias("text")), "texts")
+    texts = plain.select("__id", "__th", "__text").join(wanted, ["__id", "__th"])
+    texts = stage_table(texts.groupBy("node").agg(F.min("__text").alias("text")), "texts")
 
     linked = None
     tested = docs.sparkSession.createDataFrame([], "a long, b long")
@@ -201,24 +217,22 @@ def near_duplicates(
         tries *= 2
 
     if linked is not None:
-        classes = classes.join(linked.withColumnRenamed("u", "node"), "node", "left").select("s1", "s2", F.coalesce("v", "node").alias("node"))
+        # Nodes are mere numbers; a component goes by the smallest row in it.
+        nodes = linked.select(F.col("u").alias("node"), F.col("v").alias("comp"))
+        nodes = nodes.union(linked.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
+        nodes = stage_table(nodes.join(classes.select("node", "first"), "node"), "nodes")
+        named = nodes.join(nodes.groupBy("comp").agg(F.min("first").alias("least")), "comp").select("node", "least")
+        classes = classes.join(named, "node", "left").select("s1", "s2", F.coalesce("least", "first").alias("root"))
     else:
-        classes = classes.select("s1", "s2", "node")
+        classes = classes.select("s1", "s2", F.col("first").alias("root"))
     result = signed.drop("bands").join(classes, ["s1", "s2"], "left")
-    own = F.when(F.col("n_shingles") > 0, F.col("node")).otherwise(F.col("__id"))
-    component = F.when(own < LAST_ID, own).cast(docs.schema[id_col].dataType)
-    keep = without([c for c in docs.columns if c != text_col], ["n_shingles", "component_id", "kept"])
-    return result.select(
-        *(col(c) for c in keep),
-        "n_shingles",
-        component.alias("component_id"),
-        (own == F.col("__id")).alias("kept"),
-    )
+    own = F.when(F.col("n_shingles") > 0, F.col("root")).otherwise(F.struct("__id", "__th"))
+    return result.withColumn("__root", own)
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs``, in their own columns, without near-duplicates: the document with the
-    smallest id of each component stays."""
-    found = near_duplicates(docs.select(col(id_col).alias("id"), col(text_col).alias("text")), width, percent, id_col="id")
-    gone = found.where("not kept").select(F.coalesce(F.col("id").cast("long"), F.lit(LAST_ID)).alias("__id"), F.lit(True).alias("__gone")).distinct()
-    return keyed(docs, id_col, text_col).join(gone, "__id", "left_anti").select(*(col(c) for c in docs.columns))
+    smallest id of each component stays; where texts share that id, one of them."""
+    found = _labelled(docs.select(col(id_col).alias("id"), col(text_col).alias("text")), width, percent, "id", "text")
+    gone = found.where(~_is_root()).select("__id", "__th").distinct()
+    return keyed(docs, id_col, text_col).join(gone, ["__id", "__th"], "left_anti").select(*(col(c) for c in docs.columns))

@@ -120,6 +120,21 @@ def test_keep_one(hard):
     assert rows(left, *left.columns) == rows(hard.where(~F.coalesce(F.col("doc_id"), F.lit(2**63 - 1)).isin([2**63 - 1 if d is None else d for d in gone])), *hard.columns)
 
 
+def test_rows_without_or_with_a_shared_id_are_told_apart(spark):
+    """Copies go, and no other text under their id; links of every text count."""
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcde")
+    made = [(1, a), (None, a), (None, b), (None, c), (5, d), (5, e), (7, e + " more"), (8, d + " more"), (9, a + " more"), (None, None), (None, None)]
+    df = spark.createDataFrame(made, "doc_id long, text string").repartition(3)
+    left = sorted(map(repr, map(tuple, minhash.keep_one(df).collect())))
+    assert left == sorted(map(repr, [(1, a), (None, b), (None, c), (5, d), (5, e), (None, None), (None, None)]))
+    got = minhash.near_duplicates(df).groupBy("doc_id", "component_id", "kept").count().collect()
+    want = [(1, 1, True, 1), (None, 1, False, 1), (None, None, True, 4), (5, 5, True, 2), (7, 5, False, 1), (8, 5, False, 1), (9, 1, False, 1)]
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+    shared = spark.createDataFrame([(3, a), (3, a + " more"), (None, b), (None, b + " more")], df.schema)
+    kept = [r.doc_id for r in minhash.keep_one(shared).collect()]
+    assert sorted(map(str, kept)) == ["3", "None"]
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(5)
     errors = []
