@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from fileload.llm.text import lists, map_texts, mix64, ragged, range_hash
+from fileload.llm.text import lists, map_texts, mix64, process_cache, ragged, range_hash
 
 SPACE = 0x2581  # stands for a blank in pieces
 NONE = np.int32(2**31 - 1)
@@ -246,14 +246,12 @@ class PieceModel:
             return False
 
 
-_models: dict[str, PieceModel] = {}
-
-
 def model(path: str) -> PieceModel:
     """The model, read once per Python worker."""
-    if path not in _models:
-        _models[path] = PieceModel(path)
-    return _models[path]
+    models = process_cache("pieces")
+    if path not in models:
+        models[path] = PieceModel(path)
+    return models[path]
 
 
 IDS = StructType([StructField("ids", ArrayType(IntegerType()))])

@@ -6,6 +6,7 @@ bounded size, so that memory follows the slice (or one long text), not the batch
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -32,7 +33,13 @@ _U = np.uint64
 _VALUES = np.random.default_rng(20240607).integers(1, 2**63, (2, 256), np.uint64)
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _STEPS = (0xC2B2AE3D27D4EB4F, 0xA0761D6478BD642F)
-_powers: dict[int, np.ndarray] = {}
+
+
+def process_cache(name: str) -> dict:
+    """A dict that lives as long as this Python process.  It hangs on a module that
+    is pickled by name, so what the driver puts in never travels with a closure, and
+    a worker's tasks share it although each unpickles this package anew."""
+    return sys.__dict__.setdefault("_fileload_caches", {}).setdefault(name, {})
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -44,13 +51,14 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 def _power(base: int, n: int) -> np.ndarray:
     """base**0 ... base**(n-1) modulo 2**64."""
-    have = _powers.get(base)
+    powers = process_cache("powers")
+    have = powers.get(base)
     if have is None or len(have) < n:
         steps = np.full(max(n, SLICE_BYTES + 4096), base, np.uint64)
         steps[0] = 1
         have = np.cumprod(steps)
         if len(have) <= SLICE_BYTES * 2:  # those of one very long text are not kept
-            _powers[base] = have
+            powers[base] = have
     return have[:n]
 
 
