@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from fileload.llm import chat, decontam, hmm, lines, minhash, pieces, quality, substrings, toxicity, urls
+from fileload.llm import align, chat, decontam, extract, hmm, lines, minhash, pieces, quality, substrings, toxicity, urls, whiten
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_MODEL = public_tokenizers.path("byte_bpe_50k.json")
+#: Pieces of MODEL.
+PIECES = 32_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,6 +94,19 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces_digest(pieces.encode_decode(docs, MODEL)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.score_links(table(spark, sf_dir, "documents").select("doc_id", "text"), BYTE_MODEL, MODEL, PIECES)
+
+
+def op13_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract.extract_text(pages).select("page_id", "url", "text", "n_chars")
+
+
 def pieces_digest(coded: DataFrame) -> DataFrame:
     return coded.withColumns(
         {
@@ -292,6 +308,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filters": op8_url_filters,
     "op9_toxicity": op9_toxicity,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_whitening": op11_whitening,
+    "op12_alignment": op12_alignment,
+    "op13_extraction": op13_extraction,
     "pipeline": corpus_pipeline.run,
 }
 
