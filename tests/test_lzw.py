@@ -53,7 +53,7 @@ def test_other_decoder_agrees(case, width, block):
 
 def test_header_only_and_clear():
     assert lzw.encode(b"") == b"\x1f\x9d\x90"
-    tables = sum(fresh for _, _, fresh in lzw.code_runs(lzw.encode(CASES["changing"]), 16, True))
+    tables = sum(fresh for _, _, fresh, _ in lzw.code_runs(lzw.encode(CASES["changing"]), 16, True))
     assert tables > 1
 
 
@@ -163,3 +163,69 @@ def test_headers(head, status):
 def test_width_is_checked():
     with pytest.raises(ValueError):
         lzw.encode(b"x", 17)
+
+
+class File:
+    """Counts what is read of a payload, as an open file."""
+
+    def __init__(self, raw):
+        self.raw, self.most = raw, 0
+
+    def read_at(self, count, pos):
+        self.most = max(self.most, count)
+        return self.raw[pos : pos + count]
+
+
+def stretched(payload, least, source=None):
+    found = lzw.survey(payload if source is None else source, *lzw.read_header(payload)[1:], least)
+    parts = [b"".join(lzw.stretch_lines(payload, *lzw.read_header(payload)[1:], s)) for s in found.stretches]
+    return found, parts
+
+
+def texts_with_clears():
+    rng = random.Random(11)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randrange(1, 9))) for _ in range(3000)]
+    prose = " ".join(rng.choices(words, k=60_000)).replace("a ", "\n")
+    yield prose.encode()
+    yield rng.randbytes(300_000)  # newlines everywhere, and a table that stops paying
+    yield b"x" * 400_000 + rng.randbytes(200_000).replace(b"\n", b"") + b"\nend"  # a line over several stretches
+    yield rng.randbytes(200_000).replace(b"\n", b"")  # one line
+    yield b"\n" * 100_000 + rng.randbytes(150_000)
+    yield b""
+
+
+@pytest.mark.parametrize("max_bits", [9, 12, 16])
+@pytest.mark.parametrize("number", range(6))
+def test_stretches_decode_alone(number, max_bits):
+    text = list(texts_with_clears())[number]
+    payload = lzw.encode(text, max_bits)
+    for least in (1, 30_000, 1 << 40):
+        found, parts = stretched(payload, least, lzw.Opened(File(payload), len(payload), 1 << 14))
+        assert found.sound and b"".join(parts) == text
+        assert found.n_bytes == len(text)
+        assert found.n_lines == len(text.splitlines()) if not set(text) & set(b"\r\x0b\x0c\x1c\x1d\x1e\x85") else True
+        assert found.n_lines == text.count(b"\n") + (not text.endswith(b"\n") and text != b"")
+        assert len(found.stretches) == 1 if least == 1 << 40 else True
+        # A line's number is the newlines before it.
+        done = 0
+        for stretch, part in zip(found.stretches, parts):
+            if part:
+                first = stretch.newlines + (stretch.start > lzw.HEADER)
+                assert first == text[:done].count(b"\n")
+            done += len(part)
+    if number == 1 and max_bits == 12:
+        assert len(stretched(payload, 1)[0].stretches) > 3
+
+
+def test_survey_of_a_corrupt_payload():
+    assert not lzw.survey(lzw.MAGIC + b"\x90" + b"\xff" * 40, 16, True, 1).sound
+
+
+def test_an_open_file_is_read_in_pieces():
+    text = random.Random(5).randbytes(500_000)
+    payload = lzw.encode(text)
+    file = File(payload)
+    assert b"".join(lzw.decode(lzw.Opened(file, len(payload), 1 << 12), 16, True)) == text
+    assert file.most < 1 << 18
+    with pytest.raises(EOFError):
+        list(lzw.decode(lzw.Opened(File(payload[:-50]), len(payload), 1 << 12), 16, True))
