@@ -76,6 +76,28 @@ def parent(path: Column) -> Column:
     return F.when(folder.rlike(r"^[A-Za-z][^/]*:(//[^/]+)?$"), F.concat(folder, F.lit("/"))).otherwise(folder)
 
 
+def root_of(path: Column) -> Column:
+    """File system of a qualified path: scheme and authority, and a slash."""
+    return F.concat(F.regexp_extract(path, r"^([A-Za-z][A-Za-z0-9+.\-]*:(?://[^/]+)?)", 1), F.lit("/"))
+
+
+# What the JVM's URI class leaves as it is in a path, besides letters and digits.
+_PLAIN = frozenset("-_.!~'()*,;:$&+=@/")
+
+
+def spelled_uri(path: str) -> str:
+    """A qualified path as scans spell it in their metadata: what cannot stand in a
+    URI is escaped."""
+    root, name = re.match(r"([A-Za-z][A-Za-z0-9+.\-]*:(?://[^/]+)?)(.*)", path, re.S).groups()
+    escaped = "".join(
+        c
+        if c in _PLAIN or c.isascii() and c.isalnum() or not c.isascii() and not c.isspace() and c.isprintable()
+        else "".join(f"%{b:02X}" for b in c.encode("utf-8", "surrogateescape"))
+        for c in name
+    )
+    return root + escaped
+
+
 def file_name(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]*)$", 1)
 
@@ -105,10 +127,13 @@ def opener():
     connected = {}
 
     def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
-        if uri.startswith("file:") or "://" not in uri:
+        if uri.startswith("file:") or not re.match(_SCHEME, uri):
             path = "/" + uri[5:].lstrip("/") if uri.startswith("file:") else uri
             return pafs.LocalFileSystem(), path
-        root, path = re.match(r"([^:]+://[^/]*)(.*)", uri.replace("s3a://", "s3://", 1)).groups()
+        found = re.match(r"([^:]+://[^/]*)(.*)", uri.replace("s3a://", "s3://", 1), re.S)
+        if not found:
+            raise ValueError(f"{uri!r} names no file system")
+        root, path = found.groups()
         if root not in connected:
             connected[root] = pafs.FileSystem.from_uri(f"{root}/")
         fs, top = connected[root]

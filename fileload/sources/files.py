@@ -6,9 +6,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fileload.functions.paths import existing, is_hidden, literal_glob, opener, parent, qualify, working_uri
+from fileload.functions.paths import existing, is_hidden, literal_glob, opener, parent, qualify, root_of, working_uri
 from fileload.functions.text import decoded, without_cr
 from fileload.session import stage_dir, stage_table
+from fileload.sources.bypath import LISTING, can_open, list_folders, read_content, walk
 
 # One wave of files is what the driver names, and what is broadcast, at a time.
 WAVE_FILES = 20_000
@@ -19,7 +20,6 @@ FOUND = {"path", "length", "modificationTime", "uri", "content", "n_listed", "li
 
 # Folders the driver lists at a time.
 LIST_FOLDERS = 2_000
-LISTING = "path string, length bigint, modificationTime timestamp, uri string"
 
 # Every name but *.Z, which has no Hadoop codec and would be read as raw bytes.
 NOT_Z = "{*[!Z],*[!.]Z,Z}"
@@ -27,7 +27,20 @@ NOT_Z = "{*[!Z],*[!.]Z,Z}"
 
 def list_files(spark: SparkSession, folders: list[str]) -> DataFrame:
     """``path, length, modificationTime, uri`` of all files under the folders.
-    No file is opened; ``uri`` is the spelling scans report in their metadata."""
+    No file is opened; ``uri`` is the spelling scans report in their metadata.
+
+    Tasks list the folders level by level, hidden names and empty files included;
+    a file system that they cannot open is indexed by Spark's driver, which leaves
+    those out."""
+    given = spark.createDataFrame([(working_uri(spark, folder),) for folder in folders], "folder string")
+    openable = root_of(F.col("folder")).isin(*can_open(spark, given, "folder"))
+    result = walk(spark, given.where(openable))
+    rest = [row.folder for row in given.where(~openable).collect()]
+    return result.unionByName(_indexed(spark, rest)) if rest else result
+
+
+def _indexed(spark: SparkSession, folders: list[str]) -> DataFrame:
+    """Spark's own recursive index of the folders."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -42,8 +55,10 @@ def manifest_files(
     """One row per listed path, found or not.
 
     A path listed more than once is one row: the smallest manifest line wins and
-    ``n_listed`` counts them.  ``status`` is ``ok``, ``missing``, or ``hidden``
-    for names Spark's file sources never read.
+    ``n_listed`` counts them.  ``status`` is ``ok`` or ``missing``.  Tasks list the
+    folders the paths are in, and nothing below them; a folder that is not listed
+    costs nothing.  Of a file system tasks cannot open, names that Spark's file
+    sources never read are ``hidden``.
     """
     columns = [name for name in manifest_df.columns if name not in ("status", path_col)]
     if FOUND & set(columns):
@@ -63,8 +78,21 @@ def manifest_files(
         .agg(F.min("entry").alias("entry"), F.count("*").alias("n_listed"))
     )
     named = stage_table(named, "manifest")
-    found = _listed(spark, named.select(parent(F.col("path")).alias("folder")).distinct())
-    joined = named.join(found, "path", "left").select(
+    openable = root_of(F.col("path")).isin(*can_open(spark, named))
+    by_tasks, by_index = named.where(openable), named.where(~openable)
+    files = _facts(by_tasks, list_folders(spark, by_tasks.select(parent(F.col("path")).alias("folder")).distinct()), columns)
+    if by_index.isEmpty():
+        return stage_table(files, "files")
+    found = _listed(spark, by_index.select(parent(F.col("path")).alias("folder")).distinct())
+    others = stage_table(_facts(by_index, found, columns), "files")
+    absent = F.col("status") == "missing"
+    return stage_table(
+        files.unionByName(others.where(~absent)).unionByName(_with_empty_files(others.where(absent))), "files"
+    )
+
+
+def _facts(named: DataFrame, found: DataFrame, columns: list[str]) -> DataFrame:
+    return named.join(found, "path", "left").select(
         "path",
         "length",
         "modificationTime",
@@ -74,11 +102,6 @@ def manifest_files(
         "n_listed",
         F.when(F.col("length").isNotNull(), "ok").when(is_hidden(F.col("path")), "hidden").otherwise("missing").alias("status"),
     )
-    files = stage_table(joined, "files")
-    absent = F.col("status") == "missing"
-    if files.where(absent).head() is None:
-        return files
-    return stage_table(files.where(~absent).unionByName(_with_empty_files(files.where(absent))), "files")
 
 
 def _listed(spark: SparkSession, folders_df: DataFrame) -> DataFrame:
@@ -97,7 +120,7 @@ def _listed(spark: SparkSession, folders_df: DataFrame) -> DataFrame:
         names = existing(spark, [row.folder for row in folders.where(group("folder") == number).collect()])
         if names:
             # A folder inside another is seen with both, and counts in its own group.
-            files = list_files(spark, names).where(group(parent(F.col("path"))) == number)
+            files = _indexed(spark, names).where(group(parent(F.col("path"))) == number)
             files.write.mode("append").parquet(table)
     return spark.read.schema(LISTING).parquet(table)
 
@@ -150,12 +173,29 @@ def file_fetch(
 ) -> DataFrame:
     """The files a manifest names, with their content and manifest columns.
 
-    Only the named files are opened.  Files that are absent come back as rows
-    with ``status='missing'`` and no content.  The manifest side is broadcast a
-    wave at a time, so its size is bounded; content is never shuffled.
+    Only the named files are opened, by tasks that each take a group of bounded
+    bytes, so the plan has one scan of paths however many files there are.  Files that
+    are absent come back as rows with ``status='missing'`` and no content, and so do
+    those too large for one value, as ``oversize``.  Content is never shuffled.
+
+    Files of a file system tasks cannot open are read by Spark's binary source,
+    ``max_files`` of them to a scan.
     """
-    files, waves = with_waves(manifest_files(spark, manifest_df, path_col, base_uri), max_files)
-    keep = [name for name in files.columns if name not in ("wave", "uri")]
+    files = manifest_files(spark, manifest_df, path_col, base_uri)
+    openable = root_of(F.col("path")).isin(*can_open(spark, files))
+    keep = [name for name in files.columns if name != "uri"]
+    columns = [*keep, "content"]
+    there = F.col("status") == "ok"
+    mine = stage_table(files.where(openable & there).select(*keep), "fetch")
+    nothing = F.lit(None).cast("binary").alias("content")
+    result = files.where(openable & ~there).select(*keep, nothing).unionByName(read_content(mine).select(*columns))
+    rest = files.where(~openable)
+    return result if rest.isEmpty() else result.unionByName(_scanned(spark, rest, keep, max_files))
+
+
+def _scanned(spark: SparkSession, files: DataFrame, keep: list[str], max_files: int) -> DataFrame:
+    """Content by Spark's binary source, the files' side broadcast a bounded wave at a time."""
+    files, waves = with_waves(files, max_files)
     readable = (F.col("status") == "ok") & (F.col("length") > 0)
     nothing = F.when(F.col("status") == "ok", F.lit(b"")).cast("binary").alias("content")
     result = files.where(~readable | F.col("length").isNull()).select(*keep, nothing)

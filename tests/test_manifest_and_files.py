@@ -11,7 +11,7 @@ from fileload.operators.records import RecordSpec, fields, record_parse, registe
 from fileload.operators.routing import lineage_stamp, size_route, take_route
 from fileload.operators.unz import z_ingest
 from fileload.session import stage_dir
-from fileload.sources import files
+from fileload.sources import bypath, files
 from fileload.sources.files import codec_text_scan, file_fetch, list_files, manifest_files
 from fileload.sources.manifest import manifest_scan
 
@@ -110,9 +110,15 @@ def listed(spark, lines, layout=("path", "tag")):
     return manifest_parse(spark.createDataFrame([(v, "m") for v in lines], "value string, manifest_file string"), layout)
 
 
-@pytest.mark.parametrize("max_files, folders", [(20_000, 2_000), (2, 1)])
-def test_file_fetch(spark, inputs, monkeypatch, max_files, folders):
-    monkeypatch.setattr(files, "LIST_FOLDERS", folders)
+@pytest.mark.parametrize("by_tasks, max_files, folders", [(True, 20_000, 64), (True, 1, 1), (False, 20_000, 2_000), (False, 2, 1)])
+def test_file_fetch(spark, inputs, monkeypatch, by_tasks, max_files, folders):
+    """Files opened by tasks, in groups of one or of many, and by Spark's source."""
+    if by_tasks:
+        monkeypatch.setattr(bypath, "FOLDERS_AT_ONCE", folders)
+        monkeypatch.setattr(bypath, "GROUP_BYTES", max_files)
+    else:
+        monkeypatch.setattr(files, "can_open", lambda *_: set())
+        monkeypatch.setattr(files, "LIST_FOLDERS", folders)
     lines = [f"{inputs}/{name}:t{i}" for i, name in enumerate(NAMES)]
     lines += [f"{inputs}//plain.txt:again", f"{inputs}/absent.txt:a", f"{inputs}/empty.txt:e", f"{inputs}/sub:dir", "/no/such/folder/x:b", f"{inputs}/_hidden.txt:c", "", ":"]
     rows = {r.path.split("/in/")[-1]: r for r in file_fetch(spark, listed(spark, lines), "path", max_files=max_files).collect()}
@@ -126,7 +132,8 @@ def test_file_fetch(spark, inputs, monkeypatch, max_files, folders):
     # "//plain.txt:again" sorts before "/plain.txt:t0"
     assert rows["plain.txt"].tag == "again" and rows["with space.txt"].tag == "t1"
     assert rows["absent.txt"].status == rows["file:/no/such/folder/x"].status == "missing"
-    assert rows["_hidden.txt"].status == "hidden"
+    assert rows["_hidden.txt"].status == ("ok" if by_tasks else "hidden")
+    assert rows["_hidden.txt"].content == (b"x" if by_tasks else None)
     assert rows["sub"].status == "missing"
     assert (rows["empty.txt"].status, rows["empty.txt"].length, bytes(rows["empty.txt"].content)) == ("ok", 0, b"")
     assert rows["absent.txt"].content is None and rows["absent.txt"].tag == "a"
@@ -149,9 +156,62 @@ def test_uri_is_what_scans_report(spark, inputs):
     assert uris <= seen and len(uris) == len(NAMES)
 
 
-def test_content_is_not_shuffled_and_small_side_is_broadcast(spark, inputs):
-    plan = file_fetch(spark, listed(spark, [f"{inputs}/plain.txt"]), "path")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+def test_one_scan_and_no_content_in_the_shuffle(spark, inputs):
+    lines = [f"{inputs}/{name}:t" for name in NAMES]
+    few, many = (
+        file_fetch(spark, listed(spark, chosen), "path")._jdf.queryExecution().executedPlan().toString()
+        for chosen in (lines[:1], lines)
+    )
+    assert few.count("FileScan") == many.count("FileScan") == 2
+    # Paths are dealt out before the stage that reads content.
+    below = many[many.index("MapInArrow") :]
+    assert "Exchange" in below and "content" not in below.split("Exchange", 1)[1]
+
+
+def test_only_the_folders_of_listed_files_are_listed(spark, tmp_path, monkeypatch):
+    """A file at the root of a deep tree costs the listing of one folder."""
+    deep = tmp_path.joinpath(*"abcdefgh")
+    deep.mkdir(parents=True)
+    (deep / "far.txt").write_text("far")
+    (tmp_path / "near.txt").write_text("near")
+    seen = spark.sparkContext.accumulator(0)
+    children = bypath._children
+
+    def counted(folder, open_fs):
+        seen.add(1)
+        return children(folder, open_fs)
+
+    monkeypatch.setattr(bypath, "_children", counted)
+    found = manifest_files(spark, listed(spark, [f"{tmp_path}/near.txt:t"]), "path").collect()
+    assert [r.status for r in found] == ["ok"] and seen.value == 1
+    whole = list_files(spark, [str(tmp_path)])
+    assert sorted(r.path.rsplit("/", 1)[1] for r in whole.collect()) == ["far.txt", "near.txt"]
+    assert seen.value == 1 + 9
+
+
+def test_walk_sees_what_a_scan_sees_and_more(spark, inputs):
+    ours = {r.path: tuple(r) for r in list_files(spark, [str(inputs)]).collect()}
+    theirs = {r.path: tuple(r) for r in files._indexed(spark, [str(inputs)]).collect()}
+    assert theirs.items() <= ours.items()
+    assert {p.rsplit("/", 1)[1] for p in ours.keys() - theirs.keys()} == {"_hidden.txt", "empty.txt"}
+
+
+def test_groups_are_dense_and_bounded(spark, monkeypatch):
+    monkeypatch.setattr(bypath, "BUCKET_ROWS", 7)
+    sizes = spark.createDataFrame([(f"p{i}", i * 37 % 90) for i in range(100)], "path string, length bigint")
+    grouped, count = bypath.in_groups(sizes, F.col("length"), 200)
+    rows = grouped.groupBy("group").agg(F.sum("length").alias("s"), F.max("length").alias("m")).collect()
+    assert {r.group for r in rows} == set(range(count)) and all(r.s <= 200 + r.m for r in rows)
+    assert bypath.dealt(sizes, F.col("length"), 200).rdd.getNumPartitions() == count
+    none, one = bypath.in_groups(sizes.limit(0), F.col("length"), 200)
+    assert none.collect() == [] and one == 1
+
+
+def test_a_file_too_large_for_a_value(spark, inputs):
+    found = list_files(spark, [str(inputs)])
+    rows = {r.path.rsplit("/", 1)[1]: r for r in bypath.read_content(found, most=7).collect()}
+    assert (rows["plain.txt"].status, bytes(rows["plain.txt"].content)) == ("ok", b"line 0\n")
+    assert (rows["with space.txt"].status, rows["with space.txt"].content) == ("oversize", None)
 
 
 def test_codec_text_scan(spark, tmp_path):
