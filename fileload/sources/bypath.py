@@ -66,14 +66,15 @@ def can_open(spark: SparkSession, paths: DataFrame, path_col: str = "path") -> s
 
 def in_groups(df: DataFrame, size, bound: int) -> tuple[DataFrame, int]:
     """``df`` with ``group``, from 0 without gaps, and the number of groups.  A group
-    holds at most ``bound`` of ``size`` and one row's more.
+    holds at most ``bound`` of ``size`` and one row's more; a row of more than that has
+    a group of its own or shares it with the last of the rows before.
 
     Rows are spread over buckets and summed up in each; the sums of the buckets, a
     bounded number, are all the driver sees.  ``df`` must be a stored table.
     """
     buckets = min(MOST_BUCKETS, max(1, math.ceil(df.count() / BUCKET_ROWS)))
     bucket = F.pmod(F.xxhash64("path"), F.lit(buckets)).cast("int")
-    sized = df.withColumns({"__bucket": bucket, "__size": F.coalesce(size, F.lit(0)).cast("double") + 1})
+    sized = df.withColumns({"__bucket": bucket, "__size": F.least(F.coalesce(size, F.lit(0)) + 1, F.lit(bound)).cast("double")})
     sums = {row["__bucket"]: row["s"] for row in sized.groupBy("__bucket").agg(F.sum("__size").alias("s")).collect()}
     base, before = 0.0, {}
     for number in sorted(sums):

@@ -203,6 +203,9 @@ def test_groups_are_dense_and_bounded(spark, monkeypatch):
     rows = grouped.groupBy("group").agg(F.sum("length").alias("s"), F.max("length").alias("m")).collect()
     assert {r.group for r in rows} == set(range(count)) and all(r.s <= 200 + r.m for r in rows)
     assert bypath.dealt(sizes, F.col("length"), 200).rdd.getNumPartitions() == count
+    large = spark.createDataFrame([(f"p{i}", 10**9 * (i % 2) + 1) for i in range(20)], "path string, length bigint")
+    grouped, count = bypath.in_groups(large, F.col("length"), 200)
+    assert {r.group for r in grouped.collect()} == set(range(count)) and 10 <= count <= 20
     none, one = bypath.in_groups(sizes.limit(0), F.col("length"), 200)
     assert none.collect() == [] and one == 1
 
