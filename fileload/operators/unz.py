@@ -8,9 +8,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fileload.functions import lzw
+from fileload.functions.paths import opener
 from fileload.functions.text import check_charset, split_block
+from fileload.session import stage_table
+from fileload.sources.bypath import OPEN_BYTES, dealt
 
 MODES = ("PERMISSIVE", "DROPMALFORMED", "FAILFAST")
 
@@ -89,35 +93,181 @@ def z_ingest(files_df: DataFrame, charset: str = "UTF-8", mode: str = "PERMISSIV
         for batch in batches:
             facts = [batch.column(i) for i in range(3)]
             for row in range(batch.num_rows):
-                file_cols = [col[row] for col in facts]
                 content = batch.column(3)[row]
-                payload = memoryview(content.as_buffer()) if content.is_valid else b""
-                status, width, block = lzw.read_header(payload) if content.is_valid else ("no_content", None, None)
-                if status == "ok" and not lzw.is_sound(payload, width, block):
-                    status = "corrupt"
-                if status != "ok" and mode == "FAILFAST":
-                    raise ValueError(f"{file_cols[0].as_py()}: {status}")
-                if status != "ok" and mode == "DROPMALFORMED":
-                    continue
-                n_lines = n_bytes = 0
-                if status == "ok":
-                    pieces = []
-
-                    def counted(payload=payload, width=width, block=block, pieces=pieces):
-                        for piece in lzw.decode(payload, width, block):
-                            pieces.append(len(piece))
-                            yield piece
-
-                    for lines in _line_blocks(counted(), name):
-                        numbers = pa.array(np.arange(n_lines, n_lines + len(lines)))
-                        yield _rows(file_cols, "line", len(lines), numbers, lines, "ok", None, None)
-                        n_lines += len(lines)
-                    n_bytes = sum(pieces)
-                yield _rows(file_cols, "file", 1, None, None, status, n_lines, n_bytes)
+                payload = memoryview(content.as_buffer()) if content.is_valid else None
+                yield from _payload_rows([col[row] for col in facts], payload, name, mode)
 
     return source.mapInArrow(decode_batches, OUTPUT)
 
 
+def _payload_rows(file_cols, payload, charset: str, mode: str) -> Iterator[pa.RecordBatch]:
+    """Line rows and the file row of one whole payload."""
+    status, width, block = ("no_content", None, None) if payload is None else lzw.read_header(payload)
+    if status == "ok" and not lzw.is_sound(payload, width, block):
+        status = "corrupt"
+    n_lines = n_bytes = 0
+    if status == "ok":
+        pieces = []
+
+        def counted():
+            for piece in lzw.decode(payload, width, block):
+                pieces.append(len(piece))
+                yield piece
+
+        for batch in numbered(file_cols, counted(), charset, 0):
+            yield batch
+            n_lines += batch.num_rows
+        n_bytes = sum(pieces)
+    yield from file_row(file_cols, status, n_lines, n_bytes, mode)
+
+
+def numbered(file_cols, pieces: Iterator[bytes], charset: str, first: int) -> Iterator[pa.RecordBatch]:
+    """Line rows of a stream of bytes, the first of them line ``first`` of its file."""
+    for lines in _line_blocks(pieces, charset):
+        numbers = pa.array(np.arange(first, first + len(lines)))
+        yield _rows(file_cols, "line", len(lines), numbers, lines, "ok", None, None)
+        first += len(lines)
+
+
+def file_row(file_cols, status: str, n_lines: int, n_bytes: int, mode: str) -> Iterator[pa.RecordBatch]:
+    if status == "ok" or mode == "PERMISSIVE":
+        yield _rows(file_cols, "file", 1, None, None, status, n_lines, n_bytes)
+    elif mode == "FAILFAST":
+        raise ValueError(f"{file_cols[0].as_py()}: {status}")
+
+
+#: Bytes of a file that one task decodes; what is longer is cut where its table is cleared.
+SPLIT_BYTES = 16 << 20
+
+_PARTS = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("uri", T.StringType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("modificationTime", T.TimestampType()),
+        T.StructField("start", T.LongType()),
+        T.StructField("stop", T.LongType()),
+        T.StructField("newlines", T.LongType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("n_lines", T.LongType()),
+        T.StructField("n_bytes", T.LongType()),
+    ]
+)
+
+
+def z_parts(files_df: DataFrame, split_bytes: int | None = None) -> DataFrame:
+    """The parts in which tasks decode ``.Z`` files, as a table.
+
+    ``files_df`` is a stored table of ``path``, ``uri``, ``length`` and
+    ``modificationTime``.  A file of up to ``split_bytes`` is one part and is not
+    opened.  Longer files are surveyed, a task for each: their codes are checked, and
+    they are cut at CLEARs into parts of at least ``split_bytes`` that carry the
+    number of newlines before them.  A file with no CLEAR, or one that is not in block
+    mode, is one part of any length.  The first part has the file's status and counts.
+    """
+    split = SPLIT_BYTES if split_bytes is None else split_bytes
+    names = [f.name for f in _PARTS]
+    facts = files_df.select(*names[:4])
+    whole = facts.where(F.col("length") <= split).select(
+        "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in _PARTS.fields[4:]]
+    )
+
+    def run(batches):
+        open_fs = opener()
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield pa.RecordBatch.from_pylist(
+                    [{**row, **part} for part in _surveyed(row["path"], row["length"], open_fs, split)],
+                    schema=pa.schema([*batch.schema, *_PART_KINDS]),
+                )
+
+    long = dealt(facts.where(F.col("length") > split), F.col("length"), split).select(*names[:4]).mapInArrow(run, _PARTS)
+    return stage_table(whole.unionByName(long), "z-parts")
+
+
+_PART_KINDS = [
+    *(pa.field(name, pa.int64()) for name in ("start", "stop", "newlines")),
+    pa.field("status", pa.string()),
+    *(pa.field(name, pa.int64()) for name in ("n_lines", "n_bytes")),
+]
+
+
+def _surveyed(path: str, length: int, open_fs, split: int) -> list[dict]:
+    """Parts of one long file; a single one without bytes if it cannot be read."""
+    fs, name = open_fs(path)
+    lost = {"start": 0, "stop": 0, "newlines": 0, "n_lines": 0, "n_bytes": 0}
+    try:
+        file = fs.open_input_file(name)
+    except FileNotFoundError:
+        return [{**lost, "status": "missing"}]
+    with file:
+        status, width, block = lzw.read_header(file.read_at(lzw.HEADER, 0))
+        if status != "ok":
+            return [{**lost, "status": status}]
+        found = lzw.survey(lzw.Opened(file, length), width, block, split)
+    if not found.sound:
+        return [{**lost, "status": "corrupt"}]
+    head = {"status": "ok", "n_lines": found.n_lines, "n_bytes": found.n_bytes}
+    rest = dict.fromkeys(head)
+    return [
+        {"start": s.start, "stop": s.stop, "newlines": s.newlines, **(rest if i else head)} for i, s in enumerate(found.stretches)
+    ]
+
+
+def z_ingest_files(
+    files_df: DataFrame, charset: str = "UTF-8", mode: str = "PERMISSIVE", split_bytes: int | None = None
+) -> DataFrame:
+    """The rows of ``z_ingest`` for files that tasks open by path, of any name and size.
+
+    ``files_df`` is as for ``z_parts``.  No file is one value: a task reads a short
+    file whole, and a part of a longer one a few megabytes at a time, so that one large
+    file is decoded by several tasks and none holds more than ``split_bytes`` of it.
+    Line numbers are those of the whole file.  Rows carry the ``uri`` as their path; a
+    path that is gone gives a file row ``missing``, in any mode.
+    """
+    mode, name = _checked(mode), check_charset(charset)
+    name = "utf-8" if name == "ascii" else name
+    split = SPLIT_BYTES if split_bytes is None else split_bytes
+
+    def run(batches):
+        open_fs = opener()
+        for batch in batches:
+            facts = [batch.column(i) for i in (1, 2, 3)]
+            for row, part in enumerate(batch.to_pylist()):
+                yield from _part_rows([col[row] for col in facts], part, open_fs, name, mode)
+
+    parts = z_parts(files_df, split)
+    size = F.coalesce(F.col("stop") - F.col("start"), F.col("length")) + OPEN_BYTES
+    return dealt(parts, size, split).select(*_PARTS.names).mapInArrow(run, OUTPUT)
+
+
+def _part_rows(file_cols, part: dict, open_fs, charset: str, mode: str) -> Iterator[pa.RecordBatch]:
+    fs, name = open_fs(part["path"])
+    if part["status"] not in (None, "ok"):
+        yield from file_row(file_cols, part["status"], 0, 0, "PERMISSIVE" if part["status"] == "missing" else mode)
+        return
+    try:
+        file = fs.open_input_file(name)
+    except FileNotFoundError:
+        # A part behind the first has no file row.
+        if part["start"] in (None, lzw.HEADER):
+            yield from file_row(file_cols, "missing", 0, 0, "PERMISSIVE")
+        return
+    with file:
+        if file.size() != part["length"]:
+            raise OSError(f"{part['path']} is not as long as it was when it was listed")
+        if part["start"] is None:
+            yield from _payload_rows(file_cols, memoryview(file.read()), charset, mode)
+            return
+        _, width, block = lzw.read_header(file.read_at(lzw.HEADER, 0))
+        stretch = lzw.Stretch(part["start"], part["stop"], part["newlines"])
+        inner = stretch.start > lzw.HEADER
+        pieces = lzw.stretch_lines(lzw.Opened(file, part["length"]), width, block, stretch)
+        yield from numbered(file_cols, pieces, charset, stretch.newlines + inner)
+        if not inner:
+            yield from file_row(file_cols, "ok", part["n_lines"], part["n_bytes"], mode)
+
+
 def _rows(file_cols, kind, count, line_no, line, status, n_lines, n_bytes) -> pa.RecordBatch:
     def same(value, kind):
         return pa.repeat(pa.scalar(value, kind), count)

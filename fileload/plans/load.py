@@ -11,15 +11,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fileload.config import STAMPS, LoadConfig
-from fileload.functions.paths import existing, exists, is_z, literal_glob, remove
+from fileload.functions.paths import existing, exists, is_hidden, is_z, literal_glob, remove, root_of
 from fileload.operators.audit import load_audit
 from fileload.operators.ledger import commit, handled, ledger, pending
 from fileload.operators.manifest import manifest_parse
 from fileload.operators.records import record_parse, record_spec
 from fileload.operators.routing import lineage_stamp, size_route
-from fileload.operators.unz import z_ingest
+from fileload.operators.text_files import task_can_read, text_ingest_files
+from fileload.operators.unz import z_ingest, z_ingest_files
 from fileload.session import DECODE_CONF, TWO_FOLDERS_CONF, conf_scope, stage_scope
 from fileload.sinks.detail import detail_write, job_folder
+from fileload.sources.bypath import can_open
 from fileload.sources.files import codec_text_scan, manifest_files, with_waves
 from fileload.sources.manifest import manifest_scan
 
@@ -108,13 +110,19 @@ def make_plan(spark: SparkSession, config: LoadConfig, manifest_path: str, wave_
     path's part in the job is.  A rerun follows the stored plan."""
     lines = manifest_parse(manifest_scan(spark, manifest_path), config.layout, config.sep)
     files = manifest_files(spark, lines, config.path_col, config.base_uri)
-    # A whole .Z payload is one value, which has a ceiling of its own.
+    # Who reads a file: tasks, by its path, or a scan of Spark's.  A scan takes a whole
+    # .Z payload as one value, which has a ceiling of its own, and no hidden names.
+    openable = root_of(F.col("path")).isin(*can_open(spark, files))
+    hidden = is_hidden(F.col("path"))
+    files = files.withColumn("by_path", openable & (is_z(F.col("path")) | hidden & task_can_read(F.col("path"))))
     ceiling = int(spark.conf.get("spark.sql.sources.binaryFile.maxLength"))
+    too_large = is_z(F.col("path")) & ~F.col("by_path") & (F.col("length") > ceiling)
     files = size_route(files, config.max_file_size).withColumn(
         "status",
         F.when(F.col("status") != "ok", F.col("status"))
         .when(is_z(F.col("path")) & (F.col("length") == 0), "bad_magic")
-        .when((F.col("route") == "oversize") | (is_z(F.col("path")) & (F.col("length") > ceiling)), "oversize")
+        .when((F.col("route") == "oversize") | too_large, "oversize")
+        .when(hidden & ~F.col("by_path"), "hidden")
         .otherwise("ok"),
     )
     files, _ = with_waves(files, wave_files, LOAD_WAVE_BYTES)
@@ -161,12 +169,13 @@ def run_load(
         done = f"{job_folder(config.ledger_path, config.job_id, {'wave': wave})}/_SUCCESS"
         if not exists(spark, done):
             part = planned.where((F.col("wave") == wave) & (F.col("status") == "ok"))
-            try:
-                _load_wave(spark, config, part, wave)
-            except AnalysisException as error:
-                if error.getCondition() != "PATH_NOT_FOUND":
-                    raise
-                _load_wave(spark, config, _mark_gone(spark, part), wave, some_gone=True)
+            with stage_scope(spark):
+                try:
+                    _load_wave(spark, config, part, wave)
+                except AnalysisException as error:
+                    if error.getCondition() != "PATH_NOT_FOUND":
+                        raise
+                    _load_wave(spark, config, _mark_gone(spark, part), wave, some_gone=True)
     return LoadResult(spark, config)
 
 
@@ -184,8 +193,9 @@ def _load_wave(
     # What an attempt that did not get as far as its ledger entry has left.
     remove(spark, job_folder(config.detail_path, config.job_id, {"wave": wave}))
     charset = record_spec(config.record_type).charset
+    usable, by_path = files.where("status = 'ok'"), F.col("by_path")
     zs, texts = [], []
-    for row in files.where("status = 'ok'").select("path").toLocalIterator():
+    for row in usable.where(~by_path).select("path").toLocalIterator():
         (zs if row.path.endswith(".Z") else texts).append(literal_glob(row.path))
 
     def write(rows: DataFrame, codec: str, conf: dict[str, str]) -> None:
@@ -194,14 +204,21 @@ def _load_wave(
         with conf_scope(spark, {**TWO_FOLDERS_CONF, **conf}):
             detail_write(parsed, config.detail_path, config.job_id, ["kind"], config.max_records_per_file, scope)
 
+    # A bad file has no lines to drop, and its status row stays in any mode.
+    mode = "FAILFAST" if config.mode.upper() == "FAILFAST" else "PERMISSIVE"
+    opened = usable.where(by_path)
+    kinds = {row.z for row in opened.select(is_z(F.col("path")).alias("z")).distinct().collect()}
+    if True in kinds:
+        write(z_ingest_files(opened.where(is_z(F.col("path"))), charset, mode), "z-path", DECODE_CONF)
+    if False in kinds:
+        write(text_ingest_files(opened.where(~is_z(F.col("path"))), charset), "text-path", DECODE_CONF)
     if zs:
         scan = spark.read.format("binaryFile").load(zs)
         payloads = scan.select(F.col("_metadata.file_path").alias("path"), "length", "modificationTime", "content")
-        # A bad file has no lines to drop, and its status row stays in any mode.
-        mode = "FAILFAST" if config.mode.upper() == "FAILFAST" else "PERMISSIVE"
         write(z_ingest(payloads, charset, mode), "z", DECODE_CONF)
     # Text files, and whatever gets no row from the decoder, have their file rows here.
-    rows = files.where(~is_z(F.col("path")) | (F.col("status") != "ok")).select(
+    scanned = ~is_z(F.col("path")) & ~by_path
+    rows = files.where(scanned | (F.col("status") != "ok")).select(
         F.col("uri").alias("path"), "length", "modificationTime", F.lit("file").alias("kind"), "status"
     )
     if texts:

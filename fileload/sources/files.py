@@ -16,7 +16,7 @@ WAVE_FILES = 20_000
 WAVE_BYTES = 8 << 20
 
 # Columns that tell of the file itself.
-FOUND = {"path", "length", "modificationTime", "uri", "content", "n_listed", "listed_path", "route", "wave"}
+FOUND = {"path", "length", "modificationTime", "uri", "content", "n_listed", "listed_path", "route", "wave", "by_path"}
 
 # Folders the driver lists at a time.
 LIST_FOLDERS = 2_000
