@@ -51,15 +51,9 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 def _power(base: int, n: int) -> np.ndarray:
     """base**0 ... base**(n-1) modulo 2**64."""
-    powers = process_cache("powers")
-    have = powers.get(base)
-    if have is None or len(have) < n:
-        steps = np.full(max(n, SLICE_BYTES + 4096), base, np.uint64)
-        steps[0] = 1
-        have = np.cumprod(steps)
-        if len(have) <= SLICE_BYTES * 2:  # those of one very long text are not kept
-            powers[base] = have
-    return have[:n]
+    steps = np.full(n, base, np.uint64)
+    steps[:1] = 1
+    return np.cumprod(steps)
 
 
 def range_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:

@@ -139,7 +139,7 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
     return Lexicon(np.array([t for t, _ in found], np.int64), np.array([w for _, w in found], float))
 
 
-def features(docs: DataFrame, lexicon: Lexicon, text_col: str = "text") -> DataFrame:
+def features(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", keep_text: bool = True) -> DataFrame:
     """``docs`` with ``__features``, the values of NAMES."""
     person = _word_hashes(SECOND_PERSON)
 
@@ -199,7 +199,7 @@ def features(docs: DataFrame, lexicon: Lexicon, text_col: str = "text") -> DataF
         )
         return [lists(pa.array(table.ravel()), np.full(n, len(NAMES)))]
 
-    return map_texts(docs, text_col, _FEATURES, run)
+    return map_texts(docs, text_col, _FEATURES, run, keep_text=keep_text)
 
 
 def held_out(id_col: str):
@@ -214,19 +214,19 @@ class ToxicityModel:
     calibration: IsotonicRegressionModel | None
     share: float
 
-    def _margin(self, docs: DataFrame, text_col: str) -> DataFrame:
-        known = features(docs, self.lexicon, text_col).withColumn("__features", array_to_vector("__features"))
+    def _margin(self, docs: DataFrame, text_col: str, keep_text: bool) -> DataFrame:
+        known = features(docs, self.lexicon, text_col, keep_text).withColumn("__features", array_to_vector("__features"))
         return self.trees.transform(known).withColumn("__margin", vector_to_array("__raw")[1]).drop("__features", "__raw", "__p", "__class")
 
-    def score(self, docs: DataFrame, *, text_col: str = "text") -> DataFrame:
-        """``docs`` with ``score``, the calibrated share of toxic texts at the trees'
+    def score(self, docs: DataFrame, *, text_col: str = "text", keep_text: bool = True) -> DataFrame:
+        """``docs`` (without the text, on request) with ``score``, the calibrated share of toxic texts at the trees'
         margin (a thousandth of it the margin's own, to part equal ones), and
         ``predicted``, whether it is one half or more."""
         if self.trees is None:
-            found = docs.withColumn("score", F.lit(self.share))
+            found = (docs if keep_text else docs.drop(text_col)).withColumn("score", F.lit(self.share))
         else:
             rows = docs.select(*(col(c) for c in without(docs.columns, ["score", "predicted"])))
-            found = self.calibration.transform(self._margin(rows, text_col))
+            found = self.calibration.transform(self._margin(rows, text_col, keep_text))
             own = 1 / (1 + F.exp(-2 * F.col("__margin")))
             found = found.withColumn("score", 0.999 * F.col("__share") + 0.001 * own).drop("__share", "__margin")
         return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
@@ -266,6 +266,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
 def remove_toxic(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs``, in their own columns, without those predicted to be toxic."""
     model = fit(docs, labels, id_col=id_col, text_col=text_col)
-    rows = docs.select(F.struct(*(col(c) for c in docs.columns)).alias("row"), col(text_col).alias("text"))
-    found = model.score(rows).where("predicted = 0")
+    # The text goes to the workers twice: in its row, and to be looked at.
+    rows = docs.select(F.struct(*(col(c) for c in docs.columns)).alias("row"), col(text_col).cast("string").alias("__text"))
+    found = model.score(rows, text_col="__text", keep_text=False).where("predicted = 0")
     return found.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
