@@ -24,7 +24,9 @@ stay in ``align_tokens`` unless named like a result, and are left out of
 from __future__ import annotations
 
 import hashlib
+import os
 import uuid
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +38,9 @@ from fileload.llm.text import col, lists, map_texts, process_cache, ragged, slic
 from fileload.session import stage_table
 
 #: Bytes of text cut into units at a time, and those of one chunk.
-PART, CHUNK = 1 << 20, 8 << 20
+PART, CHUNK = 1 << 20, 4 << 20
 #: Units and bytes of them that a task remembers before it starts anew.
-MEMORY, MEMORY_BYTES = 400_000, 64 << 20
+MEMORY, MEMORY_BYTES = 250_000, 32 << 20
 
 _BLANK = "▁"
 
@@ -50,6 +52,8 @@ class _Pair:
         import sentencepiece
         from tokenizers import Tokenizer
 
+        # Spark has a task for every core already.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
         plain = _byte_characters()
@@ -61,7 +65,9 @@ class _Pair:
         self.b_raw = _table(
             [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_BLANK, " ").encode() for i, p in enumerate(pieces)]
         )
-        self.b_size = len(pieces)
+        self.a_size, self.b_size = size, len(pieces)
+        # How an id is written inside of a group's list, and at the list's end.
+        self.written = [f"{i}{mark}" for n, end in ((size, "|"), (len(pieces), ";")) for mark in (",", end) for i in range(n)]
         self.blank = self.b.piece_to_id(_BLANK)
 
     def encode(self, units: list[str]) -> tuple[list[list[int]], list[list[int]]]:
@@ -133,7 +139,12 @@ def common_cuts(a_ends: np.ndarray, b_ends: np.ndarray, first: np.ndarray, stop:
 
 def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     counts = np.fromiter(map(len, ids), np.int64, len(ids))
-    return np.fromiter((i for one in ids for i in one), np.int64, int(counts.sum())), counts
+    return np.fromiter(chain.from_iterable(ids), np.int64, int(counts.sum())), counts
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.r_[True, values[1:] != values[:-1]]] if len(values) else values
 
 
 def _spelled(ids: np.ndarray, table: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -154,21 +165,22 @@ class _Store:
         self.bytes = 0
         self.digest: list[str] = []
         self.sound, self.n_a, self.n_b, self.n_groups = (np.empty(0, t) for t in (bool, np.int64, np.int64, np.int64))
-        self.a_ids, self.b_ids, self.a_ends, self.b_ends, self.links = (np.empty(0, np.int64) for _ in range(5))
+        self.a_ids, self.b_ids, self.a_ends, self.b_ends, self.links = (np.empty(0, np.int32) for _ in range(5))
         self.n_links = np.empty(0, np.int64)
+        # Id pairs of all links, in the order they were met.
+        self.pair_of: dict[int, int] = {}
 
     def codes(self, units: list[bytes]) -> np.ndarray:
         """A number for each unit; units not seen before are encoded and aligned."""
-        get = self.code.get
-        codes = np.fromiter((get(u, -1) for u in units), np.int64, len(units))
+        codes = np.fromiter(map(self.code.get, units, repeat(-1)), np.int64, len(units))
         lacking = np.flatnonzero(codes < 0)
         if len(lacking):
-            fresh = list(dict.fromkeys(units[i] for i in lacking.tolist()))
-            base = len(self.code)
-            self.code.update((u, base + i) for i, u in enumerate(fresh))
+            missing = [units[i] for i in lacking.tolist()]
+            fresh = list(dict.fromkeys(missing))
+            self.code.update(zip(fresh, range(len(self.code), len(self.code) + len(fresh))))
             self.bytes += sum(map(len, fresh))
             self._add(fresh)
-            codes[lacking] = [self.code[units[i]] for i in lacking.tolist()]
+            codes[lacking] = np.fromiter(map(self.code.__getitem__, missing), np.int64, len(missing))
         return codes
 
     def full(self) -> bool:
@@ -203,18 +215,36 @@ class _Store:
         unit_of_a = np.repeat(np.arange(len(units)), n_a)
         n_groups = np.bincount(unit_of_a[cuts], minlength=len(units))
         # A link is a stretch between ends of either list: one token of each covers it.
-        stretch = np.union1d(a_ends, b_ends)
+        stretch = _distinct(np.concatenate([a_ends, b_ends]))
         link_a, link_b = np.searchsorted(a_ends, stretch), np.searchsorted(b_ends, stretch)
-        self.digest.extend(_digests(a_ids, b_ids, a_cut, b_cut, n_groups))
-        self.links = np.concatenate([self.links, a_ids[link_a] * self.pair.b_size + b_ids[link_b]])
+        self.digest.extend(self._digests(a_ids, b_ids, a_cut, b_cut, n_groups))
+        pairs, of = np.unique(a_ids[link_a] * self.pair.b_size + b_ids[link_b], return_inverse=True)
+        known = np.array([self.pair_of.setdefault(p, len(self.pair_of)) for p in pairs.tolist()], np.int32)
+        self.links = np.concatenate([self.links, known[of]])
         self.n_links = np.concatenate([self.n_links, np.bincount(unit_of_a[link_a], minlength=len(units))])
         self.sound = np.concatenate([self.sound, sound])
         self.n_a, self.n_b = np.concatenate([self.n_a, n_a]), np.concatenate([self.n_b, n_b])
         self.n_groups = np.concatenate([self.n_groups, n_groups])
-        self.a_ids, self.b_ids = np.concatenate([self.a_ids, a_ids]), np.concatenate([self.b_ids, b_ids])
-        # Ends of groups, counted in tokens from the unit's first.
-        self.a_ends = np.concatenate([self.a_ends, a_cut - np.repeat(stop - n_a, n_groups)])
-        self.b_ends = np.concatenate([self.b_ends, b_cut - np.repeat(np.cumsum(n_b) - n_b, n_groups)])
+        # Ends of groups are counted in tokens from the unit's first.
+        a_cut, b_cut = a_cut - np.repeat(stop - n_a, n_groups), b_cut - np.repeat(np.cumsum(n_b) - n_b, n_groups)
+        self.a_ids, self.b_ids, self.a_ends, self.b_ends = (
+            np.concatenate([old, new.astype(np.int32)])
+            for old, new in ((self.a_ids, a_ids), (self.b_ids, b_ids), (self.a_ends, a_cut), (self.b_ends, b_cut))
+        )
+
+    def _digests(self, a_ids, b_ids, a_cut, b_cut, n_groups) -> list[str]:
+        """``a1,a2|b1;a3|b2,b3;`` of each unit: every group ends in a semicolon."""
+        a_n, b_n = np.diff(a_cut, prepend=0), np.diff(b_cut, prepend=0)
+        order = np.empty(len(a_ids) + len(b_ids), np.int64)
+        order[np.arange(len(a_ids)) + np.repeat(b_cut - b_n, a_n)] = a_ids
+        order[np.arange(len(b_ids)) + np.repeat(a_cut, b_n)] = b_ids + 2 * self.pair.a_size
+        ends = a_cut + b_cut - 1
+        order[ends - b_n] += self.pair.a_size
+        order[ends] += self.pair.b_size
+        words = list(map(self.pair.written.__getitem__, order.tolist()))
+        # Tokens of each unit follow one another.
+        stop = np.r_[0, ends + 1][np.cumsum(n_groups)].tolist()
+        return ["".join(words[b:e]) for b, e in zip([0, *stop[:-1]], stop)]
 
 
 def _cut(text: np.ndarray, size: np.ndarray) -> list[bytes]:
@@ -223,23 +253,6 @@ def _cut(text: np.ndarray, size: np.ndarray) -> list[bytes]:
     return [whole[e - s : e] for s, e in zip(size.tolist(), ends.tolist())]
 
 
-def _digests(a_ids, b_ids, a_cut, b_cut, n_groups) -> list[str]:
-    """``a1,a2|b1;a3|b2,b3;`` of each unit: every group ends in a semicolon."""
-    a_n, b_n = np.diff(a_cut, prepend=0), np.diff(b_cut, prepend=0)
-    place_a = np.arange(len(a_ids)) + np.repeat(b_cut - b_n, a_n)
-    place_b = np.arange(len(b_ids)) + np.repeat(a_cut, b_n)
-    words = np.empty(len(a_ids) + len(b_ids), object)
-    words[place_a], words[place_b] = a_ids.astype(str), b_ids.astype(str)
-    marks = np.full(len(words), ",", object)
-    ends = a_cut + b_cut - 1
-    marks[ends - b_n], marks[ends] = "|", ";"
-    joined = (words + marks).tolist() if len(words) else []
-    # Tokens of each unit follow one another.
-    last = np.cumsum(n_groups)
-    total = np.r_[0, a_cut + b_cut][last] if len(a_cut) else np.zeros(len(n_groups), np.int64)
-    return ["".join(joined[s:e]) for s, e in zip(np.r_[0, total[:-1]].tolist(), total.tolist())]
-
-
 def _units(texts: pa.Array) -> tuple[list[bytes], np.ndarray]:
     """Units of a blank and each text, and how many each text has; none if empty."""
     offsets, data = text_bytes(texts)
@@ -346,27 +359,37 @@ def _chunk_fields(id_field: StructField) -> StructType:
 def _chunk(store: _Store, ids: pa.Array, texts: pa.Array) -> list[pa.Array]:
     """One row for some documents: facts of each, and dictionaries for all."""
     n = len(texts)
-    codes, counts, digests = [], [], []
+    first = None
+    codes, counts, digests, held = [], [], [], []
     for lo, hi in slices(texts, PART):
         part, many = _kept(store, *_units(texts.slice(lo, hi - lo)))
         codes.append(part)
         counts.append(many)
-        words = list(map(store.digest.__getitem__, part.tolist()))
-        for s, e in zip((np.cumsum(many) - many).tolist(), np.cumsum(many).tolist()):
+        words, ends = list(map(store.digest.__getitem__, part.tolist())), np.cumsum(many).tolist()
+        for s, e in zip([0, *ends[:-1]], ends):
             digests.append(hashlib.sha256("".join(words[s:e])[:-1].encode()).hexdigest() if e > s else "")
+        # Each unit once for a document, then each pair once.
+        doc, unit = np.divmod(_distinct(np.repeat(np.arange(hi - lo), many) * len(store.code) + part), max(1, len(store.code)))
+        first = np.cumsum(store.n_links) - store.n_links
+        size = store.n_links[unit]
+        wide = max(1, len(store.pair_of))
+        pairs = _distinct(np.repeat(doc, size) * wide + store.links[ragged(first[unit], size)]) % wide
+        held.append(np.bincount(pairs, minlength=len(store.pair_of)))
     codes, counts = np.concatenate(codes), np.concatenate(counts)
-    used, units = np.unique(codes, return_inverse=True)
-    first = np.cumsum(store.n_links) - store.n_links
-    per_unit = store.n_links[used]
-    pairs, links = np.unique(store.links[ragged(first[used], per_unit)], return_inverse=True)
-    # Each pair once for every document that holds it.
-    doc = np.repeat(np.arange(n), counts)
-    once = np.unique(doc * max(1, len(used)) + units)
-    doc, unit = np.divmod(once, max(1, len(used)))
-    at = np.cumsum(per_unit) - per_unit
-    held = links[ragged(at[unit], per_unit[unit])]
-    held = np.unique(np.repeat(doc, per_unit[unit]) * max(1, len(pairs)) + held) % max(1, len(pairs))
-    held = np.bincount(held, minlength=len(pairs))
+    n_held = np.zeros(len(store.pair_of), np.int64)
+    for part in held:
+        n_held[: len(part)] += part
+    # The chunk's own numbers for the units and pairs in it.
+    used = np.zeros(len(store.code) + 1, np.int64)
+    used[codes + 1] = 1
+    number, used = np.cumsum(used)[:-1], np.flatnonzero(used[1:])
+    units, per_unit = number[codes], store.n_links[used]
+    there = np.flatnonzero(n_held)
+    place = np.zeros(len(store.pair_of), np.int64)
+    place[there] = np.arange(len(there))
+    links = place[store.links[ragged(first[used], per_unit)]]
+    pairs = np.fromiter(store.pair_of, np.int64, len(store.pair_of))[there]
+    held = n_held[there]
 
     def one(values, kind) -> pa.Array:
         flat = pa.array(values, kind)
