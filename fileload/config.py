@@ -25,6 +25,8 @@ SETTING_NAMES = {
 STAMPS = fields(
     **{BAD: "string"},
     line_no="long",
+    block="long",
+    block_row="long",
     src_path="string",
     src_length="long",
     src_mtime="timestamp",

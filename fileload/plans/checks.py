@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fileload.config import LoadConfig
@@ -19,10 +19,10 @@ from fileload.operators.ledger import commit, ledger, pending
 from fileload.operators.manifest import manifest_parse
 from fileload.operators.records import BAD, RecordSpec, fields, record_parse, register_record
 from fileload.operators.routing import lineage_stamp, size_route
-from fileload.operators.unz import z_ingest, z_lines, z_reject
+from fileload.operators.unz import z_ingest, z_ingest_files, z_lines, z_reject
 from fileload.operators.zpack import z_export
 from fileload.plans.load import run_load
-from fileload.session import stage_dir
+from fileload.session import stage_dir, stage_table
 from fileload.sinks.detail import detail_write, read_detail
 from fileload.sinks.keyed_table import KeyedTable
 from fileload.sinks.zfiles import write_z_files
@@ -127,6 +127,24 @@ def q_z_ingest(spark, sf_dir):
     return record_parse(lines, "doc_facts").select("source", "doc_id", "lang", "n_chars")
 
 
+def q_z_split_ingest(spark, sf_dir):
+    """All texts in large files, each decoded in parts by several tasks, with the
+    numbers of the lines in their file."""
+    folder = stage_dir(spark, "z")
+    lines = table(spark, sf_dir, "documents").select("lang", "doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line"))
+    keyed = lines.select("lang", "doc_id", "at", F.concat_ws("|", "doc_id", "at", "line").alias("value"))
+    write_z_files(z_export(keyed, "lang", "value", ["doc_id", "at"]), folder)
+    files = stage_table(list_files(spark, [folder]).where("path like '%.Z'"), "files")
+    longest = files.agg(F.max("length")).first()[0] or 0
+    found = z_lines(z_ingest_files(files, split_bytes=max(1 << 14, longest // 16)))
+    part = F.regexp_extract("path", r"shard=([^/]+)/part-", 1)
+    doc, at = (F.get(F.split("line", r"\|", 3), F.lit(i)).cast("bigint") for i in (0, 1))
+    rows = found.select(part.alias("lang"), "path", "line_no", doc.alias("doc_id"), at.alias("at"))
+    # In a file, lines in the order of their numbers are in the order of the texts.
+    dense = F.count("*").over(Window.partitionBy("path").orderBy("doc_id", "at").rowsBetween(Window.unboundedPreceding, 0)) - 1
+    return rows.select("lang", "doc_id", "at", (F.col("line_no") == dense).alias("in_order"))
+
+
 def q_z_reject(spark, sf_dir):
     folder = stage_dir(spark, "z")
     kind = source_number("shard") % 4
@@ -157,10 +175,13 @@ def q_record_parse(spark, sf_dir):
 
 
 def q_size_route(spark, sf_dir):
-    """One file for each source; no content is read."""
+    """Sources by the bytes of all of their files, against the mean of the sources; no
+    content is read."""
     docs = table(spark, sf_dir, "documents").select("source", F.col("text").alias("value"))
-    files = list_files(spark, [_files_by_source(docs.repartition("source"))])
-    return size_route(files.select(source_name("path").alias("source"), "length"), 120_000)
+    files = list_files(spark, [_files_by_source(docs)])
+    sources = files.groupBy(source_name("path").alias("source")).agg(F.sum("length").alias("length"))
+    mean = sources.agg(F.floor(F.sum("length") / F.count("*"))).first()[0]
+    return size_route(sources, mean or 0)
 
 
 def q_lineage_stamp(spark, sf_dir):
@@ -318,6 +339,9 @@ SELECT source, 'ok' AS status, CAST(sum(octet_length(encode(text))+1) AS BIGINT)
 UNION ALL SELECT DISTINCT source, 'missing', CAST(NULL AS BIGINT) FROM documents
 """,
     "z_ingest": "SELECT source, doc_id, lang, n_chars FROM documents",
+    "z_split_ingest": """
+SELECT lang, doc_id, CAST(unnest(range(0, len(string_split(text, chr(10))))) AS BIGINT) AS at, true AS in_order FROM documents
+""",
     "z_reject": """
 SELECT DISTINCT source, CASE CAST(substr(source, 4) AS INT)%4
   WHEN 0 THEN 'bad_magic' WHEN 1 THEN 'bad_width' WHEN 2 THEN 'corrupt' ELSE 'ok' END AS status FROM documents
@@ -329,8 +353,9 @@ SELECT event_id, ts, user_id, event_type, CASE WHEN event_id%97 = 0 THEN NULL EL
        event_id%97 = 0 AS is_bad FROM events
 """,
     "size_route": """
-SELECT source, CAST(sum(octet_length(encode(text))+1) AS BIGINT) AS length,
-       CASE WHEN sum(octet_length(encode(text))+1) > 120000 THEN 'oversize' ELSE 'normal' END AS route FROM documents GROUP BY source
+WITH sizes AS (SELECT source, CAST(sum(octet_length(encode(text))+1) AS BIGINT) AS length FROM documents GROUP BY source)
+SELECT source, length, CASE WHEN length > (SELECT CAST(sum(length) AS BIGINT) // count(*) FROM sizes) THEN 'oversize' ELSE 'normal' END AS route
+FROM sizes
 """,
     "lineage_stamp": "SELECT 'job-1' AS job_id, source AS src, count(*) AS n_rows FROM documents GROUP BY source",
     "detail_write": "SELECT 'job-1' AS job_id, event_id, event_type, value FROM events",

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from fileload.config import STAMPS, LoadConfig
 from fileload.functions.paths import existing, exists, is_hidden, is_z, literal_glob, remove, root_of
 from fileload.operators.audit import load_audit
+from fileload.operators.line_numbers import BLOCK, ROW, blocks_of, with_line_numbers
 from fileload.operators.ledger import commit, handled, ledger, pending
 from fileload.operators.manifest import manifest_parse
 from fileload.operators.records import record_parse, record_spec
@@ -43,8 +44,9 @@ class LoadResult:
         return _written(self.spark, self.config).withColumn("job_id", F.lit(self.config.job_id))
 
     def detail(self) -> DataFrame:
-        """The typed rows."""
-        return self._written().where("kind = 'line'").drop("kind", "codec", "wave", *FILE_COLUMNS)
+        """The typed rows, each with the number of its line."""
+        rows = self._written().where("kind = 'line'").drop("kind", "codec", "wave", *FILE_COLUMNS)
+        return with_line_numbers(rows, _blocks(self.spark, self.config))
 
     def files(self) -> DataFrame:
         """One row per manifest path with what became of it."""
@@ -63,7 +65,7 @@ class LoadResult:
 
     def audit(self) -> DataFrame:
         """Row, bad row and byte counts per file, from the written tables."""
-        detail = self.detail().withColumn("record_type", F.lit(self.config.record_type))
+        detail = self._written().where("kind = 'line'").withColumn("record_type", F.lit(self.config.record_type))
         return load_audit(detail, self.files())
 
     def miscounted(self, expected_col: str) -> DataFrame:
@@ -82,6 +84,17 @@ def _written(spark: SparkSession, config: LoadConfig, **scope: int) -> DataFrame
     return spark.read.schema(schema).parquet(folder) if exists(spark, folder) else spark.createDataFrame([], schema)
 
 
+def _blocks_folder(config: LoadConfig, scope: dict[str, int] | None = None) -> str:
+    return job_folder(f"{config.detail_path.rstrip('/')}/_blocks", config.job_id, scope)
+
+
+def _blocks(spark: SparkSession, config: LoadConfig) -> DataFrame:
+    """How many lines come before each block of the text files."""
+    schema = "src_path string, block bigint, first_row bigint, lines_before bigint"
+    folder = _blocks_folder(config)
+    return spark.read.schema(schema).parquet(folder) if exists(spark, folder) else spark.createDataFrame([], schema)
+
+
 def _plan_folder(config: LoadConfig) -> str:
     return job_folder(f"{config.ledger_path.rstrip('/')}/_plan", config.job_id)
 
@@ -222,13 +235,16 @@ def _load_wave(
         F.col("uri").alias("path"), "length", "modificationTime", F.lit("file").alias("kind"), "status"
     )
     if texts:
-        lines = codec_text_scan(spark, texts, charset)
+        lines = codec_text_scan(spark, texts, charset, places=True)
         rows = lines.withColumns({"kind": F.lit("line"), "status": F.lit("ok")}).unionByName(rows, allowMissingColumns=True)
     else:
-        rows = rows.withColumn("line", F.lit(None).cast("string"))
+        rows = rows.withColumns({"line": F.lit(None).cast("string"), BLOCK: F.lit(None).cast("bigint"), ROW: F.lit(None).cast("bigint")})
     if texts or some_gone:
         unknown = ("line_no", "n_lines", "n_bytes")
         write(rows.withColumns({name: F.lit(None).cast("bigint") for name in unknown}), "text", {})
+    if texts:
+        written = _written(spark, config, wave=wave).where("kind = 'line'")
+        blocks_of(written).write.mode("overwrite").parquet(_blocks_folder(config, {"wave": wave}))
     status = _written(spark, config, wave=wave).where("kind = 'file' and status <> 'missing'").withColumnsRenamed(
         {"src_path": "path", "src_length": "length", "src_mtime": "modificationTime"}
     )

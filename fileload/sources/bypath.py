@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fileload.functions.paths import opener, root_of, spelled_uri
+from fileload.functions.paths import is_hidden, opener, root_of, spelled_uri
 from fileload.session import stage_table
 
 LISTING = T.StructType(
@@ -139,13 +139,15 @@ def list_folders(spark: SparkSession, folders: DataFrame) -> DataFrame:
     return stage_table(level.where("not is_folder").drop("is_folder"), "listing")
 
 
-def walk(spark: SparkSession, folders: DataFrame) -> DataFrame:
+def walk(spark: SparkSession, folders: DataFrame, hidden: bool) -> DataFrame:
     """All files under the folders, as one table: one round for each level of depth,
-    in which tasks list the folders that the level before has found."""
+    in which tasks list the folders that the level before has found.  Without
+    ``hidden``, neither hidden files nor what is in hidden folders."""
     found, todo = [], folders.select("folder")
     while True:
         spread = stage_table(todo.select("folder", F.col("folder").alias("path")).distinct(), "folders")
-        level = stage_table(list_level(dealt(spread, F.lit(1), FOLDERS_AT_ONCE)), "level")
+        level = list_level(dealt(spread, F.lit(1), FOLDERS_AT_ONCE))
+        level = stage_table(level if hidden else level.where(~is_hidden(F.col("path"))), "level")
         found.append(level.where("not is_folder").drop("is_folder"))
         todo = level.where("is_folder").select(F.col("path").alias("folder"))
         if todo.isEmpty():

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from fileload.functions.paths import existing, is_hidden, literal_glob, opener, parent, qualify, root_of, working_uri
 from fileload.functions.text import decoded, without_cr
+from fileload.operators.line_numbers import place
 from fileload.session import stage_dir, stage_table
 from fileload.sources.bypath import LISTING, can_open, list_folders, read_content, walk
 
@@ -25,16 +26,16 @@ LIST_FOLDERS = 2_000
 NOT_Z = "{*[!Z],*[!.]Z,Z}"
 
 
-def list_files(spark: SparkSession, folders: list[str]) -> DataFrame:
+def list_files(spark: SparkSession, folders: list[str], hidden: bool = False) -> DataFrame:
     """``path, length, modificationTime, uri`` of all files under the folders.
     No file is opened; ``uri`` is the spelling scans report in their metadata.
 
-    Tasks list the folders level by level, hidden names and empty files included;
-    a file system that they cannot open is indexed by Spark's driver, which leaves
-    those out."""
+    Tasks list the folders level by level, empty files included and, on request, those
+    that scans never read; a file system that tasks cannot open is indexed by Spark's
+    driver, which leaves both out."""
     given = spark.createDataFrame([(working_uri(spark, folder),) for folder in folders], "folder string")
     openable = root_of(F.col("folder")).isin(*can_open(spark, given, "folder"))
-    result = walk(spark, given.where(openable))
+    result = walk(spark, given.where(openable), hidden)
     rest = [row.folder for row in given.where(~openable).collect()]
     return result.unionByName(_indexed(spark, rest)) if rest else result
 
@@ -211,17 +212,19 @@ def _scanned(spark: SparkSession, files: DataFrame, keep: list[str], max_files:
 
 
 def codec_text_scan(
-    spark: SparkSession, paths: str | list[str], charset: str = "UTF-8", **options: str
+    spark: SparkSession, paths: str | list[str], charset: str = "UTF-8", places: bool = False, **options: str
 ) -> DataFrame:
     """Lines of text files, plain or compressed with a codec told by the suffix
     (.gz, .bz2, .deflate, .snappy).  ``.Z`` files are left to ``z_ingest``.
 
-    A line ends at a newline; one carriage return before it is dropped.
+    A line ends at a newline; one carriage return before it is dropped.  With
+    ``places``, rows carry what ``line_numbers`` needs once they are written.
     """
     scan = spark.read.option("lineSep", "\n").option("pathGlobFilter", NOT_Z).options(**options).text(paths)
     return scan.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_size").alias("length"),
         F.col("_metadata.file_modification_time").alias("modificationTime"),
+        *(place() if places else []),
         decoded(F.col("value"), charset).alias("line"),
     ).withColumn("line", without_cr(F.col("line")))

@@ -8,7 +8,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fileload.config import LoadConfig, check_job_id, check_names
 from fileload.functions.text import decoded, without_cr
+from fileload.functions.paths import exists
 from fileload.operators.keyed import keyed_load
+from fileload.operators.line_numbers import BLOCK, ROW, blocks_of, with_line_numbers
 from fileload.operators.records import BAD, record_parse, record_spec
 from fileload.operators.routing import lineage_stamp, take_route
 from fileload.operators.unz import z_ingest
@@ -43,6 +45,7 @@ def _rows(stream: DataFrame, codec: str, charset: str) -> DataFrame:
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_size").alias("length"),
         F.col("_metadata.file_modification_time").alias("modificationTime"),
+        F.col("_metadata.file_block_start").alias(BLOCK),
         F.lit("line").alias("kind"),
         F.lit(None).cast("bigint").alias("line_no"),
         decoded(F.col("value"), charset).alias("line"),
@@ -68,6 +71,10 @@ def stream_lines(
     return z_ingest(rows, charset, mode) if codec == "z" else rows
 
 
+def _blocks_folder(detail_path: str, job_id: str, scope: dict[str, int] | None = None) -> str:
+    return job_folder(f"{detail_path.rstrip('/')}/_blocks", job_id, scope)
+
+
 def _oversize(batch: DataFrame, max_file_size: int) -> DataFrame:
     """One file row for each file above the limit."""
     big = take_route(batch, max_file_size, "oversize").select("path", "length", "modificationTime").distinct()
@@ -105,6 +112,9 @@ def stream_ingest(
     inputs = _rows(_source(spark, codec, archive_path, per_trigger).load(input_path), codec, charset)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
+        if codec == "text":
+            # Numbers along a task's rows, before anything sets rows aside.
+            batch = batch.withColumn(ROW, F.monotonically_increasing_id())
         rows = batch if max_file_size is None else take_route(batch, max_file_size, "normal")
         rows = z_ingest(rows, charset, mode) if codec == "z" else rows
         if max_file_size is not None:
@@ -112,6 +122,9 @@ def stream_ingest(
         parsed = lineage_stamp(record_parse(rows, record_type), job_id)
         with conf_scope(batch.sparkSession, {**TWO_FOLDERS_CONF, **(DECODE_CONF if codec == "z" else {})}):
             folder = detail_write(parsed, detail_path, job_id, ["kind"], scope={"batch": batch_id})
+        if codec == "text":
+            stored = batch.sparkSession.read.schema(parsed.schema).parquet(folder).where("kind = 'line'")
+            blocks_of(stored).write.mode("overwrite").parquet(_blocks_folder(detail_path, job_id, {"batch": batch_id}))
         if table is not None:
             loaded = batch.sparkSession.read.schema(parsed.schema).parquet(folder)
             good = loaded.where((F.col("kind") == "line") & F.col(BAD).isNull())
@@ -142,8 +155,12 @@ def stream_load(spark: SparkSession, config: LoadConfig, input_path: str, checkp
 
 
 def stream_detail(spark: SparkSession, detail_path: str, job_id: str) -> DataFrame:
-    """The typed rows an incremental job has written so far."""
+    """The typed rows an incremental job has written so far, each with the number of
+    its line."""
     rows = spark.read.parquet(job_folder(detail_path, job_id)).where("kind = 'line'")
+    blocks = _blocks_folder(detail_path, job_id)
+    if exists(spark, blocks):
+        rows = with_line_numbers(rows, spark.read.parquet(blocks))
     return rows.drop("kind", "batch", "status", "n_lines", "n_bytes").withColumn("job_id", F.lit(job_id))
 
 

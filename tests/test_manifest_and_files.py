@@ -190,10 +190,14 @@ def test_only_the_folders_of_listed_files_are_listed(spark, tmp_path, monkeypatc
 
 
 def test_walk_sees_what_a_scan_sees_and_more(spark, inputs):
-    ours = {r.path: tuple(r) for r in list_files(spark, [str(inputs)]).collect()}
+    ours = {r.path: tuple(r) for r in list_files(spark, [str(inputs)], hidden=True).collect()}
     theirs = {r.path: tuple(r) for r in files._indexed(spark, [str(inputs)]).collect()}
     assert theirs.items() <= ours.items()
     assert {p.rsplit("/", 1)[1] for p in ours.keys() - theirs.keys()} == {"_hidden.txt", "empty.txt"}
+    (inputs / "_temporary").mkdir()
+    (inputs / "_temporary" / "x").write_text("x")
+    seen = {r.path: tuple(r) for r in list_files(spark, [str(inputs)]).collect()}
+    assert {p.rsplit("/", 1)[1] for p in seen.keys() - theirs.keys()} == {"empty.txt"} and theirs.keys() < seen.keys()
 
 
 def test_groups_are_dense_and_bounded(spark, monkeypatch):
