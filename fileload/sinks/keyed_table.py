@@ -1,108 +1,94 @@
-"""Stored keyed cells: a folder for each load and a numbered list of which to read."""
+"""Stored keyed cells: a bucketed Spark table that loads append to."""
 
 from __future__ import annotations
 
-import json
-import uuid
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructType
 
-from fileload.functions.paths import _fs, child_names, remove
+from fileload.functions.paths import child_names, remove, working_uri
 from fileload.operators.keyed import CELL, newest
 
 COLUMNS = [*CELL, "version", "value"]
+BUCKETS = 64
 
 
 class KeyedTable:
-    """A load appends its cells as a folder of its own and publishes a list that
-    names it, so it writes what it brings and no more.  Readers see one list or
-    the next, never a mixture; a load that dies publishes nothing; of two loads
-    at once the second to publish fails and can be run again.
-
-    The newest version of a cell is found when the table is read; ``compact``
-    puts the loads so far together.  The first load fixes the columns' types.
+    """Cells under a path, bucketed by the cell: equal cells of all loads lie in files
+    of one bucket, so the newest of each is found without a shuffle, and a row key
+    with most of the cells is spread over all buckets.
+
+    A load appends what it brings.  The first one fixes the columns' types and the
+    number of buckets.  Of equal versions the later load wins; of two loads at once
+    neither is the later one, and the greater value wins.  Readers see a load once
+    Spark has committed it.  ``compact`` puts the loads so far together as a new
+    generation; it is not for times when a load runs.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-
-    def _list_path(self, number: int) -> str:
-        return f"{self.path}/_lists/{number:010d}.json"
-
-    def _numbers(self) -> list[int]:
-        names = child_names(self.spark, f"{self.path}/_lists")
-        return sorted(int(name[:-5]) for name in names if name.endswith(".json") and name[:-5].isdigit())
-
-    def _list(self, number: int) -> dict | None:
-        """A list's content, None while its writer has not closed it."""
-        found = self.spark.read.text(self._list_path(number), wholetext=True).first()
-        try:
-            return json.loads(found[0]) if found else None
-        except ValueError:
+    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
+        self.spark, self.path, self.buckets = spark, working_uri(spark, path), buckets
+
+    def _generation(self) -> tuple[int, int, str] | None:
+        """Number, buckets and folder of the last complete generation."""
+        found = [name.split("-") for name in child_names(self.spark, self.path) if name.startswith("cells-")]
+        for number, buckets in sorted(((int(n), int(b)) for _, n, b in found), reverse=True):
+            folder = f"{self.path}/cells-{number}-{buckets}"
+            if "_SUCCESS" in child_names(self.spark, folder):
+                return number, buckets, folder
+        return None
+
+    def _name(self, folder: str) -> str:
+        return f"keyed_{hashlib.sha256(folder.encode()).hexdigest()[:24]}"
+
+    def _rows(self) -> DataFrame | None:
+        """All cells of all loads, ``tie`` being the number of the load."""
+        last = self._generation()
+        if last is None:
             return None
-
-    def _published(self) -> tuple[int, list[str], StructType | None]:
-        """Number of the newest list, the folders it names and their schema."""
-        for number in reversed(self._numbers()):
-            state = self._list(number)
-            if state is not None:
-                return number, state["folders"], StructType.fromJson(state["schema"])
-        return 0, [], None
-
-    def _publish(self, number: int, folders: list[str], schema: StructType) -> None:
-        fs, final = _fs(self.spark, self._list_path(number))
-        if fs.exists(final):
-            raise RuntimeError(f"another load published {final.toString()} first")
-        # A name is created once: whoever comes second fails here.
-        out = fs.create(final, False)
-        out.write(bytearray(json.dumps({"folders": folders, "schema": schema.jsonValue()}).encode()))
-        out.close()
-
-    def _read(self, folders: list[str], schema: StructType) -> DataFrame:
-        """Cells of some loads, ``tie`` being the number of the load."""
-        known = StructType([*schema.fields]).add("load", IntegerType()).add("part", StringType())
-        scan = self.spark.read.option("basePath", f"{self.path}/data").schema(known)
-        return scan.parquet(*[f"{self.path}/data/{folder}" for folder in folders]).select(*COLUMNS, F.col("load").alias("tie"))
-
-    def _write(self, cells: DataFrame, number: int) -> str:
-        folder = f"load={number}/part={uuid.uuid4().hex}"
-        cells.write.parquet(f"{self.path}/data/{folder}")
-        return folder
+        _, buckets, folder = last
+        name = self._name(folder)
+        if not self.spark.catalog.tableExists(name):
+            # A session that did not make the table learns of it from its files.
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.spark.read.parquet(folder).schema)
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+                f"CLUSTERED BY ({', '.join(CELL)}) INTO {buckets} BUCKETS LOCATION '{folder}'"
+            )
+        self.spark.catalog.refreshTable(name)
+        return self.spark.table(name)
+
+    def _append(self, cells: DataFrame, number: int, buckets: int) -> None:
+        folder = f"{self.path}/cells-{number}-{buckets}"
+        # A task for each bucket, so that a load adds one file to it.
+        dealt = cells.repartition(buckets, *CELL)
+        dealt.write.mode("append").bucketBy(buckets, *CELL).option("path", folder).saveAsTable(self._name(folder))
 
     def cells(self) -> DataFrame | None:
         """All current cells, or None before the first load."""
-        _, folders, schema = self._published()
-        return newest(self._read(folders, schema)) if folders else None
+        rows = self._rows()
+        return None if rows is None else newest(rows)
 
     def load(self, batch_cells: DataFrame) -> None:
-        """Append cells (one row per cell, as ``keyed_load(None, …)`` gives them);
-        of equal versions the later load wins."""
-        number, folders, schema = self._published()
+        """Append cells (one row per cell, as ``keyed_load(None, …)`` gives them)."""
+        rows, last = self._rows(), self._generation()
         batch = batch_cells.select(*COLUMNS)
-        kinds = [f.dataType for f in batch.schema]
-        if schema is not None and kinds != [f.dataType for f in schema]:
-            raise ValueError(f"{self.path} holds {schema.simpleString()}, not {batch.schema.simpleString()}")
-        folder = self._write(batch, number + 1)
-        if self.spark.read.schema(batch.schema).parquet(f"{self.path}/data/{folder}").isEmpty():
-            remove(self.spark, f"{self.path}/data/{folder}")
+        if rows is None:
+            self._append(batch.withColumn("tie", F.lit(1)), 1, self.buckets)
+            return
+        held = rows.select(*COLUMNS).schema
+        if [f.dataType for f in batch.schema] != [f.dataType for f in held]:
+            raise ValueError(f"{self.path} holds {held.simpleString()}, not {batch.schema.simpleString()}")
+        number = (rows.agg(F.max("tie")).first()[0] or 0) + 1
+        self._append(batch.withColumn("tie", F.lit(number)), *last[:2])
+
+    def compact(self) -> None:
+        """Put all loads together as one, and remove what they were."""
+        rows, last = self._rows(), self._generation()
+        if rows is None:
             return
-        self._publish(number + 1, [*folders, folder], schema or batch.schema)
-
-    def compact(self, keep: int = 2) -> None:
-        """Put all loads together as one, and remove what the last ``keep`` lists
-        do not name, loads that died included.  Not while a load runs or a reader
-        holds an older list."""
-        number, folders, schema = self._published()
-        if len(folders) > 1:
-            folder = self._write(newest(self._read(folders, schema)), number + 1)
-            self._publish(number + 1, [folder], schema)
-        numbers = self._numbers()
-        kept = {name for n in numbers[-keep:] for name in (self._list(n) or {"folders": []})["folders"]}
-        for load in child_names(self.spark, f"{self.path}/data"):
-            for part in child_names(self.spark, f"{self.path}/data/{load}"):
-                if f"{load}/{part}" not in kept:
-                    remove(self.spark, f"{self.path}/data/{load}/{part}")
-        for n in numbers[:-keep]:
-            remove(self.spark, self._list_path(n))
+        self._append(newest(rows).withColumn("tie", F.lit(1)), last[0] + 1, last[1])
+        for name in child_names(self.spark, self.path):
+            if name.startswith("cells-") and int(name.split("-")[1]) <= last[0]:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._name(f'{self.path}/{name}')}")
+                remove(self.spark, f"{self.path}/{name}")

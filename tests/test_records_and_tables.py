@@ -155,7 +155,7 @@ def brute(loads):
 
 
 def test_keyed_table(spark, tmp_path):
-    stored = KeyedTable(spark, str(tmp_path / "t"))
+    stored = KeyedTable(spark, str(tmp_path / "t"), 4)
     assert stored.cells() is None
     loads = []
     for n in range(3):
@@ -164,17 +164,36 @@ def test_keyed_table(spark, tmp_path):
         batch = spark.createDataFrame(rows, "k string, v int, x string")
         stored.load(keyed_load(None, batch, "k", "v", ["x"]))
         assert as_set(stored.cells()) == brute(loads)
-    before = stored._published()
     stored.load(stored.cells().limit(0))
-    assert stored._published() == before
     cells = as_set(stored.cells())
-    (tmp_path / "t" / "data" / "load=9" / "part=dead").mkdir(parents=True)
-    stored.compact(keep=1)
+    assert cells == brute(loads)
+    # A compaction that died does not count, and goes with the next one.
+    (tmp_path / "t" / "cells-2-4").mkdir()
     assert as_set(stored.cells()) == cells
-    left = [f"{p.parent.name}/{p.name}" for p in (tmp_path / "t" / "data").glob("*/part=*")]
-    assert left == stored._published()[1] and len(list((tmp_path / "t" / "_lists").glob("0*.json"))) == 1
-    stored.compact()
-    assert stored._published()[1] == left
+    for _ in range(2):
+        stored.compact()
+        assert as_set(stored.cells()) == cells
+    assert [p.name for p in (tmp_path / "t").iterdir()] == ["cells-3-4"]
+    stored.load(keyed_load(None, spark.createDataFrame([("k1", 99, "new")], "k string, v int, x string"), "k", "v", ["x"]))
+    assert ("k1", "x", 99, "new") in as_set(stored.cells())
+    # A session that knows nothing of the table reads it by its path.
+    spark.sql(f"DROP TABLE {stored._name(stored._generation()[2])}")
+    assert ("k1", "x", 99, "new") in as_set(KeyedTable(spark, str(tmp_path / "t"), 7).cells())
+
+
+def test_cells_are_read_without_a_shuffle(spark, tmp_path):
+    stored = KeyedTable(spark, str(tmp_path / "t"), 4)
+    for n in range(3):
+        rows = [("hot" if i % 3 == 0 else f"k{i}", n, f"{n}-{i}", str(i)) for i in range(600)]
+        batch = spark.createDataFrame(rows, "k string, v int, x string, q string")
+        stored.load(keyed_load(None, batch, "k", "v", qualifier_col="q", value_col="x"))
+    plan = stored.cells()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+    assert stored.cells().count() == 600 and stored.cells().where("version < 2").count() == 0
+    # A key with a third of the cells is in every bucket, and a load adds a file to each.
+    sizes = [r["count"] for r in stored.cells().groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 250
+    assert len(list((tmp_path / "t").rglob("*.parquet"))) == 12
 
 
 def test_a_load_writes_what_it_brings(spark, tmp_path):
@@ -200,18 +219,6 @@ def test_value_type_is_fixed(spark, tmp_path):
     assert as_set(stored.cells()) == {("a", "n", 1, 5)}
 
 
-def test_two_loads_at_once(spark, tmp_path):
-    stored = KeyedTable(spark, str(tmp_path / "t"))
-    cells = keyed_load(None, spark.createDataFrame([("a", 1, "x")], "k string, v int, x string"), "k", "v", ["x"])
-    stored.load(cells)
-    seen = stored._published
-    stored._published = lambda: (0, [], None)
-    with pytest.raises(RuntimeError, match="first"):
-        stored.load(cells)
-    stored._published = seen
-    assert stored.cells().count() == 1
-
-
 def test_merge_keeps_cells_of_both(spark):
     one = spark.createDataFrame([("a", "d", "x", 1, "1")], "row_key string, family string, qualifier string, version int, value string")
     two = one.replace("a", "b", ["row_key"])
