@@ -40,7 +40,9 @@ from fileload.session import stage_table
 #: Bytes of text cut into units at a time, and those of one chunk.
 PART, CHUNK = 1 << 20, 4 << 20
 #: Units and bytes of them that a task remembers before it starts anew.
-MEMORY, MEMORY_BYTES = 250_000, 32 << 20
+MEMORY, MEMORY_BYTES = 200_000, 32 << 20
+#: Units that a tokenizer is given at a time; what it makes of each is larger by far.
+BATCH = 4096
 
 _BLANK = "▁"
 
@@ -73,9 +75,12 @@ class _Pair:
     def encode(self, units: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of units, each of which begins with a blank.  The second tokenizer
         puts that blank itself, but not before an empty text."""
-        a = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
-        b = self.b.encode([u[1:] for u in units], num_threads=1)
-        return a, [ids or [self.blank] for ids in b]
+        a, b = [], []
+        for at in range(0, len(units), BATCH):
+            some = units[at : at + BATCH]
+            a += [e.ids for e in self.a.encode_batch_fast(some, add_special_tokens=False)]
+            b += [ids or [self.blank] for ids in self.b.encode([u[1:] for u in some], num_threads=1)]
+        return a, b
 
 
 def _byte_characters() -> dict[str, int]:
