@@ -14,13 +14,13 @@ from fileload.config import STAMPS, LoadConfig
 from fileload.functions.paths import existing, exists, is_hidden, is_z, literal_glob, remove, root_of
 from fileload.operators.audit import load_audit
 from fileload.operators.line_numbers import BLOCK, ROW, blocks_of, with_line_numbers
-from fileload.operators.ledger import commit, handled, ledger, pending
+from fileload.operators.ledger import commit, ledger, marked
 from fileload.operators.manifest import manifest_parse
 from fileload.operators.records import record_parse, record_spec
 from fileload.operators.routing import lineage_stamp, size_route
 from fileload.operators.text_files import task_can_read, text_ingest_files
 from fileload.operators.unz import z_ingest, z_ingest_files
-from fileload.session import DECODE_CONF, TWO_FOLDERS_CONF, conf_scope, stage_scope
+from fileload.session import DECODE_CONF, TWO_FOLDERS_CONF, conf_scope, stage_scope, stage_table
 from fileload.sinks.detail import detail_write, job_folder
 from fileload.sources.bypath import can_open
 from fileload.sources.files import codec_text_scan, manifest_files, with_waves
@@ -142,9 +142,11 @@ def make_plan(spark: SparkSession, config: LoadConfig, manifest_path: str, wave_
     done = ledger(spark, config.ledger_path)
     if done is not None:
         # The ledger knows files by the spelling scans report.
-        usable = files.where("status = 'ok'").withColumns({"listed": F.col("path"), "path": F.col("uri")})
-        split = pending(usable, done).unionByName(handled(usable, done).withColumn("status", F.lit("already_loaded")))
-        files = files.where("status <> 'ok'").unionByName(split.withColumn("path", F.col("listed")).drop("listed"))
+        spelled = stage_table(files.withColumns({"listed": F.col("path"), "path": F.coalesce("uri", "path")}), "spelled")
+        loaded = F.col("handled") & (F.col("status") == "ok")
+        files = marked(spelled, done).withColumns(
+            {"path": F.col("listed"), "status": F.when(loaded, "already_loaded").otherwise(F.col("status"))}
+        ).drop("listed", "handled")
     # A folder per wave, so that a wave reads its own part of the plan only.
     files.hint("rebalance", "wave").write.mode("overwrite").partitionBy("wave").parquet(_plan_folder(config))
     mark = spark.createDataFrame([(_identity(spark, config, manifest_path),)], "value string")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fileload.operators.audit import load_audit
 from fileload.operators.keyed import keyed_load, latest, merge_cells
-from fileload.operators.ledger import commit, handled, ledger, pending
+from fileload.operators.ledger import commit, ledger, marked, pending, shard_of
 from fileload.operators.records import RecordSpec, fields, record_parse, record_spec, register_record
 from fileload.sinks.detail import detail_write, read_detail
 from fileload.sinks.keyed_table import KeyedTable
@@ -98,7 +98,16 @@ def test_ledger(spark, tmp_path):
         commit(path, files.where("path <> 'b'").withColumn("status", F.lit("ok")), "j1")
     assert ledger(spark, path).count() == 2
     assert [r.path for r in pending(files, ledger(spark, path)).collect()] == ["b"]
-    assert handled(files, ledger(spark, path)).count() == 2
+    assert {r.path: r.handled for r in marked(files, ledger(spark, path)).collect()} == {"a": True, "b": False, "c": True}
+    assert {r.handled for r in marked(files, None).collect()} == {False}
+    # Entered twice, a file is still one row.
+    commit(path, files.where("path = 'a'").withColumn("status", F.lit("ok")), "j9")
+    assert marked(files, ledger(spark, path)).count() == 3
+    # One scan of the ledger, of the folders its files can be in.
+    shard = files.where("path = 'a'").select(shard_of(F.col("path"))).first()[0]
+    plan = marked(files.where("path = 'a'"), ledger(spark, path))._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 1 and f"PartitionFilters: [isnotnull(shard" in scans[0] and f"= {shard})" in scans[0]
     # a file that has changed is a new input
     changed = files.withColumn("length", F.col("length") + 1)
     assert sorted(r.path for r in pending(changed, ledger(spark, path)).collect()) == ["a", "b"]
