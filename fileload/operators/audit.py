@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fileload.operators.records import BAD
@@ -40,3 +42,22 @@ def load_audit(detail_df: DataFrame, files_df: DataFrame | None = None) -> DataF
         F.max("src_length").alias("src_bytes"),
         F.element_at(names, F.coalesce(F.max("status"), F.lit(1))).alias("status"),
     )
+
+
+def content_sum(columns: Sequence[str], where: Column) -> tuple[Column, Column]:
+    """``n_rows`` and ``content`` of the rows that ``where`` picks.  ``content`` adds up
+    a hash of each row, so the order of rows does not matter, and a row that was
+    changed, lost, doubled or given to another file does."""
+    row = F.xxhash64(*columns).cast("decimal(38,0)")
+    none = F.lit(0).cast("decimal(38,0)")
+    return F.count_if(where).alias("n_rows"), F.coalesce(F.sum(F.when(where, row)), none).alias("content")
+
+
+def altered(kept: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What of ``kept`` (``keys, n_rows, content`` as written down when rows passed by)
+    the ``stored`` rows do not give again."""
+    again = stored.select(*keys, F.col("n_rows").alias("n_stored"), F.col("content").alias("__content"))
+    both = kept.join(again, list(keys), "full")
+    same = (F.coalesce("n_rows", F.lit(0)) == F.coalesce("n_stored", F.lit(0))) & F.coalesce(F.col("content") == F.col("__content"), F.lit(False))
+    nothing = (F.coalesce("n_rows", F.lit(0)) == 0) & (F.coalesce("n_stored", F.lit(0)) == 0)
+    return both.where(~(same | nothing)).select(*keys, F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.coalesce("n_stored", F.lit(0)).alias("n_stored"))

@@ -23,7 +23,7 @@ from fileload.operators.unz import z_ingest, z_ingest_files, z_lines, z_reject
 from fileload.operators.zpack import z_export
 from fileload.plans.load import run_load
 from fileload.session import stage_dir, stage_table
-from fileload.sinks.detail import detail_write, read_detail
+from fileload.sinks.detail import detail_write, job_folder, read_detail
 from fileload.sinks.keyed_table import KeyedTable
 from fileload.sinks.zfiles import write_z_files
 from fileload.sources.files import codec_text_scan, file_fetch, list_files
@@ -318,6 +318,19 @@ def q_bulk_load_audit(spark, sf_dir):
     return audit.groupBy("job_id", "record_type", "status").agg(*counts)
 
 
+def q_bulk_load_altered(spark, sf_dir):
+    """The whole job, then some values changed behind its back: the parts that no longer
+    hold what was written, though every count is right."""
+    result = _whole_job(spark, sf_dir, False)
+    changed = F.when(F.col("event_id") % 97 == 0, -F.col("value")).otherwise(F.col("value"))
+    for wave in [row.wave for row in result.written().select("wave").distinct().collect()]:
+        folder = job_folder(result.config.detail_path, "job-1", {"wave": wave, "codec": "text"})
+        rows = stage_table(spark.read.parquet(folder), "changed")
+        rows.withColumn("value", changed).write.mode("overwrite").partitionBy("kind").parquet(folder)
+    counts = [F.sum(name).alias(name) for name in ("n_rows", "n_stored")]
+    return result.altered().groupBy("codec").agg(*counts)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: run for name, run in list(globals().items()) if name.startswith("q_")
 }
@@ -380,5 +393,6 @@ SELECT event_type AS record_type, count(*) AS n_rows,
 SELECT 'job-1' AS job_id, 'events' AS record_type, 'ok' AS status, count(*) AS n_rows,
        CAST(count(*) FILTER (WHERE event_id%97 = 0) AS BIGINT) AS n_bad FROM events
 """,
+    "bulk_load_altered": "SELECT 'text' AS codec, count(*) AS n_rows, count(*) AS n_stored FROM events WHERE user_id % 2 = 0",
     "bulk_load": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
 }

@@ -6,17 +6,17 @@ import json
 from dataclasses import asdict, dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fileload.config import STAMPS, LoadConfig
 from fileload.functions.paths import existing, exists, is_hidden, is_z, literal_glob, remove, root_of
-from fileload.operators.audit import load_audit
+from fileload.operators.audit import altered, content_sum, load_audit
 from fileload.operators.line_numbers import BLOCK, ROW, blocks_of, with_line_numbers
 from fileload.operators.ledger import commit, ledger, marked
 from fileload.operators.manifest import manifest_parse
-from fileload.operators.records import record_parse, record_spec
+from fileload.operators.records import BAD, record_parse, record_spec
 from fileload.operators.routing import lineage_stamp, size_route
 from fileload.operators.text_files import task_can_read, text_ingest_files
 from fileload.operators.unz import z_ingest, z_ingest_files
@@ -40,18 +40,19 @@ class LoadResult:
     spark: SparkSession
     config: LoadConfig
 
-    def _written(self) -> DataFrame:
+    def written(self) -> DataFrame:
+        """All rows the job has written, of lines and of files."""
         return _written(self.spark, self.config).withColumn("job_id", F.lit(self.config.job_id))
 
     def detail(self) -> DataFrame:
         """The typed rows, each with the number of its line."""
-        rows = self._written().where("kind = 'line'").drop("kind", "codec", "wave", *FILE_COLUMNS)
+        rows = self.written().where("kind = 'line'").drop("kind", "codec", "wave", *FILE_COLUMNS)
         return with_line_numbers(rows, _blocks(self.spark, self.config))
 
     def files(self) -> DataFrame:
         """One row per manifest path with what became of it."""
         same = self.config.record_type
-        read = self._written().where("kind = 'file'")
+        read = self.written().where("kind = 'file'")
         loaded = read.select("job_id", "src_path", "src_length", "src_mtime", *FILE_COLUMNS)
         others = plan(self.spark, self.config).where("status <> 'ok'")
         others = others.select(
@@ -65,9 +66,20 @@ class LoadResult:
 
     def audit(self) -> DataFrame:
         """Row, bad row and byte counts per file, from the written tables."""
-        detail = self._written().where("kind = 'line'").withColumn("record_type", F.lit(self.config.record_type))
+        detail = self.written().where("kind = 'line'").withColumn("record_type", F.lit(self.config.record_type))
         return load_audit(detail, self.files())
 
+    def altered(self) -> DataFrame:
+        """Parts of the job (``wave, codec``) whose stored rows are not the rows that
+        passed by when they were written: ``n_rows`` then, ``n_stored`` now.  Unlike
+        counts, this sees a row that was changed or exchanged for another."""
+        line = F.col("kind") == "line"
+        stored = _written(self.spark, self.config).groupBy("wave", "codec").agg(*content_sum(_content(self.config), line))
+        folder = _part_folder(self.config, "_checks")
+        if not exists(self.spark, folder):
+            return altered(self.spark.createDataFrame([], CHECKS), stored, ["wave", "codec"])
+        return altered(self.spark.read.schema(CHECKS).parquet(folder), stored, ["wave", "codec"])
+
     def miscounted(self, expected_col: str) -> DataFrame:
         """Files whose rows are not as many as a manifest field says, the one way
         to see that a ``.Z`` file was cut short.  Files this job did not read, since
@@ -84,14 +96,23 @@ def _written(spark: SparkSession, config: LoadConfig, **scope: int) -> DataFrame
     return spark.read.schema(schema).parquet(folder) if exists(spark, folder) else spark.createDataFrame([], schema)
 
 
-def _blocks_folder(config: LoadConfig, scope: dict[str, int] | None = None) -> str:
-    return job_folder(f"{config.detail_path.rstrip('/')}/_blocks", config.job_id, scope)
+CHECKS = "codec string, n_rows bigint, content decimal(38,0), wave int"
+
+
+def _part_folder(config: LoadConfig, part: str, scope: dict[str, int] | None = None) -> str:
+    """Where what belongs to a job's detail rows is kept beside them."""
+    return job_folder(f"{config.detail_path.rstrip('/')}/{part}", config.job_id, scope)
+
+
+def _content(config: LoadConfig) -> list[str]:
+    """Columns that make up a row's content."""
+    return [*record_spec(config.record_type).schema.names, BAD, "line_no", BLOCK, ROW, "src_path"]
 
 
 def _blocks(spark: SparkSession, config: LoadConfig) -> DataFrame:
     """How many lines come before each block of the text files."""
     schema = "src_path string, block bigint, first_row bigint, lines_before bigint"
-    folder = _blocks_folder(config)
+    folder = _part_folder(config, "_blocks")
     return spark.read.schema(schema).parquet(folder) if exists(spark, folder) else spark.createDataFrame([], schema)
 
 
@@ -213,11 +234,16 @@ def _load_wave(
     for row in usable.where(~by_path).select("path").toLocalIterator():
         (zs if row.path.endswith(".Z") else texts).append(literal_glob(row.path))
 
+    checks = []
+
     def write(rows: DataFrame, codec: str, conf: dict[str, str]) -> None:
-        parsed = lineage_stamp(record_parse(rows, config.record_type), config.job_id)
-        scope = {"wave": wave, "codec": codec}
+        places = {name: F.lit(None).cast("bigint") for name in (BLOCK, ROW) if name not in rows.columns}
+        parsed = lineage_stamp(record_parse(rows.withColumns(places), config.record_type), config.job_id)
+        scope, passing = {"wave": wave, "codec": codec}, Observation()
+        observed = parsed.observe(passing, *content_sum(_content(config), F.col("kind") == "line"))
         with conf_scope(spark, {**TWO_FOLDERS_CONF, **conf}):
-            detail_write(parsed, config.detail_path, config.job_id, ["kind"], config.max_records_per_file, scope)
+            detail_write(observed, config.detail_path, config.job_id, ["kind"], config.max_records_per_file, scope)
+        checks.append((codec, passing.get["n_rows"], passing.get["content"], wave))
 
     # A bad file has no lines to drop, and its status row stays in any mode.
     mode = "FAILFAST" if config.mode.upper() == "FAILFAST" else "PERMISSIVE"
@@ -246,8 +272,10 @@ def _load_wave(
         write(rows.withColumns({name: F.lit(None).cast("bigint") for name in unknown}), "text", {})
     if texts:
         written = _written(spark, config, wave=wave).where("kind = 'line'")
-        blocks_of(written).write.mode("overwrite").parquet(_blocks_folder(config, {"wave": wave}))
+        blocks_of(written).write.mode("overwrite").parquet(_part_folder(config, "_blocks", {"wave": wave}))
     status = _written(spark, config, wave=wave).where("kind = 'file' and status <> 'missing'").withColumnsRenamed(
         {"src_path": "path", "src_length": "length", "src_mtime": "modificationTime"}
     )
+    kept = spark.createDataFrame(checks, CHECKS).drop("wave").coalesce(1)
+    kept.write.mode("overwrite").parquet(_part_folder(config, "_checks", {"wave": wave}))
     commit(config.ledger_path, status, config.job_id, wave)

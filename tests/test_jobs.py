@@ -1,5 +1,7 @@
 import os
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from fileload.config import LoadConfig
@@ -85,6 +87,41 @@ def test_run_load(spark, place, wave_files):
     assert len(waves) == 1 if wave_files > 4 else len(waves) > 1
 
 
+@pytest.mark.parametrize("what", ["value", "exchanged", "lost", "nothing"])
+def test_altered_rows_are_reported(spark, place, what):
+    """Counts of an altered table may be right; its content is not."""
+    result = run_load(spark, config(place), str(place / "manifest"))
+    assert result.altered().count() == 0
+    parts = {p.parent.parent.name: p for p in (place / "detail").rglob("kind=line/*.parquet")}
+    text, packed = parts["codec=text"], parts["codec=z-path"]
+
+    def change(path, row, **values):
+        table = pq.read_table(path, partitioning=None)
+        rows = table.to_pylist()
+        rows[row].update(values)
+        rows = rows if what != "lost" else rows[1:]
+        path.with_name(f".{path.name}.crc").unlink()
+        pq.write_table(pa.Table.from_pylist(rows, table.schema), path)
+
+    if what in ("value", "lost"):
+        change(text, 0, v=77)
+    elif what == "exchanged":
+        # One row's file name and another's: every count is as it was.
+        first = pq.read_table(packed, partitioning=None).to_pylist()[0]["src_path"]
+        second = pq.read_table(text, partitioning=None).to_pylist()[0]["src_path"]
+        change(text, 0, src_path=first)
+        change(packed, 0, src_path=second)
+    found = {r.codec: (r.n_rows, r.n_stored) for r in result.altered().collect()}
+    assert found == {
+        "value": {"text": (3, 3)},
+        "exchanged": {"text": (3, 3), "z-path": (2, 2)},
+        "lost": {"text": (3, 2)},
+        "nothing": {},
+    }[what]
+    if what == "exchanged":
+        assert audit(result) == STATUS
+
+
 def test_same_job_again_changes_nothing(spark, place):
     first = run_load(spark, config(place), str(place / "manifest"), 4)
     before = {p: p.stat().st_mtime_ns for p in (place / "detail").rglob("*.parquet")}

@@ -51,7 +51,7 @@ def test_numbers_in_a_job(spark, split_files, monkeypatch, most):
     monkeypatch.setattr(line_numbers, "BROADCAST_BLOCKS", most)
     cfg = config(split_files, record_type="numbered", max_file_size=1 << 40)
     result = run_load(spark, cfg, str(split_files / "manifest"), wave_files=3)
-    blocks = result._written().where(F.col(BLOCK).isNotNull()).groupBy("src_path").agg(F.count_distinct(BLOCK).alias("n"))
+    blocks = result.written().where(F.col(BLOCK).isNotNull()).groupBy("src_path").agg(F.count_distinct(BLOCK).alias("n"))
     by_name = {r.src_path.rsplit("/", 1)[1]: r.n for r in blocks.collect()}
     assert by_name["plain.txt"] > 4 and by_name["packed.bz2"] > 1
     check(result.detail())
