@@ -86,7 +86,9 @@ FROM split s LEFT JOIN kept k USING (doc_id)
 
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return minhash.near_duplicates(docs, width=4).select("doc_id", "n_shingles", "component_id", "kept")
+    found = minhash.near_duplicates(docs, width=4)
+    # Of rows under one id none is told apart here.
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
