@@ -38,9 +38,9 @@ from fileload.llm.text import col, lists, map_texts, process_cache, ragged, slic
 from fileload.session import stage_table
 
 #: Bytes of text cut into units at a time, and those of one chunk.
-PART, CHUNK = 1 << 20, 4 << 20
+PART, CHUNK = 1 << 19, 2 << 20
 #: Units and bytes of them that a task remembers before it starts anew.
-MEMORY, MEMORY_BYTES = 200_000, 32 << 20
+MEMORY, MEMORY_BYTES = 160_000, 16 << 20
 #: Units that a tokenizer is given at a time; what it makes of each is larger by far.
 BATCH = 4096
 
