@@ -6,11 +6,14 @@ offers j + r to the j-th slot.  All elements of a text take a level together, an
 the text stops once every slot is filled, since later levels offer only more.
 
 Documents with equal sets form a class first (128-bit fingerprints of whole sets).
-Classes that share a band meet in a bucket; pairs are checked on full sets.  In each
-round up to 2**round members of a bucket, its centres, are compared with all members
-of other components and then leave it; the links found merge components.  A bucket is
-done when what is left in it is one component, so no link between components of a
-bucket is lost, while near copies of one text cost a comparison or two each.
+Classes that share a band meet in a bucket; pairs are checked on full sets.  A random
+sample of nodes, larger in each round, is compared with all members of other components
+in its buckets, and the links found merge components: most near copies of one text are
+one component after a few comparisons each.  The last round compares every member that
+is outside of the largest component of its bucket with all members of other components,
+so every pair of a bucket that is not connected by then is compared.  Each class
+carries the parities of its hashes in 512 cells: two sets differ in at least as many
+elements as in parities, which rules out most pairs inside the join, without a mistake.
 
 Cases: a null or empty text has an empty set and links with nothing; fewer words than
 a shingle are one shingle; a null id counts as larger than all, and its component is
@@ -29,11 +32,15 @@ from pyspark.sql.types import ArrayType, BooleanType, LongType, StructField, Str
 
 from fileload.llm.graph import components
 from fileload.llm.text import LAST_ID, Words, col, keyed, lists, map_texts, mix64, without
-from fileload.session import stage_table
+from fileload.session import stage_dir, stage_scope, stage_table
 
-#: At a similarity of 0.8 a pair misses all bands with a chance of (1 - 0.8**4)**32, 5e-8.
-BANDS, ROWS = 32, 4
+#: At a similarity of 0.8 a pair misses all bands with a chance of (1 - 0.8**4)**24, 3e-6.
+BANDS, ROWS = 24, 4
 SLOTS = BANDS * ROWS
+#: 64-bit words of parities.
+CELLS = 8
+#: Centres wanted in the largest bucket in the first round, and their growth by round.
+CENTRES, GROWTH = 2, 8
 
 SIGNATURE = StructType(
     [
@@ -41,6 +48,7 @@ SIGNATURE = StructType(
         StructField("s1", LongType()),
         StructField("s2", LongType()),
         StructField("bands", ArrayType(LongType())),
+        *(StructField(f"p{i}", LongType()) for i in range(CELLS)),
     ]
 )
 _U = np.uint64
@@ -95,8 +103,18 @@ def superminhash(keys: np.ndarray, counts: np.ndarray, slots: int = SLOTS) -> np
     return signature.reshape(n, slots)
 
 
+def parities(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """For each set, given flat, whether the number of hashes in a cell is odd: a row
+    of ``CELLS`` words of 64 cells."""
+    words = np.zeros(len(counts) * CELLS, np.uint64)
+    cell = mix64(keys ^ _U(0xA24BAED4963EE407)) % _U(64 * CELLS)
+    at = np.repeat(np.arange(len(counts)), counts) * CELLS + (cell >> _U(6)).astype(np.int64)
+    np.bitwise_xor.at(words, at, _U(1) << (cell & _U(63)))
+    return words.reshape(-1, CELLS)
+
+
 def signatures(docs: DataFrame, width: int, text_col: str) -> DataFrame:
-    """``docs`` with the size and fingerprint of each set and its band keys."""
+    """``docs`` with the size, fingerprint and parities of each set and its band keys."""
 
     def run(texts):
         keys, counts = shingle_sets(texts, width)
@@ -117,6 +135,7 @@ def signatures(docs: DataFrame, width: int, text_col: str) -> DataFrame:
             pa.array(sums[0]),
             pa.array(sums[1]),
             lists(pa.array(bands.astype(np.int64).ravel()), some * BANDS),
+            *(pa.array(np.ascontiguousarray(c).view(np.int64)) for c in parities(keys, counts).T),
         ]
 
     return map_texts(docs, text_col, SIGNATURE, run, slice_bytes=1 << 20, keep_text=False)
@@ -163,71 +182,98 @@ def _is_root():
 def _labelled(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """``docs`` without the text, with ``n_shingles``, ``__id``, ``__th`` and ``__root``,
     the smallest (``__id``, ``__th``) of the component."""
-    # Ids, fingerprints and bands leave the texts behind; texts come back for members
-    # of shared buckets only.
+    spark = docs.sparkSession
     rows = keyed(docs, id_col, text_col)
     signed = stage_table(signatures(rows, width, text_col), "signatures")
     found = signed.where("n_shingles > 0")
     # Numbered once written: an id may stand for several classes.
     classes = found.groupBy("s1", "s2").agg(F.min(F.struct("__id", "__th")).alias("first"))
     classes = stage_table(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    # What is made on the way goes once the components are written.
+    path = stage_dir(spark, "components")
+    with stage_scope(spark):
+        linked = _linked(docs, found, classes, width, percent, id_col, text_col)
+        linked.write.mode("overwrite").parquet(path)
+    linked = spark.read.schema("node long, comp long").parquet(path)
+
+    # Nodes are mere numbers; a component goes by the smallest row in it.
+    nodes = linked.union(linked.select("comp", "comp").distinct())
+    nodes = stage_table(nodes.join(classes.select("node", "first"), "node"), "nodes")
+    named = nodes.join(nodes.groupBy("comp").agg(F.min("first").alias("least")), "comp").select("node", "least")
+    classes = classes.join(named, "node", "left").select("s1", "s2", F.coalesce("least", "first").alias("root"))
+    result = signed.drop("bands", *_PARITIES).join(classes, ["s1", "s2"], "left")
+    own = F.when(F.col("n_shingles") > 0, F.col("root")).otherwise(F.struct("__id", "__th"))
+    return result.withColumn("__root", own)
+
+
+_PARITIES = [f"p{i}" for i in range(CELLS)]
+
+
+def _linked(docs: DataFrame, found: DataFrame, classes: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """``node, comp`` of all nodes that are not the smallest of their component."""
     # All rows of a class have the same bands: its smallest row carries them.
     firsts = classes.select("s1", "s2", F.col("first.__id").alias("__id"), F.col("first.__th").alias("__th"), "node")
-    members = found.join(firsts, ["s1", "s2", "__id", "__th"]).select("node", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("bucket")
-    members = stage_table(members.join(shared, "bucket").distinct(), "buckets")
-    # Who shares buckets with many is most likely linked to many: those come first.
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("size"))
-    crowd = members.join(sizes, "bucket").groupBy("node").agg(F.sum("size").alias("crowd"))
-    members = stage_table(members.join(crowd, "node").withColumn("comp", F.col("node")), "members")
-    wanted = firsts.join(members.select("node").distinct(), "node", "left_semi").select("__id", "__th", "node")
+    each = found.join(firsts, ["s1", "s2", "__id", "__th"]).dropDuplicates(["node"])
+    each = stage_table(each.select("node", "__id", "__th", F.col("n_shingles").alias("n"), *_PARITIES, "bands"), "each")
+    banded = each.select("node", F.explode("bands").alias("bucket"))
+    shared = stage_table(banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "shared")
+    largest = shared.agg(F.max("size")).first()[0]
+    if largest is None:
+        return docs.sparkSession.createDataFrame([], "node long, comp long")
+    # A node keeps its shared buckets, at most one a band, in one row.
+    met = banded.join(shared, "bucket", "left_semi").groupBy("node").agg(F.collect_list("bucket").alias("buckets"))
+    turn = (F.pmod(F.xxhash64("node"), F.lit(1 << 40)) / F.lit(float(1 << 40))).alias("turn")
+    nodes = stage_table(each.drop("bands").join(met, "node").withColumns({"turn": turn}), "members")
+    # Texts come back for members of shared buckets only.
     plain = keyed(docs.select(col(id_col), col(text_col).cast("string").alias("__text")), id_col, "__text")
-    texts = plain.select("__id", "__th", "__text").join(wanted, ["__id", "__th"])
+    texts = plain.select("__id", "__th", "__text").join(nodes.select("__id", "__th", "node"), ["__id", "__th"])
     texts = stage_table(texts.groupBy("node").agg(F.min("__text").alias("text")), "texts")
+    nodes = nodes.drop("__id", "__th")
 
-    linked = None
-    tested = docs.sparkSession.createDataFrame([], "a long, b long")
-    tries = 1
+    linked = docs.sparkSession.createDataFrame([], "node long, comp long")
+    low, high = 0.0, CENTRES / largest
     while True:
-        # A bucket whose members are of one component has nothing left to find.
-        open_buckets = members.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("bucket")
-        members = members.join(open_buckets, "bucket", "left_semi")
-        if open_buckets.isEmpty():
-            break
-        # One centre for each salt: partial maxima, no sorted group.
-        salt = F.pmod(F.xxhash64("node", F.lit(tries)), F.lit(tries)).alias("salt")
-        centres = members.groupBy("bucket", salt).agg(F.max_by("node", "crowd").alias("centre"), F.max_by("comp", "crowd").alias("own")).drop("salt")
+        last = high > 0.6
+        placed = nodes.join(linked, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        placed = stage_table(placed, "placed")
+        members = placed.withColumn("bucket", F.explode("buckets")).drop("buckets", "turn")
+        if last:
+            weighed = placed.join(placed.groupBy("comp").agg(F.count("*").alias("weight")), "comp")
+            weighed = weighed.select("comp", "weight", F.explode("buckets").alias("bucket"))
+            main = weighed.groupBy("bucket").agg(F.max_by("comp", "weight").alias("main"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+            # Where all are one component nothing is left to find.
+            main = stage_table(main.where("lo < hi").select(F.col("bucket").alias("of"), "main"), "main")
+            centres = members.join(main, (F.col("bucket") == F.col("of")) & (F.col("comp") != F.col("main")))
+        else:
+            centres = placed.where((F.col("turn") >= low) & (F.col("turn") < high))
+            centres = centres.withColumn("bucket", F.explode("buckets")).withColumn("main", F.lit(-1).cast("long"))
+        centres = centres.select("main", *(F.col(c).alias(f"c_{c}") for c in ("bucket", "node", "comp", "n", *_PARITIES)))
+        # Written, so that Spark knows its size before it picks the kind of join.
         centres = stage_table(centres, "centres")
-        pairs = members.join(centres, "bucket").where("comp <> own")
-        pairs = pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-        pairs = stage_table(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested = tested.union(pairs)
+        pairs = members.join(centres, (F.col("bucket") == F.col("c_bucket")) & _possible(percent))
+        pairs = pairs.select(F.least("node", "c_node").alias("a"), F.greatest("node", "c_node").alias("b")).distinct()
+        pairs = stage_table(pairs, "pairs")
         with_texts = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(
             texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"
         )
         links = stage_table(_similar(with_texts, width, percent).where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
-        # Centres have met all members of their buckets.
-        members = members.join(centres.select("bucket", F.col("centre").alias("node")), ["bucket", "node"], "left_anti")
         if not links.isEmpty():
-            linked = components(links if linked is None else linked.union(links)).select(F.col("node").alias("u"), F.col("component").alias("v"))
-            members = members.drop("comp").join(linked.withColumnRenamed("u", "node"), "node", "left").select(
-                "bucket", "node", "crowd", F.coalesce("v", "node").alias("comp")
-            )
-        members = stage_table(members, "members")
-        tries *= 2
-
-    if linked is not None:
-        # Nodes are mere numbers; a component goes by the smallest row in it.
-        nodes = linked.select(F.col("u").alias("node"), F.col("v").alias("comp"))
-        nodes = nodes.union(linked.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
-        nodes = stage_table(nodes.join(classes.select("node", "first"), "node"), "nodes")
-        named = nodes.join(nodes.groupBy("comp").agg(F.min("first").alias("least")), "comp").select("node", "least")
-        classes = classes.join(named, "node", "left").select("s1", "s2", F.coalesce("least", "first").alias("root"))
-    else:
-        classes = classes.select("s1", "s2", F.col("first").alias("root"))
-    result = signed.drop("bands").join(classes, ["s1", "s2"], "left")
-    own = F.when(F.col("n_shingles") > 0, F.col("root")).otherwise(F.struct("__id", "__th"))
-    return result.withColumn("__root", own)
+            edges = links.union(linked.select(F.col("node").alias("u"), F.col("comp").alias("v")))
+            linked = components(edges).withColumnRenamed("component", "comp")
+        if last:
+            return linked
+        low, high = high, high * GROWTH
+
+
+def _possible(percent: int):
+    """Whether a member and a centre of its bucket are of two components and may link,
+    by their sizes and parities; of two that are both outside of the main component,
+    and so both centres, the larger node meets the smaller."""
+    differ = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"c_{p}"))) for p in _PARITIES[1:]), F.bit_count(F.col("p0").bitwiseXOR(F.col("c_p0"))))
+    differ = F.greatest(differ.cast("long"), F.abs(F.col("n") - F.col("c_n")))
+    near = (100 + percent) * differ <= (100 - percent) * (F.col("n") + F.col("c_n"))
+    once = (F.col("main") < 0) | (F.col("comp") == F.col("main")) | (F.col("node") < F.col("c_node"))
+    return (F.col("comp") != F.col("c_comp")) & once & near
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
