@@ -59,7 +59,8 @@ class LoadConfig:
     ``oversize_path`` and not loaded.  A file in the ledger counts as loaded, so
     tables of different record types need ledgers of their own.
     ``archive_path`` is used by the incremental job only.  ``layout`` names the
-    fields of a manifest line and ``base_uri`` resolves paths without a scheme."""
+    fields of a manifest line and ``base_uri`` resolves paths without a scheme.
+    ``max_bytes_per_file`` bounds detail files and costs a shuffle of the rows."""
 
     record_type: str
     max_file_size: int
@@ -74,6 +75,7 @@ class LoadConfig:
     sep: str = ":"
     mode: str = "PERMISSIVE"
     max_records_per_file: int | None = None
+    max_bytes_per_file: int | None = None
 
     def __post_init__(self):
         check_names(self.record_type)

@@ -129,6 +129,9 @@ def _identity(spark: SparkSession, config: LoadConfig, manifest_path: str) -> st
     """Tells a job's manifest (its lines, in any order) and settings from others."""
     lines = manifest_scan(spark, manifest_path).agg(F.count("*"), F.sum(F.xxhash64("value").cast("decimal(38,0)"))).first()
     settings = {**asdict(config), "layout": list(config.layout)}
+    if config.max_bytes_per_file is None:
+        # Jobs planned before there was this setting go on.
+        del settings["max_bytes_per_file"]
     return json.dumps({"lines": str(lines[0]), "sum": str(lines[1]), **settings}, sort_keys=True)
 
 
@@ -242,7 +245,10 @@ def _load_wave(
         scope, passing = {"wave": wave, "codec": codec}, Observation()
         observed = parsed.observe(passing, *content_sum(_content(config), F.col("kind") == "line"))
         with conf_scope(spark, {**TWO_FOLDERS_CONF, **conf}):
-            detail_write(observed, config.detail_path, config.job_id, ["kind"], config.max_records_per_file, scope)
+            detail_write(
+                observed, config.detail_path, config.job_id, ["kind"], config.max_records_per_file, scope,
+                max_bytes_per_file=config.max_bytes_per_file,
+            )
         checks.append((codec, passing.get["n_rows"], passing.get["content"], wave))
 
     # A bad file has no lines to drop, and its status row stays in any mode.

@@ -3,6 +3,7 @@ import os
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from fileload.config import LoadConfig
 from fileload.functions import lzw
@@ -87,6 +88,21 @@ def test_run_load(spark, place, wave_files):
     assert len(waves) == 1 if wave_files > 4 else len(waves) > 1
 
 
+def test_run_load_into_files_of_bounded_bytes(spark, place):
+    """The shuffle that sizes files changes neither rows, numbers of lines nor sums."""
+    most = 64 << 10
+    lines = [f"{os.urandom(40).hex()}|{i}" for i in range(8000)]
+    (place / "in" / "plain.txt").write_text("\n".join(lines) + "\n")
+    (place / "in" / "packed.Z").write_bytes(lzw.encode(("\n".join(lines[:3000]) + "\n").encode()))
+    result = run_load(spark, config(place, max_file_size=1 << 30, max_bytes_per_file=most), str(place / "manifest"))
+    sizes = [p.stat().st_size for p in (place / "detail").rglob("kind=line/*.parquet")]
+    assert max(sizes) <= 1.2 * most and len(sizes) < 100
+    for name, n in (("plain.txt", 8000), ("packed.Z", 3000)):
+        got = result.detail().where(F.col("src_path").endswith(name)).select("line_no", "k", "v").collect()
+        assert sorted((r.line_no, f"{r.k}|{r.v}") for r in got) == list(enumerate(lines[:n]))
+    assert result.altered().count() == 0
+
+
 @pytest.mark.parametrize("what", ["value", "exchanged", "lost", "nothing"])
 def test_altered_rows_are_reported(spark, place, what):
     """Counts of an altered table may be right; its content is not."""

@@ -72,6 +72,30 @@ def test_parse_is_one_narrow_stage(spark, tmp_path):
     assert "Exchange" not in plan and "Python" not in plan and plan.count("split(") == 1
 
 
+@pytest.mark.parametrize("tasks", [1, 3])
+def test_detail_files_are_bounded_in_bytes(spark, tmp_path, tasks):
+    # Half a value's rows are short, the rest up to 40 KB that no codec makes smaller;
+    # one value holds nearly all rows.
+    short = F.sha2(F.col("id").cast("string"), 512)
+    long = F.concat(*[F.sha2(F.concat("id", F.lit(f"-{i}")), 512) for i in range(160)])
+    rows = spark.range(0, 1500, 1, tasks).select(
+        F.when(F.col("id") % 50 == 0, F.col("id") % 7).otherwise(0).alias("kind"),
+        F.when(F.col("id") % 2 == 0, short).otherwise(long).alias("text"),
+    )
+    most = 1 << 20
+    path = str(tmp_path / "detail")
+    detail_write(rows, path, "j1", ["kind"], max_bytes_per_file=most)
+    sizes = [f.stat().st_size for f in (tmp_path / "detail").rglob("*.parquet")]
+    assert max(sizes) <= 1.2 * most
+    # Nor are they crumbs: most of the bytes are in files of at least half the limit.
+    assert sum(x for x in sizes if x >= most / 2) > sum(sizes) / 2
+    written = read_detail(spark, path).select("kind", "text")
+    assert written.exceptAll(rows).isEmpty() and rows.exceptAll(written).isEmpty()
+    detail_write(rows.limit(0), path, "j2", ["kind"], max_bytes_per_file=most)
+    with pytest.raises(ValueError):
+        detail_write(rows, path, "j3", max_bytes_per_file=10)
+
+
 def test_detail_write_replaces_its_own_job_only(spark, tmp_path):
     path = str(tmp_path / "detail")
     rows = spark.range(10).withColumn("kind", F.col("id") % 2)
