@@ -109,6 +109,34 @@ def test_near_duplicates_of_a_chain_and_a_crowd(spark):
     assert rows(got, "doc_id", "n_shingles", "component_id", "kept") == sorted(map(repr, near(chain + crowd, 4)))
 
 
+def test_near_duplicates_of_copies_around_the_threshold(spark):
+    """Groups in which some copies link, some only over others and some with nobody."""
+    rng = np.random.default_rng(5)
+    docs = []
+    for group, copies in enumerate((70, 12, 3)):
+        base = [f"g{group}w{i}" for i in range(150)]
+        for _ in range(copies):
+            words = list(base)
+            for at in rng.choice(150, rng.integers(0, 7), replace=False):
+                words[at] = f"x{rng.integers(10**9)}"
+            docs.append((len(docs) * 3, " ".join(words)))
+    want = near(docs, 4)
+    of = [c for _, _, c, _ in want]
+    assert 0 < sum(of.count(c) == 1 for c in of) < len(docs) / 2
+    got = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), 4)
+    assert rows(got, "doc_id", "n_shingles", "component_id", "kept") == sorted(map(repr, want))
+
+
+def test_parities_never_exceed_the_difference():
+    rng = np.random.default_rng(6)
+    for size, changed in ((1, 0), (1, 1), (100, 11), (100, 60), (3000, 900)):
+        a = rng.integers(0, 2**63, size).astype(np.uint64)
+        b = np.r_[a[changed:], rng.integers(0, 2**63, changed).astype(np.uint64)]
+        p = minhash.parities(np.r_[a, b], np.array([len(a), 0, len(b)]))
+        differ = int(np.bitwise_count(p[0] ^ p[2]).sum())
+        assert differ <= len(set(a.tolist()) ^ set(b.tolist())) and not p[1].any()
+
+
 def test_near_duplicates_of_empty_tables(hard):
     assert minhash.near_duplicates(hard.limit(0)).count() == 0
     assert minhash.near_duplicates(hard.where("doc_id = 2")).count() == 1
