@@ -243,6 +243,29 @@ def test_a_load_writes_what_it_brings(spark, tmp_path):
     assert stored.cells().where("version = 2").count() == 20 and stored.cells().count() == 50_000
 
 
+def test_a_load_reads_nothing_of_earlier_loads(spark, tmp_path):
+    # Equal versions: the later load wins, though its value is the smaller one.
+    stored, kept = KeyedTable(spark, str(tmp_path / "t"), 4), {}
+    for n in range(3):
+        batch = spark.createDataFrame([("a", 1, f"v{3 - n}"), (f"b{n}", 1, "x")], "k string, v int, x string")
+        if n == 2:
+            kept = {p: p.read_bytes() for p in (tmp_path / "t").rglob("*.parquet")}
+            for file in kept:
+                file.write_bytes(b"not to be opened")
+        stored.load(keyed_load(None, batch, "k", "v", ["x"]))
+    for file, content in kept.items():
+        file.write_bytes(content)
+    for crc in (tmp_path / "t").rglob(".*.crc"):
+        crc.unlink()
+    assert as_set(stored.cells()) == {("a", "x", 1, "v1"), *((f"b{n}", "x", 1, "x") for n in range(3))}
+    # A load that did not end is no load, also where another session reads.
+    torn = next((tmp_path / "t").glob("cells-*/load=3-*")) / "_SUCCESS"
+    torn.unlink()
+    again = KeyedTable(spark, str(tmp_path / "t"))
+    spark.sql(f"DROP TABLE {stored._name(stored._generation()[2])}")
+    assert as_set(again.cells()) == {("a", "x", 1, "v2"), ("b0", "x", 1, "x"), ("b1", "x", 1, "x")}
+
+
 def test_value_type_is_fixed(spark, tmp_path):
     stored = KeyedTable(spark, str(tmp_path / "t"))
     rows = spark.createDataFrame([("a", 1, 5, "x"), (None, 1, 6, "y")], "k string, v int, n int, s string")
