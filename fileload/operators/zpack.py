@@ -14,6 +14,8 @@ from fileload.session import stage_table
 
 OUTPUT = "shard string, part bigint, content binary, n_lines bigint, n_bytes bigint"
 PART_BYTES = 32 << 20
+#: Lines of a part that are held as text at a time.
+HELD_LINES = 512
 
 
 def z_export(
@@ -57,26 +59,33 @@ def z_export(
 
     def encode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId() << 32
-        shard, held, size = None, [], 0
+        shard, encoder, held, n_lines, size = None, None, [], 0, 0
 
         def payload():
-            text = b"".join(held)
-            values = [[shard], [part], [lzw.encode(text)], [len(held) // 2], [len(text)]]
+            encoder.add(b"".join(held))
+            values = [[shard], [part], [encoder.close()], [n_lines], [size]]
             kinds = [pa.string(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
             return pa.RecordBatch.from_arrays(
                 [pa.array(v, k) for v, k in zip(values, kinds)], ["shard", "part", "content", "n_lines", "n_bytes"]
             )
 
         for batch in batches:
-            lines = batch.column(1).cast(pa.binary())
-            for name, raw in zip(batch.column(0).to_pylist(), lines.to_pylist()):
-                if held and (name != shard or size >= part_bytes):
-                    yield payload()
-                    part, held, size = part + 1, [], 0
-                shard = name
-                held += (raw, b"\n")
-                size += len(raw) + 1
-        if held:
+            for start in range(0, batch.num_rows, HELD_LINES):
+                rows = batch.slice(start, HELD_LINES)
+                for name, raw in zip(rows.column(0).to_pylist(), rows.column(1).cast(pa.binary()).to_pylist()):
+                    if encoder and (name != shard or size >= part_bytes):
+                        yield payload()
+                        part, encoder, held = part + 1, None, []
+                    if encoder is None:
+                        shard, encoder, n_lines, size = name, lzw.Encoder(), 0, 0
+                    held += (raw, b"\n")
+                    n_lines += 1
+                    size += len(raw) + 1
+                # The text goes as it is encoded; a part is held as codes only.
+                if encoder:
+                    encoder.add(b"".join(held))
+                    held = []
+        if encoder:
             yield payload()
 
     return rows.select("shard", "line").mapInArrow(encode_batches, OUTPUT)

@@ -3,6 +3,7 @@
 import random
 import shutil
 import subprocess
+import tracemalloc
 
 import pytest
 from hypothesis import given, settings
@@ -229,3 +230,21 @@ def test_an_open_file_is_read_in_pieces():
     assert file.most < 1 << 18
     with pytest.raises(EOFError):
         list(lzw.decode(lzw.Opened(File(payload[:-50]), len(payload), 1 << 12), 16, True))
+
+
+def test_encoding_holds_no_text():
+    # In pieces of any length the payload is that of the whole text, and while it is
+    # encoded less is held than a third of the text.
+    chance, text = random.Random(3), WORDS * 12
+    tracemalloc.start()
+    encoder, at = lzw.Encoder(), 0
+    while at < len(text):
+        step = chance.choice([1, 777, 10_000, 65_537])
+        encoder.add(text[at : at + step])
+        at += step
+    payload = encoder.close()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert payload == lzw.encode(text) and unpack(payload) == text
+    table = 16 << 20  # of 65,536 phrases, at any length of the text
+    assert peak < table + len(text) // 3
