@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, ShortType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, LongType, ShortType, StructField, StructType
 
 from fileload.llm.text import LAST_ID, Words, _BASES, _VALUES, col, emit_texts, keyed, lists, range_hash
 from fileload.session import stage_table
@@ -39,11 +39,18 @@ ROUNDS = 14
 #: Pseudo-counts of the overall distribution in each state's.
 SMOOTHING = 50.0
 SLICE = 6 << 20
-#: Symbols of so many texts, or of one longer text, are counted together.
-SLICE_SYMBOLS = 1 << 20
+#: Forward values are scaled after so many steps; a step takes some twenty decimal
+#: places at most, and a double has three hundred.
+SCALED = 8
+#: Symbols of texts that are counted together (or of one longer text): so many, and more
+#: where texts are so long that a step would have few of them.
+SLICE_SYMBOLS, MOST_SYMBOLS, STEP_TEXTS = 1 << 18, 1 << 20, 512
+#: Slices in a stored file, some 32 MB.
+FILE_SLICES = 64
 
 _COUNTS = StructType([StructField("h", LongType()), StructField("class", IntegerType()), StructField("c", LongType())])
 _SYMBOLS = StructType([StructField("symbols", ArrayType(ShortType()))])
+_STEPS = StructType([StructField("symbols", BinaryType()), StructField("going", BinaryType())])
 _SUMS = StructType([StructField("cell", IntegerType()), StructField("value", DoubleType())])
 _PARTS = StructType(
     [
@@ -163,61 +170,79 @@ class Model:
 
 class Sequences:
     """Symbol sequences of many texts, laid out step by step: longest text first, and
-    at each step the texts that are still going on."""
+    at each step the texts that are still going on.  Values of a step are a row for each
+    state, so that work runs along whole rows; they are scaled every SCALED steps."""
 
     def __init__(self, symbols: np.ndarray, lengths: np.ndarray):
         self.rank_of = np.argsort(-lengths, kind="stable")
         ordered = lengths[self.rank_of]
         starts = (np.cumsum(lengths) - lengths)[self.rank_of]
         within = np.arange(ordered.sum()) - np.repeat(np.cumsum(ordered) - ordered, ordered)
-        by_step = np.argsort(within, kind="stable")
-        self.rank = np.repeat(np.arange(len(lengths)), ordered)[by_step]
-        self.symbols = symbols[(np.repeat(starts, ordered) + within)[by_step]]
-        self.bounds = np.r_[0, np.cumsum(np.bincount(within))] if len(within) else np.zeros(1, int)
-
-    def forward(self, model: Model, keep: bool = False):
-        """Scale of every step (its log sum is the likelihood), emissions and, if kept,
-        the scaled forward values."""
-        emit = np.ascontiguousarray(model.emit.T)[self.symbols]
-        scale = np.empty(len(self.symbols))
-        values = np.empty_like(emit) if keep else None
-        a = model.start[None, :]
-        for t in range(len(self.bounds) - 1):
-            lo, hi = self.bounds[t], self.bounds[t + 1]
-            a = (a if t == 0 else a[: hi - lo] @ model.move) * emit[lo:hi]
-            s = a.sum(1)
-            a /= s[:, None]
-            scale[lo:hi] = s
-            if keep:
-                values[lo:hi] = a
-        return scale, emit, values
+        # Short integers are sorted by counting.
+        short = within.astype(np.uint16) if len(ordered) and ordered[0] <= 1 << 16 else within
+        by_step = np.argsort(short, kind="stable")
+        self.symbols = symbols[(np.repeat(starts, ordered) + within)[by_step]].astype(np.int64)
+        self.going = np.bincount(within) if len(within) else np.zeros(0, int)
+
+    @classmethod
+    def laid_out(cls, symbols: np.ndarray, going: np.ndarray) -> Sequences:
+        """Of symbols that are in order already; ``going`` are the texts at each step."""
+        made = cls.__new__(cls)
+        made.symbols, made.going = symbols.astype(np.int64), going
+        return made
+
+    def _bounds(self) -> list[int]:
+        return np.r_[0, np.cumsum(self.going)].tolist()
+
+    def _forward(self, model: Model, keep: bool):
+        """Emissions and, if kept, forward values, both with a row for each state; the
+        scales of steps that were scaled; last values and log10 of the scales of each text."""
+        emit = np.take(model.emit, self.symbols, axis=1)
+        values, scales = np.empty_like(emit) if keep else None, {}
+        move, bounds = np.ascontiguousarray(model.move.T), self._bounds()
+        texts = bounds[1] if len(bounds) > 1 else 0
+        last, logs = np.ones(texts), np.zeros(texts)
+        a = model.start[:, None]
+        for t, (lo, hi) in enumerate(zip(bounds, bounds[1:])):
+            out = values[:, lo:hi] if keep else None
+            a = np.multiply(a if t == 0 else move @ a[:, : hi - lo], emit[:, lo:hi], out=out)
+            if t % SCALED == SCALED - 1:
+                s = a.sum(0)
+                scales[t] = 1 / s
+                a *= scales[t]
+                logs[: hi - lo] += np.log10(s)
+            going = bounds[t + 2] - hi if t + 2 < len(bounds) else 0
+            if going < hi - lo:
+                last[going : hi - lo] = a[:, going:].sum(0)
+        return emit, values, scales, last, logs
 
     def log10(self, model: Model) -> np.ndarray:
         """log10 of the probability of each text's symbols, in the order given."""
-        scale, _, _ = self.forward(model)
-        found = np.empty(len(self.rank_of))
-        found[self.rank_of] = np.bincount(self.rank, weights=np.log10(scale), minlength=len(self.rank_of))
+        *_, last, logs = self._forward(model, False)
+        found = np.zeros(len(self.rank_of))
+        found[self.rank_of[: len(logs)]] = logs + np.log10(last)
         return found
 
     def counts(self, model: Model) -> np.ndarray:
         """Expected starts, moves and emissions, flat."""
         k, s = model.emit.shape
-        scale, emit, values = self.forward(model, keep=True)
-        steps = len(self.bounds) - 1
-        moves = np.zeros((k, k))
-        back = np.ones((self.bounds[steps] - self.bounds[steps - 1], k)) if steps else None
-        for t in range(steps - 1, 0, -1):
-            lo, hi = self.bounds[t], self.bounds[t + 1]
-            ahead = emit[lo:hi] * back / scale[lo:hi, None]
-            before = self.bounds[t - 1]
-            moves += values[before : before + hi - lo].T @ ahead
-            values[lo:hi] *= back
-            back = np.ones((lo - before, k))
-            back[: hi - lo] = ahead @ model.move.T
-        if steps:
-            values[: self.bounds[1]] *= back
-        start = values[: self.bounds[1]].sum(0) if steps else np.zeros(k)
-        emitted = [np.bincount(self.symbols, weights=values[:, j], minlength=s) for j in range(k)]
+        emit, values, scales, last, _ = self._forward(model, True)
+        bounds, ends = self._bounds(), 1 / last
+        moves, back = np.zeros((k, k)), np.empty((k, 0))
+        for t in range(len(bounds) - 2, -1, -1):
+            lo, hi = bounds[t : t + 2]
+            if hi - lo > back.shape[1]:  # texts that end here
+                back = np.concatenate([back, np.broadcast_to(ends[back.shape[1] : hi - lo], (k, hi - lo - back.shape[1]))], axis=1)
+            values[:, lo:hi] *= back
+            if t:
+                ahead = emit[:, lo:hi] * back
+                if t in scales:
+                    ahead *= scales[t]
+                before = bounds[t - 1]
+                moves += (values[:, before : before + hi - lo]) @ ahead.T
+                back = model.move @ ahead
+        start = values[:, : bounds[1]].sum(1) if len(bounds) > 1 else np.zeros(k)
+        emitted = [np.bincount(self.symbols, weights=values[j], minlength=s) for j in range(k)]
         return np.concatenate([start, (moves * model.move).ravel(), *emitted])
 
 
@@ -233,15 +258,30 @@ def _with_ends(words: Words, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def symbol_table(docs: DataFrame, vocab, text_col: str = "text") -> DataFrame:
-    """``symbols`` of every text, texts of like length together, since a slice takes as
-    many steps as its longest text has words; ``vocab`` is a broadcast Vocabulary."""
+    """Symbols of all texts in slices, laid out step by step once for all rounds.  Texts of
+    like length are together, since a slice takes as many steps as its longest text has
+    words; ``vocab`` is a broadcast Vocabulary."""
 
     def convert(texts):
         words, hashes, classes = _tokens(texts)
         whole, lengths = _with_ends(words, vocab.value.look_up(hashes, classes)[0])
         return [lists(pa.array(whole.astype(np.int16)), lengths)]
 
-    return emit_texts(docs, text_col, [], _SYMBOLS, convert, SLICE).sortWithinPartitions(F.desc(F.size("symbols")))
+    def lay_out(batches):
+        for batch in batches:
+            column = batch.column(0)
+            lengths, flat = column.value_lengths().to_numpy(), column.flatten().to_numpy()
+            bounds, lo = np.r_[0, np.cumsum(lengths)], 0
+            while lo < len(lengths):
+                most = min(max(SLICE_SYMBOLS, int(lengths[lo]) * STEP_TEXTS), MOST_SYMBOLS)
+                hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + most, "right")) - 1)
+                made = Sequences(flat[bounds[lo] : bounds[hi]], lengths[lo:hi])
+                raw = made.symbols.astype(np.int16).tobytes(), made.going.astype(np.int32).tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in raw], names=_STEPS.names)
+                lo = hi
+
+    found = emit_texts(docs, text_col, [], _SYMBOLS, convert, SLICE)
+    return found.sortWithinPartitions(F.desc(F.size("symbols"))).mapInArrow(lay_out, _STEPS)
 
 
 def baum_welch(symbols: DataFrame, vocab, model: Model) -> Model:
@@ -250,14 +290,10 @@ def baum_welch(symbols: DataFrame, vocab, model: Model) -> Model:
     def run(batches):
         total = None
         for batch in batches:
-            column = batch.column(0)
-            lengths, flat = column.value_lengths().to_numpy(), column.flatten().to_numpy()
-            bounds, lo = np.r_[0, np.cumsum(lengths)], 0
-            while lo < len(lengths):
-                hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + SLICE_SYMBOLS, "right")) - 1)
-                found = Sequences(flat[bounds[lo] : bounds[hi]], lengths[lo:hi]).counts(model)
+            for row, steps in zip(*batch.columns):
+                symbols, going = np.frombuffer(row.as_buffer(), np.int16), np.frombuffer(steps.as_buffer(), np.int32)
+                found = Sequences.laid_out(symbols, going).counts(model)
                 total = found if total is None else total + found
-                lo = hi
         if total is not None:
             cells = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(total[cells])], names=_SUMS.names)
@@ -352,7 +388,7 @@ def train(docs: DataFrame, *, text_col: str = "text", rounds: int = ROUNDS) -> L
     vocab = spark.sparkContext.broadcast(vocabulary(counts, ends))
     model = Model.random(vocab.value.shares)
     if ends:
-        symbols = stage_table(symbol_table(docs, vocab, text_col), "symbols")
+        symbols = stage_table(symbol_table(docs, vocab, text_col), "symbols", maxRecordsPerFile=FILE_SLICES)
         for _ in range(rounds + 1):
             model = baum_welch(symbols, vocab, model)
     return LanguageModel(counts, vocab, model)

@@ -96,8 +96,8 @@ def stage_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
-def stage_table(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage by writing ``df`` to a fresh folder and reading it back."""
+def stage_table(df: DataFrame, name: str, **options) -> DataFrame:
+    """Cut lineage by writing ``df`` (with writer ``options``) to a fresh folder and reading it back."""
     path = stage_dir(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
