@@ -11,8 +11,8 @@ The minimizers deal the segments out to shards.  Of each shard's segments, in th
 order of their ids, a task builds a suffix automaton over words, streams the same
 segments through it for their matching statistics, cut at SPAN words, and so learns
 where a window's words first occurred.  Where a crowd of different segments has one
-minimizer, they are cut into single windows (named by 128-bit hashes), which other
-shards take, so that no shard holds a crowd.
+minimizer, no automaton holds them: each different one, not each document's, is cut into
+windows (named by 128-bit hashes), and the smallest first id of a window tells.
 
 Sending automata of all shards to all tasks, as broadcasts would, costs shards times
 documents; dealt by minimizer, each part of a document meets only the one shard that
@@ -56,6 +56,12 @@ _OWN = StructType(
         StructField("places", ArrayType(IntegerType())),
     ]
 )
+_WINDOWS = StructType(
+    [
+        *(StructField(name, LongType()) for name in ("one", "two", "shard", "key", "first")),
+        StructField("at", IntegerType()),
+    ]
+)
 RESULT = StructType([StructField("deduped", StringType()), StructField("n_words", LongType()), StructField("n_removed", LongType())])
 
 
@@ -213,25 +219,26 @@ def earlier_spans(docs: DataFrame, span: int, id_col: str, text_col: str) -> Dat
     return _match(cut, span)
 
 
-def _windows(cut: DataFrame, span: int) -> DataFrame:
-    """Segments as single windows, each with a shard of its own."""
+def _windows(once: DataFrame, span: int) -> DataFrame:
+    """Windows of different segments, named by 128 bits, with their place in the segment."""
 
-    def run(texts, ids, ths, starts):
+    def run(texts, shards, keys, firsts):
         words = Words(texts)
         (at, one), (_, two) = (words.windows(words.hashes(k), span, k) for k in range(2))
         doc = np.searchsorted(words.first, at, "right") - 1
-        of, inside = pa.array(doc), (at - words.first[doc]).tolist()
-        known = starts.to_pylist()
-        return [
-            pa.array(one.astype(np.int64)),
-            ids.take(of),
-            ths.take(of),
-            pa.array([[s + i for s in known[d]] for d, i in zip(doc.tolist(), inside)], pa.list_(pa.int32())),
-            pa.array(np.full(len(at), span, np.int32)),
-            pa.array([f"#{x:016x}" for x in two.tolist()], pa.string()),
-        ]
+        of, names = pa.array(doc), [pa.array(x.astype(np.int64)) for x in (one, two)]
+        return [*names, shards.take(of), keys.take(of), firsts.take(of), pa.array((at - words.first[doc]).astype(np.int32))]
+
+    return emit_texts(once, "words", ["shard", "key", "first"], _WINDOWS, run)
+
 
-    return emit_texts(cut, "words", ["id", "th", "starts"], _SEGMENTS, run)
+def _crowded(once: DataFrame, span: int) -> DataFrame:
+    """As ``_OWN``, of segments too many for an automaton: of each different one, the
+    windows that a segment with a smaller first id has too."""
+    windows = stage_table(_windows(once, span), "windows")
+    least = windows.groupBy("one", "two").agg(F.min("first").alias("lo"), F.max("first").alias("hi")).where("lo < hi")
+    later = windows.join(least.drop("hi"), ["one", "two"]).where("first > lo")
+    return later.groupBy("shard", F.col("key").alias("words")).agg(F.collect_set("at").alias("places"))
 
 
 def _once(cut: DataFrame) -> DataFrame:
@@ -243,12 +250,10 @@ def _once(cut: DataFrame) -> DataFrame:
 def _match(cut: DataFrame, span: int) -> DataFrame:
     once = _once(cut)
     crowds = stage_table(once.groupBy("shard").count().where(F.col("count") > CROWD).select("shard"), "crowds")
-    if not crowds.isEmpty():
-        alone = stage_table(_windows(cut.join(crowds, "shard", "left_semi"), span), "windows")
-        cut = cut.join(crowds, "shard", "left_anti").union(alone)
-        once = once.join(crowds, "shard", "left_anti").unionByName(_once(alone))
+    some = not crowds.isEmpty()
+    few = once.join(crowds, "shard", "left_anti") if some else once
     # Only a shard with several segments can tell more than ids do.
-    by_shard = once.repartition("shard").sortWithinPartitions("shard", "first").select("shard", "first", "words", "key")
+    by_shard = few.repartition("shard").sortWithinPartitions("shard", "first").select("shard", "first", "words", "key")
 
     def match(batches):
         shard, rows = None, []
@@ -272,6 +277,8 @@ def _match(cut: DataFrame, span: int) -> DataFrame:
             yield _own_batch(done)
 
     own = by_shard.mapInArrow(match, _OWN)
+    if some:
+        own = own.union(_crowded(once.join(crowds, "shard", "left_semi"), span))
     told = once.select("shard", F.col("key").alias("words"), "first", "last").join(own, ["shard", "words"], "left")
     told = told.where("last > first or places is not null").drop("last")
     pieces = cut.select("shard", "id", "th", "starts", "n", F.xxhash64("words", "n").alias("words"))

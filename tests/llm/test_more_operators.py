@@ -46,6 +46,28 @@ def test_substrings_by_brute_force(docs, hard, monkeypatch, crowd):
     assert substrings.substring_dedup(hard.limit(0)).count() == 0
 
 
+def test_copies_of_a_crowd_are_not_cut(spark, monkeypatch):
+    """A crowd's windows are those of its different segments, however many documents have them."""
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [f"{' '.join(f'{c}{i}' for i in range(12))} {passage} {' '.join(f'{c}x{i}' for i in range(12))}" for c in "abcdef"]
+    cut, stage = [], substrings.stage_table
+
+    def spy(df, name, **options):
+        made = stage(df, name, **options)
+        if name == "windows":
+            cut.append(made.count())
+        return made
+
+    monkeypatch.setattr(substrings, "CROWD", 2)
+    monkeypatch.setattr(substrings, "stage_table", spy)
+    for copies in (1, 20):
+        rows = [(j * len(texts) + i, t) for j in range(copies) for i, t in enumerate(texts)]
+        got = {r.doc_id: r.n_removed for r in substrings.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        # The first text stays, the next five lose the passage, copies all of their words.
+        assert got == {i: 0 if i == 0 else 60 if i < len(texts) else 84 for i, _ in rows}
+    assert len(cut) == 2 and cut[0] == cut[1] > 0
+
+
 def test_substrings_in_overlapping_passages(spark):
     rng = np.random.default_rng(2)
     source = [f"s{i}" for i in rng.integers(0, 40, 400)]
