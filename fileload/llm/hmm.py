@@ -21,15 +21,16 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, LongType, ShortType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from fileload.llm.text import LAST_ID, Words, _BASES, _VALUES, col, emit_texts, keyed, lists, range_hash
-from fileload.session import stage_table
+from fileload.llm.text import LAST_ID, Words, _BASES, _VALUES, col, emit_texts, keyed, mix64, ragged, range_hash, slices
+from fileload.session import conf_scope, stage_table
 
 STATES = 8
 OWN, CLASSES = 4096, 1024
@@ -39,19 +40,25 @@ ROUNDS = 14
 #: Pseudo-counts of the overall distribution in each state's.
 SMOOTHING = 50.0
 SLICE = 6 << 20
+#: Bytes of text hashed at a time: for each there are several arrays of 64-bit numbers.
+HASHED = 1 << 17
 #: Forward values are scaled after so many steps; a step takes some twenty decimal
 #: places at most, and a double has three hundred.
 SCALED = 8
 #: Symbols of texts that are counted together (or of one longer text): so many, and more
 #: where texts are so long that a step would have few of them.
-SLICE_SYMBOLS, MOST_SYMBOLS, STEP_TEXTS = 1 << 18, 1 << 20, 512
-#: Slices in a stored file, some 32 MB.
-FILE_SLICES = 64
+SLICE_SYMBOLS, MOST_SYMBOLS, STEP_TEXTS = 1 << 19, 1 << 21, 2048
+#: Symbols whose texts are put in order by length, and partitions that one task reads for that.
+ORDERED, TOGETHER = 1 << 24, 4
+#: Symbols whose emissions are added up at a time, or a step more.
+ADDED = 1 << 13
+#: Slices in a stored file: one task of the JVM holds a file's more than once.
+FILE_SLICES = 4
+#: As all slices that a task reads would be one batch otherwise.
+_ROUND_CONF = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 
 _COUNTS = StructType([StructField("h", LongType()), StructField("class", IntegerType()), StructField("c", LongType())])
-_SYMBOLS = StructType([StructField("symbols", ArrayType(ShortType()))])
 _STEPS = StructType([StructField("symbols", BinaryType()), StructField("going", BinaryType())])
-_SUMS = StructType([StructField("cell", IntegerType()), StructField("value", DoubleType())])
 _PARTS = StructType(
     [
         StructField("id", LongType()),
@@ -75,9 +82,31 @@ def held_out(id_col: str):
 def _tokens(texts: pa.Array) -> tuple[Words, np.ndarray, np.ndarray]:
     """Words, their hashes and their classes."""
     words = Words(texts, lower=True)
-    values = _VALUES[1][words.data]
-    tail = range_hash(values, np.maximum(words.ends - 3, words.starts), words.ends, _BASES[1])
-    return words, words.hashes().astype(np.int64), (tail % np.uint64(CLASSES)).astype(np.int32)
+    return words, _hashes(words), _classes(words)
+
+
+def _hashes(words: Words) -> np.ndarray:
+    """As ``words.hashes()``, made of some words at a time."""
+    made, lo = np.empty(len(words), np.int64), 0
+    while lo < len(words):
+        first = words.starts[lo]
+        hi = max(lo + 1, int(np.searchsorted(words.ends, first + HASHED, "right")))
+        starts, ends = words.starts[lo:hi] - first, words.ends[lo:hi] - first
+        found = range_hash(_VALUES[0][words.data[first : first + ends[-1]]], starts, ends, _BASES[0])
+        made[lo:hi] = found.view(np.int64)
+        lo = hi
+    return made
+
+
+def _classes(words: Words) -> np.ndarray:
+    """Classes by the hash of at most three last bytes."""
+    size = np.minimum(words.ends - words.starts, 3)
+    first, values = words.ends - size, _VALUES[1]
+    tail = values[words.data[first]]
+    for i in (1, 2):
+        more = np.flatnonzero(size > i)
+        tail[more] += (values * np.uint64(_BASES[1] ** i % 2**64))[words.data[first[more] + i]]
+    return (mix64(tail + size.astype(np.uint64)) % np.uint64(CLASSES)).astype(np.int32)
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -105,11 +134,26 @@ class Vocabulary:
     v: int
     ends: int
 
+    @cached_property
+    def buckets(self) -> tuple[np.ndarray, int]:
+        """Where the hashes with each value of their first bits begin, and how many
+        bits follow those: hashes are spread evenly, so a bucket has one or two."""
+        bits = len(self.hashes).bit_length()
+        half = 1 << bits - 1
+        return np.searchsorted(self.hashes >> 64 - bits, np.arange(-half, half + 1)), 64 - bits
+
     def look_up(self, hashes: np.ndarray, classes: np.ndarray):
         """Symbol and count of each word; count -1 where it is not known here."""
         if not len(self.hashes):
             return OWN + classes, np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        first, shift = self.buckets
+        bucket = (hashes >> shift) + (len(first) >> 1)
+        at = first[bucket]
+        todo = np.flatnonzero((at < first[bucket + 1]) & (self.hashes[np.minimum(at, len(self.hashes) - 1)] < hashes))
+        while len(todo):
+            at[todo] += 1
+            todo = todo[(at[todo] < first[bucket[todo] + 1]) & (self.hashes[np.minimum(at[todo], len(self.hashes) - 1)] < hashes[todo])]
+        at = np.minimum(at, len(self.hashes) - 1)
         known = self.hashes[at] == hashes
         own = np.where(known, self.symbols[at], -1)
         return np.where(own >= 0, own, OWN + classes), np.where(known, self.counts[at], -1)
@@ -170,8 +214,9 @@ class Model:
 
 class Sequences:
     """Symbol sequences of many texts, laid out step by step: longest text first, and
-    at each step the texts that are still going on.  Values of a step are a row for each
-    state, so that work runs along whole rows; they are scaled every SCALED steps."""
+    at each step the texts that are still going on.  A step has a row for each of them
+    and a column for each state, so that the rows that go on come first and stay in
+    one piece; values are scaled every SCALED steps."""
 
     def __init__(self, symbols: np.ndarray, lengths: np.ndarray):
         self.rank_of = np.argsort(-lengths, kind="stable")
@@ -194,56 +239,64 @@ class Sequences:
     def _bounds(self) -> list[int]:
         return np.r_[0, np.cumsum(self.going)].tolist()
 
-    def _forward(self, model: Model, keep: bool):
-        """Emissions and, if kept, forward values, both with a row for each state; the
-        scales of steps that were scaled; last values and log10 of the scales of each text."""
-        emit = np.take(model.emit, self.symbols, axis=1)
-        values, scales = np.empty_like(emit) if keep else None, {}
-        move, bounds = np.ascontiguousarray(model.move.T), self._bounds()
+    def _forward(self, model: Model, values: np.ndarray | None = None):
+        """The scales of steps that were scaled; last values and log10 of the scales of
+        each text.  ``values`` gets the forward values, a row for each symbol."""
+        scales, emit, ones = {}, np.ascontiguousarray(model.emit.T), np.ones(len(model.start))
+        bounds = self._bounds()
         texts = bounds[1] if len(bounds) > 1 else 0
         last, logs = np.ones(texts), np.zeros(texts)
-        a = model.start[:, None]
+        a = np.empty((texts, len(ones)))
         for t, (lo, hi) in enumerate(zip(bounds, bounds[1:])):
-            out = values[:, lo:hi] if keep else None
-            a = np.multiply(a if t == 0 else move @ a[:, : hi - lo], emit[:, lo:hi], out=out)
+            if hi - lo < len(a):  # texts that ended a step before
+                last[hi - lo : len(a)] = a[hi - lo :] @ ones
+                a = a[: hi - lo]
+            e = emit.take(self.symbols[lo:hi], axis=0)
+            out = None if values is None else values[lo:hi]
+            a = np.multiply(model.start if t == 0 else a @ model.move, e, out=out)
             if t % SCALED == SCALED - 1:
-                s = a.sum(0)
-                scales[t] = 1 / s
+                s = a @ ones
+                scales[t] = (1 / s)[:, None]
                 a *= scales[t]
                 logs[: hi - lo] += np.log10(s)
-            going = bounds[t + 2] - hi if t + 2 < len(bounds) else 0
-            if going < hi - lo:
-                last[going : hi - lo] = a[:, going:].sum(0)
-        return emit, values, scales, last, logs
+        last[: len(a)] = a @ ones
+        return scales, last, logs
 
     def log10(self, model: Model) -> np.ndarray:
         """log10 of the probability of each text's symbols, in the order given."""
-        *_, last, logs = self._forward(model, False)
+        _, last, logs = self._forward(model)
         found = np.zeros(len(self.rank_of))
         found[self.rank_of[: len(logs)]] = logs + np.log10(last)
         return found
 
-    def counts(self, model: Model) -> np.ndarray:
-        """Expected starts, moves and emissions, flat."""
+    def counts(self, model: Model, room: np.ndarray | None = None) -> np.ndarray:
+        """Expected starts, moves and emissions, flat.  ``room`` has a row for each
+        symbol, or more; without it, or if it is too small, there is room for this call."""
         k, s = model.emit.shape
-        emit, values, scales, last, _ = self._forward(model, True)
-        bounds, ends = self._bounds(), 1 / last
-        moves, back = np.zeros((k, k)), np.empty((k, 0))
+        if room is None or len(room) < len(self.symbols):
+            room = np.empty((len(self.symbols), k))
+        scales, last, _ = self._forward(model, room)
+        bounds, ends = self._bounds(), (1 / last)[:, None]
+        emit, turned = np.ascontiguousarray(model.emit.T), np.ascontiguousarray(model.move.T)
+        moves, emitted, back, upto = np.zeros((k, k)), np.zeros((k, s)), np.empty((0, k)), bounds[-1]
         for t in range(len(bounds) - 2, -1, -1):
             lo, hi = bounds[t : t + 2]
-            if hi - lo > back.shape[1]:  # texts that end here
-                back = np.concatenate([back, np.broadcast_to(ends[back.shape[1] : hi - lo], (k, hi - lo - back.shape[1]))], axis=1)
-            values[:, lo:hi] *= back
+            if hi - lo > len(back):  # texts that end here
+                back = np.concatenate([back, np.broadcast_to(ends[len(back) : hi - lo], (hi - lo - len(back), k))])
+            room[lo:hi] *= back
             if t:
-                ahead = emit[:, lo:hi] * back
+                ahead = emit.take(self.symbols[lo:hi], axis=0)
+                ahead *= back
                 if t in scales:
                     ahead *= scales[t]
                 before = bounds[t - 1]
-                moves += (values[:, before : before + hi - lo]) @ ahead.T
-                back = model.move @ ahead
-        start = values[:, : bounds[1]].sum(1) if len(bounds) > 1 else np.zeros(k)
-        emitted = [np.bincount(self.symbols, weights=values[j], minlength=s) for j in range(k)]
-        return np.concatenate([start, (moves * model.move).ravel(), *emitted])
+                moves += room[before : before + hi - lo].T @ ahead
+                back = ahead @ turned
+            if upto - lo >= ADDED or t == 0:
+                for sums, weights in zip(emitted, np.ascontiguousarray(room[lo:upto].T)):
+                    sums += np.bincount(self.symbols[lo:upto], weights=weights, minlength=s)
+                upto = lo
+        return np.concatenate([room[: len(last)].sum(0), (moves * model.move).ravel(), emitted.ravel()])
 
 
 def _with_ends(words: Words, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -262,46 +315,61 @@ def symbol_table(docs: DataFrame, vocab, text_col: str = "text") -> DataFrame:
     like length are together, since a slice takes as many steps as its longest text has
     words; ``vocab`` is a broadcast Vocabulary."""
 
-    def convert(texts):
-        words, hashes, classes = _tokens(texts)
-        whole, lengths = _with_ends(words, vocab.value.look_up(hashes, classes)[0])
-        return [lists(pa.array(whole.astype(np.int16)), lengths)]
-
-    def lay_out(batches):
+    def lay_out(texts):
+        flat, lengths = np.concatenate([x for x, _ in texts]), np.concatenate([n for _, n in texts])
+        order = np.argsort(-lengths, kind="stable")
+        starts, lengths = (np.cumsum(lengths) - lengths)[order], lengths[order]
+        bounds, lo = np.r_[0, np.cumsum(lengths)], 0
+        while lo < len(lengths):
+            most = min(max(SLICE_SYMBOLS, int(lengths[lo]) * STEP_TEXTS), MOST_SYMBOLS)
+            hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + most, "right")) - 1)
+            made = Sequences(flat[ragged(starts[lo:hi], lengths[lo:hi])], lengths[lo:hi])
+            raw = made.symbols.astype(np.int16).tobytes(), made.going.astype(np.int32).tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in raw], names=_STEPS.names)
+            lo = hi
+
+    # All in one step: with two, each task had two Python processes, which stay.
+    def run(batches):
+        texts, held = [], 0
         for batch in batches:
-            column = batch.column(0)
-            lengths, flat = column.value_lengths().to_numpy(), column.flatten().to_numpy()
-            bounds, lo = np.r_[0, np.cumsum(lengths)], 0
-            while lo < len(lengths):
-                most = min(max(SLICE_SYMBOLS, int(lengths[lo]) * STEP_TEXTS), MOST_SYMBOLS)
-                hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + most, "right")) - 1)
-                made = Sequences(flat[bounds[lo] : bounds[hi]], lengths[lo:hi])
-                raw = made.symbols.astype(np.int16).tobytes(), made.going.astype(np.int32).tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in raw], names=_STEPS.names)
-                lo = hi
+            for lo, hi in slices(batch.column(0), SLICE):
+                words, hashes, classes = _tokens(batch.column(0).slice(lo, hi - lo))
+                whole, lengths = _with_ends(words, vocab.value.look_up(hashes, classes)[0])
+                texts.append((whole.astype(np.int16), lengths))
+                held += len(whole)
+                if held >= ORDERED:
+                    yield from lay_out(texts)
+                    texts, held = [], 0
+        if texts:
+            yield from lay_out(texts)
 
-    found = emit_texts(docs, text_col, [], _SYMBOLS, convert, SLICE)
-    return found.sortWithinPartitions(F.desc(F.size("symbols"))).mapInArrow(lay_out, _STEPS)
+    return docs.select(col(text_col).cast("string")).mapInArrow(run, _STEPS)
 
 
 def baum_welch(symbols: DataFrame, vocab, model: Model) -> Model:
     """One round over a ``symbol_table``; ``vocab`` is a broadcast Vocabulary."""
+    k = len(model.start)
+    # A row for the starts, each state's moves and each symbol, with a value for each state.
+    schema = StructType([StructField("row", IntegerType()), *(StructField(f"state_{i}", DoubleType()) for i in range(k))])
 
     def run(batches):
-        total = None
+        total, room = None, np.empty((MOST_SYMBOLS, k))
         for batch in batches:
             for row, steps in zip(*batch.columns):
                 symbols, going = np.frombuffer(row.as_buffer(), np.int16), np.frombuffer(steps.as_buffer(), np.int32)
-                found = Sequences.laid_out(symbols, going).counts(model)
+                found = Sequences.laid_out(symbols, going).counts(model, room)
                 total = found if total is None else total + found
         if total is not None:
-            cells = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(total[cells])], names=_SUMS.names)
+            cut = k + k * k
+            rows = np.concatenate([total[:cut].reshape(-1, k), total[cut:].reshape(k, -1).T])
+            some = np.flatnonzero(rows.any(1))
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *map(pa.array, rows[some].T)], names=schema.names)
 
-    sums = symbols.mapInArrow(run, _SUMS).groupBy("cell").agg(F.sum("value").alias("value")).toArrow()
-    flat = np.zeros(model.start.size + model.move.size + model.emit.size)
-    flat[sums.column(0).to_numpy()] = sums.column(1).to_numpy()
-    return Model.from_counts(flat, vocab.value.shares, len(model.start))
+    with conf_scope(symbols.sparkSession, _ROUND_CONF):
+        found = symbols.mapInArrow(run, schema).groupBy("row").agg(*(F.sum(c).alias(c) for c in schema.names[1:])).toArrow()
+    rows = np.zeros((1 + k + model.emit.shape[1], k))
+    rows[found.column(0).to_numpy()] = np.column_stack([found.column(1 + i).to_numpy() for i in range(k)])
+    return Model.from_counts(np.concatenate([rows[: 1 + k].ravel(), rows[1 + k :].T.ravel()]), vocab.value.shares, k)
 
 
 @dataclass
@@ -384,11 +452,13 @@ def train(docs: DataFrame, *, text_col: str = "text", rounds: int = ROUNDS) -> L
     """Learn from all of ``docs``."""
     spark = docs.sparkSession
     counts = stage_table(word_counts(docs, text_col), "counts")
-    ends = docs.count()
+    read = docs.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    ends = sum(r["count"] for r in read)
     vocab = spark.sparkContext.broadcast(vocabulary(counts, ends))
     model = Model.random(vocab.value.shares)
     if ends:
-        symbols = stage_table(symbol_table(docs, vocab, text_col), "symbols", maxRecordsPerFile=FILE_SLICES)
+        tasks = max(spark.sparkContext.defaultParallelism, len(read) // TOGETHER)
+        symbols = stage_table(symbol_table(docs.coalesce(tasks), vocab, text_col), "symbols", maxRecordsPerFile=FILE_SLICES)
         for _ in range(rounds + 1):
             model = baum_welch(symbols, vocab, model)
     return LanguageModel(counts, vocab, model)

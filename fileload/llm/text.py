@@ -49,11 +49,22 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+#: Powers of a base that a process keeps.
+KEPT_POWERS = 1 << 18
+
+
 def _power(base: int, n: int) -> np.ndarray:
     """base**0 ... base**(n-1) modulo 2**64."""
-    steps = np.full(n, base, np.uint64)
+    known = process_cache("powers")
+    if n <= KEPT_POWERS and base in known:
+        return known[base][:n]
+    steps = np.full(max(n, KEPT_POWERS), base, np.uint64)
     steps[:1] = 1
-    return np.cumprod(steps)
+    made = np.cumprod(steps)
+    if n <= KEPT_POWERS:
+        made.flags.writeable = False
+        known[base] = made
+    return made[:n]
 
 
 def range_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
