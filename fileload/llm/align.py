@@ -9,9 +9,10 @@ the other list and in widening windows, and both halves go on; an interval witho
 common end inside is a leaf, one group.  All intervals of a level are handled at once.
 
 How many documents hold a pair of linked ids is counted in three steps.  Tasks write
-their documents in chunks of bounded size, each with a dictionary of its units and of
-their id pairs; pairs are added up over chunks, so a pair that every document holds
-is one row per chunk; counts go back to the chunks, and from units to documents.
+their documents in chunks of bounded size, each with a dictionary of its id pairs, and
+a chunk in parts, each with a dictionary of its units; pairs are added up over chunks,
+so a pair that every document holds is one row per chunk; counts go back to the chunks'
+parts, and from units to documents.
 
 Cases: a text that is null or empty has no tokens, nor has one whose tokens do not
 spell a blank and the text (it holds U+2581, say): all counts are 0 and the lists and the
@@ -26,6 +27,7 @@ from __future__ import annotations
 import hashlib
 import os
 import uuid
+from collections.abc import Iterator
 from itertools import chain, repeat
 
 import numpy as np
@@ -35,10 +37,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from fileload.llm.text import col, lists, map_texts, process_cache, ragged, slices, text_bytes
-from fileload.session import stage_table
+from fileload.session import conf_scope, stage_table
 
-#: Bytes of text cut into units at a time, and those of one chunk.
+#: Bytes of text cut into units at a time, of which a chunk's part is made, and those of one chunk.
 PART, CHUNK = 1 << 19, 2 << 20
+#: Parts that are scored as one batch: all that a task reads would be one otherwise.
+_SCORE_CONF = {"spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 #: Units and bytes of them that a task remembers before it starts anew.
 MEMORY, MEMORY_BYTES = 160_000, 16 << 20
 #: Units that a tokenizer is given at a time; what it makes of each is larger by far.
@@ -348,31 +352,31 @@ def _chunk_fields(id_field: StructField) -> StructType:
             StructField("n_groups", longs),
             StructField("n_links", longs),
             StructField("digests", ArrayType(StringType())),
-            # For each document how many units, and which of the chunk's units.
+            # For each document how many units, and which of the part's units.
             StructField("n_units", ints),
             StructField("units", ints),
             # For each unit how many links, and which of the chunk's pairs.
             StructField("unit_links", ints),
             StructField("links", ints),
-            # For each pair the two ids, and how many documents hold it.
+            # For each pair of the chunk the two ids, and how many documents hold it; in
+            # the chunk's first part.
             StructField("pairs", longs),
             StructField("held", ints),
         ]
     )
 
 
-def _chunk(store: _Store, ids: pa.Array, texts: pa.Array) -> list[pa.Array]:
-    """One row for some documents: facts of each, and dictionaries for all."""
-    n = len(texts)
-    first = None
-    codes, counts, digests, held = [], [], [], []
+def _chunk(store: _Store, ids: pa.Array, texts: pa.Array) -> Iterator[list[pa.Array]]:
+    """A row for each part of some documents: facts of each, a dictionary of its units,
+    and in the first a dictionary of all parts' pairs."""
+    parts, held = [], []
     for lo, hi in slices(texts, PART):
         part, many = _kept(store, *_units(texts.slice(lo, hi - lo)))
-        codes.append(part)
-        counts.append(many)
         words, ends = list(map(store.digest.__getitem__, part.tolist())), np.cumsum(many).tolist()
+        digests = []
         for s, e in zip([0, *ends[:-1]], ends):
             digests.append(hashlib.sha256("".join(words[s:e])[:-1].encode()).hexdigest() if e > s else "")
+        parts.append((ids.slice(lo, hi - lo), part, many, digests))
         # Each unit once for a document, then each pair once.
         doc, unit = np.divmod(_distinct(np.repeat(np.arange(hi - lo), many) * len(store.code) + part), max(1, len(store.code)))
         first = np.cumsum(store.n_links) - store.n_links
@@ -380,40 +384,42 @@ def _chunk(store: _Store, ids: pa.Array, texts: pa.Array) -> list[pa.Array]:
         wide = max(1, len(store.pair_of))
         pairs = _distinct(np.repeat(doc, size) * wide + store.links[ragged(first[unit], size)]) % wide
         held.append(np.bincount(pairs, minlength=len(store.pair_of)))
-    codes, counts = np.concatenate(codes), np.concatenate(counts)
     n_held = np.zeros(len(store.pair_of), np.int64)
     for part in held:
         n_held[: len(part)] += part
-    # The chunk's own numbers for the units and pairs in it.
-    used = np.zeros(len(store.code) + 1, np.int64)
-    used[codes + 1] = 1
-    number, used = np.cumsum(used)[:-1], np.flatnonzero(used[1:])
-    units, per_unit = number[codes], store.n_links[used]
+    # The chunk's own numbers for the pairs in it.
     there = np.flatnonzero(n_held)
     place = np.zeros(len(store.pair_of), np.int64)
     place[there] = np.arange(len(there))
-    links = place[store.links[ragged(first[used], per_unit)]]
     pairs = np.fromiter(store.pair_of, np.int64, len(store.pair_of))[there]
     held = n_held[there]
+    first = np.cumsum(store.n_links) - store.n_links
+    chunk = uuid.uuid4().hex
 
     def one(values, kind) -> pa.Array:
         flat = pa.array(values, kind)
         return pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat)
 
-    sums = [_sums(per[codes], counts) for per in (store.n_a, store.n_b, store.n_groups, store.n_links)]
-    return [
-        pa.array([uuid.uuid4().hex]),
-        pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), ids),
-        *(one(s, pa.int64()) for s in sums),
-        one(digests, pa.string()),
-        *(one(v, pa.int32()) for v in (counts, units, per_unit, links)),
-        one(pairs, pa.int64()),
-        one(held, pa.int32()),
-    ]
+    for some, codes, counts, digests in parts:
+        # The part's own numbers for the units in it.
+        used, units = np.unique(codes, return_inverse=True)
+        per_unit = store.n_links[used]
+        links = place[store.links[ragged(first[used], per_unit)]]
+        sums = [_sums(per[codes], counts) for per in (store.n_a, store.n_b, store.n_groups, store.n_links)]
+        yield [
+            pa.array([chunk]),
+            pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), some),
+            *(one(s, pa.int64()) for s in sums),
+            one(digests, pa.string()),
+            *(one(v, pa.int32()) for v in (counts, units, per_unit, links)),
+            one(pairs, pa.int64()),
+            one(held, pa.int32()),
+        ]
+        pairs, held = pairs[:0], held[:0]
 
 
 def _scored(scores: DataFrame, id_field: StructField) -> DataFrame:
-    """Documents of chunks whose pairs have their counts (``pair_counts``, in order;
+    """Documents of chunks' parts whose pairs have their counts (``pair_counts``, in order;
     below zero for pairs that are their first id's most frequent)."""
     names = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     schema = StructType(
@@ -440,7 +446,7 @@ def _scored(scores: DataFrame, id_field: StructField) -> DataFrame:
 
 
 def write_chunks(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All documents in chunks, encoded and aligned, written once: what follows reads
+    """All documents in parts of chunks, encoded and aligned, written once: what follows reads
     the same chunks however often a task is run again."""
     source = docs.select(col(id_col), col(text_col).cast("string").alias("__text"))
     schema = _chunk_fields(source.schema[0])
@@ -451,9 +457,8 @@ def write_chunks(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_i
             for lo, hi in slices(batch.column(1), CHUNK):
                 if store.full():
                     store.clear()
-                yield pa.RecordBatch.from_arrays(
-                    _chunk(store, batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo)), names=schema.names
-                )
+                for part in _chunk(store, batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo)):
+                    yield pa.RecordBatch.from_arrays(part, names=schema.names)
 
     return stage_table(source.mapInArrow(run, schema), "aligned")
 
@@ -487,4 +492,5 @@ def score_links(docs: DataFrame, a_path: str, b_path: str, b_size: int, id_col:
     # A chunk of texts without tokens has no pairs.
     nothing = F.array().cast("array<bigint>")
     scores = chunks.drop("pairs", "held").join(answers, "chunk", "left").withColumn("pair_counts", F.coalesce("pair_counts", nothing))
-    return _scored(scores, StructField(id_col, chunks.schema["ids"].dataType.elementType))
+    with conf_scope(docs.sparkSession, _SCORE_CONF):
+        return stage_table(_scored(scores, StructField(id_col, chunks.schema["ids"].dataType.elementType)), "scored")

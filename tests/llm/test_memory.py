@@ -5,9 +5,10 @@ from __future__ import annotations
 import tracemalloc
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 
-from fileload.llm import hmm
+from fileload.llm import align, hmm
 
 
 def test_words_are_hashed_some_at_a_time(monkeypatch):
@@ -44,3 +45,22 @@ def test_words_are_found_where_sorting_has_them():
     counts = vocab.look_up(asked, np.zeros(len(asked), np.int32))[1]
     place = {h: i for i, h in enumerate(hashes.tolist())}
     assert counts.tolist() == [place.get(h, -1) for h in asked.tolist()]
+
+
+def test_a_chunk_is_written_in_parts():
+    pair = align._tokenizers(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    texts = pa.array(["ab cd " * 60_000, "x▁y", None, "cd other " * 40_000, "ab"])
+    rows = list(align._chunk(align._Store(pair), pa.array([1, 2, 3, 4, 5]), texts))
+    names = align._chunk_fields(align.StructField("id", align.LongType())).names
+    parts = [dict(zip(names, (x[0].as_py() for x in row))) for row in rows]
+    assert [p["ids"] for p in parts] == [[1, 2, 3], [4, 5]] and len({p["chunk"] for p in parts}) == 1
+    # The first has the pairs of both, in how many documents each is.
+    assert parts[0]["pairs"] and parts[1]["pairs"] == parts[1]["held"] == []
+    assert max(parts[0]["held"]) == 2 and max(max(p["links"]) for p in parts) == len(parts[0]["pairs"]) - 1
+    # Each part has its own units, and all of a document's links.
+    for p in parts:
+        sizes = np.array(p["unit_links"])[p["units"]]
+        assert max(p["units"]) == len(p["unit_links"]) - 1 and sum(p["unit_links"]) == len(p["links"])
+        ends = np.cumsum(p["n_units"])
+        assert [int(sizes[e - n : e].sum()) for n, e in zip(p["n_units"], ends)] == p["n_links"]
+    assert parts[0]["n_links"][1:] == [0, 0] and parts[0]["digests"][1:] == ["", ""]
