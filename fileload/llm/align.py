@@ -41,6 +41,8 @@ from fileload.session import conf_scope, stage_table
 
 #: Bytes of text cut into units at a time, of which a chunk's part is made, and those of one chunk.
 PART, CHUNK = 1 << 19, 2 << 20
+#: Parts in a stored file, some 16 MB: whoever reads them holds a file's as columns.
+FILE_PARTS = 16
 #: Parts that are scored as one batch: all that a task reads would be one otherwise.
 _SCORE_CONF = {"spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 #: Units and bytes of them that a task remembers before it starts anew.
@@ -460,7 +462,7 @@ def write_chunks(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_i
                 for part in _chunk(store, batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo)):
                     yield pa.RecordBatch.from_arrays(part, names=schema.names)
 
-    return stage_table(source.mapInArrow(run, schema), "aligned")
+    return stage_table(source.mapInArrow(run, schema), "aligned", maxRecordsPerFile=FILE_PARTS)
 
 
 def pair_counts(chunks: DataFrame) -> DataFrame:
@@ -491,6 +493,7 @@ def score_links(docs: DataFrame, a_path: str, b_path: str, b_size: int, id_col:
     )
     # A chunk of texts without tokens has no pairs.
     nothing = F.array().cast("array<bigint>")
-    scores = chunks.drop("pairs", "held").join(answers, "chunk", "left").withColumn("pair_counts", F.coalesce("pair_counts", nothing))
+    # The small side is hashed, so that the parts need not be sorted.
+    scores = chunks.drop("pairs", "held").join(answers.hint("shuffle_hash"), "chunk", "left").withColumn("pair_counts", F.coalesce("pair_counts", nothing))
     with conf_scope(docs.sparkSession, _SCORE_CONF):
         return stage_table(_scored(scores, StructField(id_col, chunks.schema["ids"].dataType.elementType)), "scored")
