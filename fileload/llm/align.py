@@ -3,10 +3,12 @@
 A text is cut into units before single blanks that follow a character that is no
 white space: neither tokenizer merges across such a place, so both have a token end
 there and equal units align alike.  Each different unit is encoded and aligned once
-in a task.  Within a unit the two lists of token ends are aligned by divide and
-conquer: near the middle of an interval a common end is looked for, by bisection in
-the other list and in widening windows, and both halves go on; an interval without a
-common end inside is a leaf, one group.  All intervals of a level are handled at once.
+while a task remembers it; new units are given to the tokenizers several in one text,
+joined where it would be cut again.  Within a unit the two lists of token ends are aligned
+by divide and conquer: near the middle of an interval a common end is looked for, by
+bisection in the other list and in widening windows, and both halves go on; an interval
+without a common end inside is a leaf, one group.  All intervals of a level are handled at
+once.
 
 How many documents hold a pair of linked ids is counted in three steps.  Tasks write
 their documents in chunks of bounded size, each with a dictionary of its id pairs, and
@@ -45,10 +47,11 @@ PART, CHUNK = 1 << 19, 2 << 20
 FILE_PARTS = 16
 #: Parts that are scored as one batch: all that a task reads would be one otherwise.
 _SCORE_CONF = {"spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
-#: Units and bytes of them that a task remembers before it starts anew.
+#: Units and bytes of them that a task remembers before it forgets the rarer ones.
 MEMORY, MEMORY_BYTES = 160_000, 16 << 20
-#: Units that a tokenizer is given at a time; what it makes of each is larger by far.
-BATCH = 4096
+#: Units in a text that a tokenizer is given, and such texts at a time; what it makes of
+#: each is larger by far.
+JOINED, BATCH = 64, 64
 
 _BLANK = "▁"
 
@@ -75,19 +78,66 @@ class _Pair:
         )
         self.a_size, self.b_size = size, len(pieces)
         # How an id is written inside of a group's list, and at the list's end.
-        self.written = [f"{i}{mark}" for n, end in ((size, "|"), (len(pieces), ";")) for mark in (",", end) for i in range(n)]
+        self.written = _table([f"{i}{mark}".encode() for n, end in ((size, "|"), (len(pieces), ";")) for mark in (",", end) for i in range(n)])
         self.blank = self.b.piece_to_id(_BLANK)
 
-    def encode(self, units: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of units, each of which begins with a blank.  The second tokenizer
+    def encode(self, lines: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of texts, each of which begins with a blank.  The second tokenizer
         puts that blank itself, but not before an empty text."""
         a, b = [], []
-        for at in range(0, len(units), BATCH):
-            some = units[at : at + BATCH]
+        for at in range(0, len(lines), BATCH):
+            some = lines[at : at + BATCH]
             a += [e.ids for e in self.a.encode_batch_fast(some, add_special_tokens=False)]
-            b += [ids or [self.blank] for ids in self.b.encode([u[1:] for u in some], num_threads=1)]
+            b += [ids or [self.blank] for ids in self.b.encode([x[1:] for x in some], num_threads=1)]
         return a, b
 
+    def encode_units(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Which units both lists of tokens spell, and of either tokenizer the ids of
+        those units, one after the other, and how many each unit has."""
+        raw = b"".join(units)
+        data = np.frombuffer(raw, np.uint8)
+        size = np.fromiter(map(len, units), np.int64, len(units))
+        ends = np.cumsum(size)
+        begins = ends - size
+
+        def encode(first, many):
+            stop = ends[first + many - 1]
+            return self.encode([raw[s:e].decode("utf-8", "replace") for s, e in zip(begins[first].tolist(), stop.tolist())])
+
+        def spelled(a, b, many):
+            return _spelled_lines(*a, self.a_raw, data, size, many) & _spelled_lines(*b, self.b_raw, data, size, many)
+
+        # A line ends where a text would not be cut before the next unit.
+        graph = (data > 0x20) & (data < 0x7F)
+        last, second = ends[:-1] - 1, np.minimum(begins[1:] + 1, ends[1:] - 1)
+        joins = graph[last] | (data[last] >= 0x80) & graph[second]
+        first = np.flatnonzero(np.r_[True, ~joins] | (np.arange(len(units)) % JOINED == 0))
+        many = np.diff(np.r_[first, len(units)])
+        a, b = encode(first, many)
+        sound = spelled(_flat(a), _flat(b), many)
+        odd = ~sound & (many > 1)
+        if odd.any():
+            # Units of lines that do not agree are given alone.
+            alone = np.flatnonzero(np.repeat(odd, many))
+            more_a, more_b = encode(alone, np.ones(len(alone), np.int64))
+            first = np.r_[first[~odd], alone]
+            order = np.argsort(first)
+            kept = np.flatnonzero(~odd).tolist()
+            a, b = ([x[i] for i in kept] + more for x, more in ((a, more_a), (b, more_b)))
+            a, b = ([x[i] for i in order.tolist()] for x in (a, b))
+            many = np.diff(np.r_[first[order], len(units)])
+            sound = spelled(_flat(a), _flat(b), many)
+        of_unit = np.repeat(sound, many)
+        out = [of_unit]
+        for coded, table in ((a, self.a_raw), (b, self.b_raw)):
+            ids, counts = _flat(coded)
+            ids = ids[np.repeat(sound, counts)]
+            stop = np.searchsorted(np.cumsum(table[2][ids]), np.cumsum(size[of_unit])) + 1
+            n = np.zeros(len(units), np.int64)
+            n[of_unit] = np.diff(stop, prepend=0)
+            out += [ids, n]
+        return tuple(out)
+
 
 def _byte_characters() -> dict[str, int]:
     """The printable stand-in of each byte in byte-level vocabularies."""
@@ -164,60 +214,84 @@ def _spelled(ids: np.ndarray, table: tuple[np.ndarray, np.ndarray, np.ndarray])
     return raw[ragged(start[ids], length[ids])], length[ids]
 
 
+def _spelled_lines(ids, counts, table, data, size, many) -> np.ndarray:
+    """Which lines, of ``many`` units of ``size`` bytes in ``data`` each, their tokens
+    spell, with a token's end where a unit ends."""
+    line = _sums(size, many)
+    length = table[2][ids]
+    fits = _sums(length, counts) == line
+    text, length = _spelled(ids[np.repeat(fits, counts)], table)
+    wrong = text != data[np.repeat(fits, line)]
+    ends, stops = np.cumsum(length), np.cumsum(size[np.repeat(fits, many)])
+    lacking = ends[np.searchsorted(ends, stops)] != stops
+    fits[fits] = (_sums(wrong, line[fits]) == 0) & (_sums(lacking, many[fits]) == 0)
+    return fits
+
+
 class _Store:
     """What is known of different units, one after the other."""
 
     def __init__(self, pair: _Pair):
         self.pair = pair
-        self.clear()
-
-    def clear(self) -> None:
         self.code: dict[bytes, int] = {}
         self.bytes = 0
-        self.digest: list[str] = []
+        self.digest: list[bytes] = []
         self.sound, self.n_a, self.n_b, self.n_groups = (np.empty(0, t) for t in (bool, np.int64, np.int64, np.int64))
         self.a_ids, self.b_ids, self.a_ends, self.b_ends, self.links = (np.empty(0, np.int32) for _ in range(5))
         self.n_links = np.empty(0, np.int64)
+        # How often each unit was met, an earlier time counting half.
+        self.met = np.empty(0, np.int64)
         # Id pairs of all links, in the order they were met.
         self.pair_of: dict[int, int] = {}
 
-    def codes(self, units: list[bytes]) -> np.ndarray:
+    def codes(self, units: pa.Array) -> np.ndarray:
         """A number for each unit; units not seen before are encoded and aligned."""
-        codes = np.fromiter(map(self.code.get, units, repeat(-1)), np.int64, len(units))
+        known = units.dictionary_encode()
+        offsets, data = text_bytes(known.dictionary)
+        different = _cut(data, np.diff(offsets))
+        codes = np.fromiter(map(self.code.get, different, repeat(-1)), np.int64, len(different))
         lacking = np.flatnonzero(codes < 0)
         if len(lacking):
-            missing = [units[i] for i in lacking.tolist()]
-            fresh = list(dict.fromkeys(missing))
-            self.code.update(zip(fresh, range(len(self.code), len(self.code) + len(fresh))))
+            fresh = [different[i] for i in lacking.tolist()]
+            codes[lacking] = len(self.code) + np.arange(len(fresh))
+            self.code.update(zip(fresh, codes[lacking].tolist()))
             self.bytes += sum(map(len, fresh))
             self._add(fresh)
-            codes[lacking] = np.fromiter(map(self.code.__getitem__, missing), np.int64, len(missing))
-        return codes
+        places = known.indices.to_numpy()
+        self.met[codes] += np.bincount(places, minlength=len(codes))
+        return codes[places]
 
     def full(self) -> bool:
         return len(self.code) > MEMORY or self.bytes > MEMORY_BYTES
 
+    def forget(self) -> None:
+        """Keep units that were met again, the most frequent ones, half of what is remembered at most."""
+        units = list(self.code)
+        keep = np.flatnonzero(self.met > 1)
+        keep = keep[np.argsort(-self.met[keep], kind="stable")][: MEMORY // 2]
+        size = np.fromiter((len(units[i]) for i in keep.tolist()), np.int64, len(keep))
+        keep = np.sort(keep[np.cumsum(size) <= MEMORY_BYTES // 2])
+        self.code = {units[i]: code for code, i in enumerate(keep.tolist())}
+        self.bytes = sum(map(len, self.code))
+        self.digest = [self.digest[i] for i in keep.tolist()]
+
+        def kept(values, n):
+            return values[ragged((np.cumsum(n) - n)[keep], n[keep])]
+
+        self.a_ids, self.b_ids = kept(self.a_ids, self.n_a), kept(self.b_ids, self.n_b)
+        self.a_ends, self.b_ends = kept(self.a_ends, self.n_groups), kept(self.b_ends, self.n_groups)
+        there, self.links = np.unique(kept(self.links, self.n_links), return_inverse=True)
+        self.links = self.links.astype(np.int32)
+        pairs = list(self.pair_of)
+        self.pair_of = {pairs[i]: place for place, i in enumerate(there.tolist())}
+        self.sound, self.n_a, self.n_b, self.n_groups, self.n_links, self.met = (
+            x[keep] for x in (self.sound, self.n_a, self.n_b, self.n_groups, self.n_links, self.met)
+        )
+        self.met //= 2
+
     def _add(self, units: list[bytes]) -> None:
-        a, b = self.pair.encode([u.decode("utf-8", "replace") for u in units])
-        (a_ids, n_a), (b_ids, n_b) = _flat(a), _flat(b)
-        a_text, a_len = _spelled(a_ids, self.pair.a_raw)
-        b_text, b_len = _spelled(b_ids, self.pair.b_raw)
-        size = np.fromiter(map(len, units), np.int64, len(units))
-        a_size = np.bincount(np.repeat(np.arange(len(units)), n_a), weights=a_len, minlength=len(units)).astype(np.int64)
-        b_size = np.bincount(np.repeat(np.arange(len(units)), n_b), weights=b_len, minlength=len(units)).astype(np.int64)
-        given = np.frombuffer(b"".join(units), np.uint8)
-        sound = (a_size == size) & (b_size == size)
-        if not sound.all() or not np.array_equal(a_text, given) or not np.array_equal(b_text, given):
-            same = [
-                s and a_one == u and b_one == u
-                for s, u, a_one, b_one in zip(sound.tolist(), units, _cut(a_text, a_size), _cut(b_text, b_size))
-            ]
-            sound = np.array(same)
-            # Units that do not agree take no part from here on.
-            a_ids, a_len = (x[np.repeat(sound, n_a)] for x in (a_ids, a_len))
-            b_ids, b_len = (x[np.repeat(sound, n_b)] for x in (b_ids, b_len))
-            n_a, n_b = n_a * sound, n_b * sound
-        a_ends, b_ends = np.cumsum(a_len), np.cumsum(b_len)
+        sound, a_ids, n_a, b_ids, n_b = self.pair.encode_units(units)
+        a_ends, b_ends = np.cumsum(self.pair.a_raw[2][a_ids]), np.cumsum(self.pair.b_raw[2][b_ids])
         stop = np.cumsum(n_a)
         some = n_a > 0
         cuts = common_cuts(a_ends, b_ends, (stop - n_a)[some], stop[some]) if some.any() else np.empty(0, np.int64)
@@ -228,12 +302,13 @@ class _Store:
         # A link is a stretch between ends of either list: one token of each covers it.
         stretch = _distinct(np.concatenate([a_ends, b_ends]))
         link_a, link_b = np.searchsorted(a_ends, stretch), np.searchsorted(b_ends, stretch)
-        self.digest.extend(self._digests(a_ids, b_ids, a_cut, b_cut, n_groups))
+        self.digest.extend(self._digests(a_ids, b_ids, a_cut, b_cut, n_a + n_b))
         pairs, of = np.unique(a_ids[link_a] * self.pair.b_size + b_ids[link_b], return_inverse=True)
         known = np.array([self.pair_of.setdefault(p, len(self.pair_of)) for p in pairs.tolist()], np.int32)
         self.links = np.concatenate([self.links, known[of]])
         self.n_links = np.concatenate([self.n_links, np.bincount(unit_of_a[link_a], minlength=len(units))])
         self.sound = np.concatenate([self.sound, sound])
+        self.met = np.concatenate([self.met, np.zeros(len(units), np.int64)])
         self.n_a, self.n_b = np.concatenate([self.n_a, n_a]), np.concatenate([self.n_b, n_b])
         self.n_groups = np.concatenate([self.n_groups, n_groups])
         # Ends of groups are counted in tokens from the unit's first.
@@ -243,7 +318,7 @@ class _Store:
             for old, new in ((self.a_ids, a_ids), (self.b_ids, b_ids), (self.a_ends, a_cut), (self.b_ends, b_cut))
         )
 
-    def _digests(self, a_ids, b_ids, a_cut, b_cut, n_groups) -> list[str]:
+    def _digests(self, a_ids, b_ids, a_cut, b_cut, n_tokens) -> list[bytes]:
         """``a1,a2|b1;a3|b2,b3;`` of each unit: every group ends in a semicolon."""
         a_n, b_n = np.diff(a_cut, prepend=0), np.diff(b_cut, prepend=0)
         order = np.empty(len(a_ids) + len(b_ids), np.int64)
@@ -252,10 +327,9 @@ class _Store:
         ends = a_cut + b_cut - 1
         order[ends - b_n] += self.pair.a_size
         order[ends] += self.pair.b_size
-        words = list(map(self.pair.written.__getitem__, order.tolist()))
+        text, length = _spelled(order, self.pair.written)
         # Tokens of each unit follow one another.
-        stop = np.r_[0, ends + 1][np.cumsum(n_groups)].tolist()
-        return ["".join(words[b:e]) for b, e in zip([0, *stop[:-1]], stop)]
+        return _cut(text, _sums(length, n_tokens))
 
 
 def _cut(text: np.ndarray, size: np.ndarray) -> list[bytes]:
@@ -264,7 +338,7 @@ def _cut(text: np.ndarray, size: np.ndarray) -> list[bytes]:
     return [whole[e - s : e] for s, e in zip(size.tolist(), ends.tolist())]
 
 
-def _units(texts: pa.Array) -> tuple[list[bytes], np.ndarray]:
+def _units(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """Units of a blank and each text, and how many each text has; none if empty."""
     offsets, data = text_bytes(texts)
     size = np.diff(offsets)
@@ -282,8 +356,7 @@ def _units(texts: pa.Array) -> tuple[list[bytes], np.ndarray]:
     cut = (whole == 0x20) & (before | high)
     cut[starts] = True
     at = np.flatnonzero(cut)
-    raw = whole.tobytes()
-    units = [raw[s:e] for s, e in zip(at.tolist(), [*at[1:].tolist(), len(raw)])]
+    units = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(np.r_[at, len(whole)]), pa.py_buffer(whole))
     counts = np.zeros(len(texts), np.int64)
     counts[some] = np.diff(np.r_[np.searchsorted(at, starts), len(at)])
     return units, counts
@@ -336,7 +409,7 @@ def align_tokens(docs: DataFrame, a_path: str, b_path: str, *, text_col: str = "
     return map_texts(docs, text_col, _ALIGNED, run, slice_bytes=PART)
 
 
-def _kept(store: _Store, units: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _kept(store: _Store, units: pa.Array, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Codes of the units of texts whose tokens spell them, and how many per text."""
     codes = store.codes(units)
     sound = _sums(~store.sound[codes], counts) == 0
@@ -377,7 +450,7 @@ def _chunk(store: _Store, ids: pa.Array, texts: pa.Array) -> Iterator[list[pa.Ar
         words, ends = list(map(store.digest.__getitem__, part.tolist())), np.cumsum(many).tolist()
         digests = []
         for s, e in zip([0, *ends[:-1]], ends):
-            digests.append(hashlib.sha256("".join(words[s:e])[:-1].encode()).hexdigest() if e > s else "")
+            digests.append(hashlib.sha256(b"".join(words[s:e])[:-1]).hexdigest() if e > s else "")
         parts.append((ids.slice(lo, hi - lo), part, many, digests))
         # Each unit once for a document, then each pair once.
         doc, unit = np.divmod(_distinct(np.repeat(np.arange(hi - lo), many) * len(store.code) + part), max(1, len(store.code)))
@@ -404,7 +477,9 @@ def _chunk(store: _Store, ids: pa.Array, texts: pa.Array) -> Iterator[list[pa.Ar
 
     for some, codes, counts, digests in parts:
         # The part's own numbers for the units in it.
-        used, units = np.unique(codes, return_inverse=True)
+        there = np.zeros(len(store.code), bool)
+        there[codes] = True
+        used, units = np.flatnonzero(there), (np.cumsum(there) - 1)[codes]
         per_unit = store.n_links[used]
         links = place[store.links[ragged(first[used], per_unit)]]
         sums = [_sums(per[codes], counts) for per in (store.n_a, store.n_b, store.n_groups, store.n_links)]
@@ -458,7 +533,7 @@ def write_chunks(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_i
         for batch in batches:
             for lo, hi in slices(batch.column(1), CHUNK):
                 if store.full():
-                    store.clear()
+                    store.forget()
                 for part in _chunk(store, batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo)):
                     yield pa.RecordBatch.from_arrays(part, names=schema.names)
 

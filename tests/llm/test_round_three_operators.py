@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from brute_align import rows as aligned_rows
 from brute_align import tokenize
@@ -82,6 +83,57 @@ def test_alignment_of_no_rows_and_null_ids(spark):
     assert sorted(got, key=str) == sorted([(i, *r) for i, r in zip((None, None, 1), aligned_rows(["a b", "a b", None]))], key=str)
 
 
+@pytest.fixture
+def given(monkeypatch):
+    """The texts that the tokenizers get."""
+    texts, encode = [], align._Pair.encode
+    monkeypatch.setattr(align._Pair, "encode", lambda self, some: texts.extend(some) or encode(self, some))
+    return texts
+
+
+def test_new_units_are_encoded_many_in_a_text(given):
+    store = align._Store(align._tokenizers(A, B))
+    codes = store.codes(align._units(pa.array([" ".join(f"w{i}" for i in range(640)), "w7 w8"]))[0])
+    assert codes.tolist() == [*range(640), 7, 8]
+    assert len(given) == 10
+
+
+def test_units_in_one_text_are_encoded_as_alone():
+    pair = align._tokenizers(A, B)
+    odd = ["a", "", "é", "\u00a0", "x\u00a0", "\u00a0 y", "b  ", "\n", "▁", "x▁y", "你好", "'s", "’s", "<|endoftext|>", "</s>", "\x00", "12", "c"]
+    units = [f" {x}".encode() for _ in range(9) for x in odd] + [b" \xff", b" bad\xe4", b" good"]
+    together, alone = pair.encode_units(units), [pair.encode_units([u]) for u in units]
+    for values, parts in zip(together, zip(*alone)):
+        assert values.tolist() == np.concatenate(parts).tolist()
+    assert together[0].sum() == len(units) - 9 * 2 - 2
+
+
+def test_frequent_units_are_remembered(given, monkeypatch):
+    monkeypatch.setattr(align, "MEMORY", 40)
+    pair = align._tokenizers(A, B)
+    store = align._Store(pair)
+    store.codes(align._units(pa.array(["often, x▁y unusual often, x▁y " + " ".join(f"w{i}" for i in range(60))]))[0])
+    assert store.full()
+    store.forget()
+    del given[:]
+    units = align._units(pa.array(["new x▁y often,"]))[0]
+    codes = store.codes(units)
+    assert given == [" new"] and not store.full()
+    fresh = align._Store(pair)
+    back = fresh.codes(units)
+
+    def known(s, code):
+        def of(values, n):
+            end = int(n[: code + 1].sum())
+            return values[end - int(n[code]) : end].tolist()
+
+        pairs = list(s.pair_of)
+        links = [pairs[i] for i in of(s.links, s.n_links)]
+        return s.digest[code], bool(s.sound[code]), of(s.a_ids, s.n_a), of(s.b_ids, s.n_b), of(s.a_ends, s.n_groups), of(s.b_ends, s.n_groups), links
+
+    assert [known(store, c) for c in codes.tolist()] == [known(fresh, c) for c in back.tolist()]
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_common_cuts(seed):
     rng = np.random.default_rng(seed)
